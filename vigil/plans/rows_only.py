@@ -1,0 +1,4 @@
+"""Registered queries without a SQL oracle (models and the stochastic resamplers that
+SQL cannot express); the driver checks their row counts and schema only."""
+
+ROWS_ONLY: dict = {}
