@@ -85,7 +85,7 @@ def taxonomy_join(df: DataFrame, col: str, dim: DataFrame, out: str,
     right = dim.select(F.col("name").alias("__tx_name"), F.col("category").alias("__tx_cat"))
     if n <= broadcast_rows:
         right = F.broadcast(right)
-    joined = df.join(right, df[col] == right["__tx_name"], "left")
+    joined = df.join(right, F.col(col) == F.col("__tx_name"), "left")
     return joined.withColumn(out, F.coalesce(F.col("__tx_cat"), F.lit(default))).drop("__tx_name", "__tx_cat")
 
 

@@ -182,7 +182,8 @@ def grouped_accuracy(df: DataFrame, actual: str, predicted: str,
     spark = df.sparkSession
     dim = spark.createDataFrame([(g, n) for g, names in groups.items() for n in names],
                                 "group string, name string")
-    scored = df.join(F.broadcast(dim), df[actual] == dim["name"], "inner")
+    scored = df.join(F.broadcast(dim.withColumnRenamed("name", "__g_name")),
+                     F.col(actual) == F.col("__g_name"), "inner")
     agg = scored.groupBy("group").agg(F.count(F.lit(1)).alias("total"),
                                       F.sum((F.col(actual) == F.col(predicted)).cast("long")).alias("correct"))
     fixed = spark.createDataFrame([(g,) for g in groups], "group string")
@@ -215,7 +216,7 @@ def with_class_weight(df: DataFrame, label: str, weights: DataFrame, out: str =
                       col: str = "adjusted") -> DataFrame:
     """Attach the weight table as a ``weightCol``; one row per class, broadcast."""
     w = weights.select(F.col("label").alias("__wl"), F.col(col).alias(out))
-    return df.join(F.broadcast(w), df[label] == w["__wl"], "left").drop("__wl")
+    return df.join(F.broadcast(w), F.col(label) == F.col("__wl"), "left").drop("__wl")
 
 
 EPSILON = 1e-7

@@ -11,10 +11,8 @@ count, not by the data.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.scalar import keyed_u32
@@ -26,10 +24,6 @@ def default_bucket_bits(df: DataFrame) -> int:
     return max(8, min(20, (parts * 16 - 1).bit_length()))
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def _rank_in_buckets(staged: DataFrame, pcols: list[str], bucket: str, order: list[str],
                      out: str, total_out: str | None) -> DataFrame:
     counts = staged.groupBy(*pcols, bucket).agg(F.count(F.lit(1)).alias("__n"))
@@ -41,9 +35,10 @@ def _rank_in_buckets(staged: DataFrame, pcols: list[str], bucket: str, order: li
     if not pcols:
         # one row per bucket: bounded by 2^bits, safe to broadcast
         offsets = F.broadcast(offsets)
-    cond = staged[bucket] == offsets["__o_b"]
+    # offset columns carry their own names, so the condition can refer by name only
+    cond = F.col(bucket) == F.col("__o_b")
     for c in pcols:
-        cond = cond & staged[c].eqNullSafe(offsets[f"__o_{c}"])
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__o_{c}"))
     joined = staged.join(offsets, cond, "inner")
     w = Window.partitionBy(*pcols, bucket).orderBy(*order)
     res = joined.withColumn(out, (F.row_number().over(w) - 1 + F.col("__off")).cast("bigint"))

@@ -306,6 +306,43 @@ SELECT o_orderkey, printf('%.4f', o_totalprice) AS price_text,
        CAST(floor(o_totalprice * 0.25::DOUBLE) AS BIGINT) AS quarter_floor
 FROM orders"""
 
+_D2 = "list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])))"
+
+KNN = f"""
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pairs AS (SELECT a.vec_id, a.label, b.vec_id AS nbr_id, {_D2} AS d2
+          FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(d2, 9), nbr_id) AS rank FROM pairs)
+SELECT vec_id, label, CAST(rank AS INTEGER) AS rank, nbr_id, round(d2, 6) AS d2 FROM r WHERE rank <= 5"""
+
+SMOTE = f"""
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+sz AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+tg AS (SELECT label, n, max(n) OVER () - n AS need FROM sz),
+pairs AS (SELECT a.vec_id, b.vec_id AS nbr_id, {_D2} AS d2
+          FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+          JOIN tg ON tg.label = a.label WHERE tg.need > 0),
+nn0 AS (SELECT vec_id, nbr_id, row_number() OVER (PARTITION BY vec_id ORDER BY round(d2, 9), nbr_id) AS rank
+        FROM pairs),
+nn AS (SELECT * FROM nn0 WHERE rank <= 5),
+kc AS (SELECT vec_id, count(*) AS kk FROM nn GROUP BY vec_id),
+r AS (SELECT e.vec_id, e.label, e.v, tg.need, tg.n,
+             row_number() OVER (PARTITION BY e.label ORDER BY {H(42, 'e.vec_id')}, e.vec_id) - 1 AS r
+      FROM e JOIN tg ON e.label = tg.label WHERE tg.need > 0),
+q AS (SELECT *, need // n + CASE WHEN r < need % n THEN 1 ELSE 0 END AS quota FROM r),
+d AS (SELECT vec_id, label, v, unnest(range(1, quota + 1)) AS j FROM q WHERE quota > 0),
+dd AS (SELECT d.*, {H(42, 'd.vec_id', 'j', "'n'")} % kc.kk + 1 AS pick,
+              CAST({H(42, 'd.vec_id', 'j', "'u'")} AS DOUBLE) / 4294967296.0::DOUBLE AS u
+       FROM d JOIN kc ON kc.vec_id = d.vec_id),
+syn AS (SELECT dd.label,
+               list_sum(list_transform(range(1, len(dd.v) + 1), lambda i: dd.v[i] + dd.u * (b.v[i] - dd.v[i]))) AS s
+        FROM dd JOIN nn ON nn.vec_id = dd.vec_id AND nn.rank = dd.pick JOIN e b ON b.vec_id = nn.nbr_id),
+agg AS (SELECT label, count(*) AS cnt, sum(s) AS ssum FROM syn GROUP BY label)
+SELECT sz.label, CAST(sz.n AS BIGINT) AS n_original, CAST(coalesce(agg.cnt, 0) AS BIGINT) AS n_synthetic,
+       CAST(sz.n + coalesce(agg.cnt, 0) AS BIGINT) AS n_total,
+       round(coalesce(agg.ssum, 0.0::DOUBLE), 4) AS synthetic_sum
+FROM sz LEFT JOIN agg ON sz.label = agg.label"""
+
 
 ORACLES = {
     "confusion_rates": CONFUSION_RATES,
@@ -333,4 +370,6 @@ ORACLES = {
     "tail_holdout": TAIL_HOLDOUT,
     "label_flip": LABEL_FLIP,
     "scalar_formats": SCALAR_FORMATS,
+    "knn": KNN,
+    "smote": SMOTE,
 }

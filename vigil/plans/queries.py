@@ -13,6 +13,8 @@ from vigil.functions import scalar as S
 from vigil.operators import encode as E
 from vigil.operators import history as H
 from vigil.operators import metrics as M
+from vigil.operators import neighbors as NB
+from vigil.operators import resample as RS
 from vigil.operators import select as SEL
 from vigil.operators import split as SP
 from vigil.operators.ranking import ordered_row_ids
@@ -275,3 +277,21 @@ def scalar_formats(spark: SparkSession, sf: str) -> DataFrame:
                     S.stamp("o_orderdate").alias("date_text"),
                     _r(S.safe_div(F.col("o_totalprice"), F.length("o_orderpriority") - 8)).alias("ratio"),
                     F.floor(F.col("o_totalprice") * 0.25).cast("bigint").alias("quarter_floor"))
+
+
+# --- J5, W9: nearest neighbours inside a class -----------------------------------
+
+def knn(spark: SparkSession, sf: str) -> DataFrame:
+    emb = table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    nn = NB.knn_within_class(emb, "vec_id", "label", "embedding", k=5)
+    return nn.select("vec_id", "label", "rank", "nbr_id", _r(F.col("d2")).alias("d2"))
+
+
+# --- R1, U3: SMOTE ----------------------------------------------------------------
+
+def smote(spark: SparkSession, sf: str) -> DataFrame:
+    emb = table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    out = RS.smote(emb, "vec_id", "label", "embedding", k=5, seed=SEED)
+    s = RS.smote_summary(out, "label")
+    return s.select("label", "n_original", "n_synthetic", "n_total",
+                    F.round("synthetic_sum", 4).alias("synthetic_sum"))
