@@ -34,7 +34,7 @@ def class_sizes(df: DataFrame, class_col: str) -> dict:
 
 def smote(df: DataFrame, id_col: str, class_col: str, vec_col: str, k: int = 5, seed=42,
           block_rows: int = 1024, chunk_rows: int = 100_000) -> DataFrame:
-    """``(source_id, sample, class, vec, is_synthetic)``: every original row
+    """``(source_id, sample, <class_col>, <vec_col>, is_synthetic)``: every original row
     (``sample = 0``) and the synthetic rows (``sample = 1..quota``) of each grown class."""
     sizes = class_sizes(df, class_col)
     if not sizes:
@@ -50,7 +50,7 @@ def smote(df: DataFrame, id_col: str, class_col: str, vec_col: str, k: int = 5,
     originals = base.select("source_id", F.lit(0).cast("bigint").alias("sample"), "cls", "vec",
                             F.lit(False).alias("is_synthetic"))
     if not need:
-        return originals.withColumnRenamed("cls", class_col)
+        return originals.withColumnRenamed("cls", class_col).withColumnRenamed("vec", vec_col)
 
     grown_classes = list(need)
     grow = base.where(F.col("cls").isin(grown_classes))
@@ -84,13 +84,14 @@ def smote(df: DataFrame, id_col: str, class_col: str, vec_col: str, k: int = 5,
     new_vec = F.zip_with(F.col("vec"), nbr, lambda a, b: a + F.col("__u") * (b - a))
     synthetic = draws.select("source_id", F.col("sample").cast("bigint").alias("sample"), "cls",
                              new_vec.alias("vec"), F.lit(True).alias("is_synthetic"))
-    return originals.unionByName(synthetic).withColumnRenamed("cls", class_col)
+    return (originals.unionByName(synthetic).withColumnRenamed("cls", class_col)
+                     .withColumnRenamed("vec", vec_col))
 
 
-def smote_summary(resampled: DataFrame, class_col: str) -> DataFrame:
+def smote_summary(resampled: DataFrame, class_col: str, vec_col: str) -> DataFrame:
     """Per class: originals, synthetic rows, total, and the sum of all synthetic vector
     elements (a checksum of the generated values)."""
-    elem_sum = F.aggregate(F.col("vec"), F.lit(0.0), lambda acc, x: acc + x)
+    elem_sum = F.aggregate(F.col(vec_col), F.lit(0.0), lambda acc, x: acc + x)
     return resampled.groupBy(class_col).agg(
         F.sum((~F.col("is_synthetic")).cast("long")).alias("n_original"),
         F.sum(F.col("is_synthetic").cast("long")).alias("n_synthetic"),

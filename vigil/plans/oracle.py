@@ -344,6 +344,16 @@ SELECT sz.label, CAST(sz.n AS BIGINT) AS n_original, CAST(coalesce(agg.cnt, 0) A
 FROM sz LEFT JOIN agg ON sz.label = agg.label"""
 
 
+CSV_ROUNDTRIP = """SELECT * FROM orders"""
+
+METRICS_SINK = f"""
+WITH r AS ({CONFUSION_RATES}),
+w AS (SELECT CAST(class AS VARCHAR) AS class, CAST(tp AS DOUBLE) AS tp, CAST(fp AS DOUBLE) AS fp,
+             CAST(fn AS DOUBLE) AS fn, CAST(tn AS DOUBLE) AS tn, fpr, fnr FROM r)
+SELECT '0.25-0.001_0.001-100' AS run_id, 'binary' AS stage, class, metric, value
+FROM (UNPIVOT w ON tp, fp, fn, tn, fpr, fnr INTO NAME metric VALUE value)"""
+
+
 ORACLES = {
     "confusion_rates": CONFUSION_RATES,
     "confusion_matrix": CONFUSION_MATRIX,
@@ -372,4 +382,6 @@ ORACLES = {
     "scalar_formats": SCALAR_FORMATS,
     "knn": KNN,
     "smote": SMOTE,
+    "csv_roundtrip": CSV_ROUNDTRIP,
+    "metrics_sink": METRICS_SINK,
 }

@@ -18,6 +18,9 @@ from vigil.operators import resample as RS
 from vigil.operators import select as SEL
 from vigil.operators import split as SP
 from vigil.operators.ranking import ordered_row_ids
+from vigil.session import checkpoint_dir
+from vigil.sources import connections as CSV
+from vigil.sources import sinks as SK
 from vigil.sources.tables import table
 
 R6 = 6  # decimals kept on float outputs so both engines agree on every digit
@@ -292,6 +295,32 @@ def knn(spark: SparkSession, sf: str) -> DataFrame:
 def smote(spark: SparkSession, sf: str) -> DataFrame:
     emb = table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
     out = RS.smote(emb, "vec_id", "label", "embedding", k=5, seed=SEED)
-    s = RS.smote_summary(out, "label")
+    s = RS.smote_summary(out, "label", "embedding")
     return s.select("label", "n_original", "n_synthetic", "n_total",
                     F.round("synthetic_sum", 4).alias("synthetic_sum"))
+
+
+# --- S1/S4, S5/S8: sinks read back ------------------------------------------------
+
+def _scratch(spark: SparkSession, what: str) -> str:
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/vigil-out/{what}-{uuid.uuid4().hex}"
+
+
+def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders")
+    path = _scratch(spark, "orders-csv")
+    SK.write_csv(orders, path)
+    return CSV.read_csv_typed(spark, path, orders.schema)
+
+
+RUN_ID = SK.run_id(0.25, (0.001, 0.001), 100)
+
+
+def metrics_sink(spark: SparkSession, sf: str) -> DataFrame:
+    rates = confusion_rates(spark, sf)
+    long = SK.metrics_long(rates, "class", ["tp", "fp", "fn", "tn", "fpr", "fnr"], RUN_ID, "binary")
+    path = _scratch(spark, "metrics")
+    SK.append_metrics(long, path)
+    schema = "stage string, class string, metric string, value double, run_id string"
+    return spark.read.schema(schema).parquet(path).select("run_id", "stage", "class", "metric", "value")
