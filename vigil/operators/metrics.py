@@ -1,9 +1,12 @@
 """Evaluation tables (A1-A14, D3 helpers).
 
-Everything starts from one partial aggregate of the scored rows,
-``groupBy(actual, predicted).count()``: k² rows for k classes.  All per-class
-numbers (TP/FP/FN/TN, rates, precision/recall/F1, support) are derived from that
-small table, so the scored data is scanned once however many metrics are asked for.
+The scored rows feed exactly one aggregation: ``groupBy(actual, predicted).count()``
+(partial aggregation before the shuffle), folded into a single row that holds the
+sorted label list and the non-zero cells — at most k² entries for k classes, the
+size of the confusion matrix itself.  Every table below (matrix, per-class counts,
+rates, report, F1 averages) is a projection of that row with higher-order functions:
+the data is scanned once however many metrics are asked for, and nothing after the
+aggregate shuffles again.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.scalar import safe_div
 
+
 def _all():
     """A window over every row of a small (k-row) table."""
     return Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -27,56 +31,73 @@ def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("n")))
 
 
-def _label_grid(labels: DataFrame) -> DataFrame:
-    """label × label pairs from a one-column label table, generated (not joined) from
-    the sorted label array; k is the number of classes, so this is k² rows."""
-    arr = labels.agg(F.sort_array(F.collect_set(F.col("label"))).alias("ls"))
-    return (arr.select(F.explode("ls").alias("actual"), "ls")
-               .select("actual", F.explode("ls").alias("predicted")))
+def confusion_cells(df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None) -> DataFrame:
+    """One row: ``labels`` (the sorted union of true and predicted labels, or the given
+    list) and ``cells`` (``array<struct<a, p, n>>`` of the non-zero cells)."""
+    counts = confusion_counts(df, actual, predicted)
+    row = counts.agg(
+        F.collect_list(F.struct(F.col("actual").alias("a"), F.col("predicted").alias("p"),
+                                F.col("n").alias("n"))).alias("cells"),
+        F.array_union(F.collect_set("actual"), F.collect_set("predicted")).alias("seen"))
+    if labels is None:
+        lab = F.array_sort(F.col("seen"))
+    else:
+        dtype = dict(counts.dtypes)["actual"]
+        lab = F.array(*[F.lit(x).cast(dtype) for x in labels])
+    return row.select(lab.alias("labels"), "cells")
+
+
+def _sum_n(cells: Column, pred) -> Column:
+    return F.aggregate(F.filter(cells, pred), F.lit(0).cast("bigint"), lambda acc, e: acc + e["n"])
+
+
+def _cell_map(cells: Column) -> Column:
+    return F.map_from_entries(F.transform(
+        cells, lambda e: F.struct(F.struct(e["a"].alias("a"), e["p"].alias("p")).alias("k"), e["n"].alias("v"))))
+
+
+def _lookup(m: Column, a: Column, p: Column) -> Column:
+    return F.coalesce(F.try_element_at(m, F.struct(a.alias("a"), p.alias("p"))), F.lit(0).cast("bigint"))
+
+
+def _class_structs(labels: Column, cells: Column) -> Column:
+    """``array<struct<class, tp, support, predicted_n>>`` in label order."""
+    m = _cell_map(cells)
+    return F.transform(labels, lambda c: F.struct(
+        c.alias("class"), _lookup(m, c, c).alias("tp"),
+        _sum_n(cells, lambda e: e["a"] == c).alias("support"),
+        _sum_n(cells, lambda e: e["p"] == c).alias("predicted_n")))
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str,
                      labels: Sequence | None = None) -> DataFrame:
     """A1: long-form confusion matrix ``(actual, predicted, n)`` over the sorted union
     of true and predicted labels (or the given ``labels``), zero cells included."""
-    counts = confusion_counts(df, actual, predicted)
-    if labels is None:
-        label_df = counts.select(F.col("actual").alias("label")).union(
-            counts.select(F.col("predicted").alias("label")))
-    else:
-        dtype = dict(counts.dtypes)["actual"]
-        label_df = df.sparkSession.createDataFrame([(x,) for x in labels], f"label {dtype}")
-    grid = _label_grid(label_df)
-    return (grid.join(counts, ["actual", "predicted"], "left")
-                .select("actual", "predicted", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
-
-
-def class_counts(cm: DataFrame) -> DataFrame:
-    """A2/A4: per class ``tp, fp, fn, tn, support, predicted_n`` from the long matrix
-    (row sums, column sums, diagonal and total of the k² table)."""
-    cells = cm.select(F.explode(F.array(
-        F.struct(F.col("actual").alias("cls"), F.col("n").alias("row_n"),
-                 F.lit(0).cast("bigint").alias("col_n"),
-                 F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0).cast("bigint").alias("diag")),
-        F.struct(F.col("predicted").alias("cls"), F.lit(0).cast("bigint").alias("row_n"),
-                 F.col("n").alias("col_n"), F.lit(0).cast("bigint").alias("diag")),
-    )).alias("c")).select("c.*")
-    per = cells.groupBy("cls").agg(F.sum("row_n").alias("support"), F.sum("col_n").alias("predicted_n"),
-                                   F.sum("diag").alias("tp"))
-    total = F.sum("support").over(_all())
+    cells = confusion_cells(df, actual, predicted, labels)
+    grid = (cells.select(F.explode("labels").alias("actual"), "labels", _cell_map(F.col("cells")).alias("m"))
+                 .select("actual", F.explode("labels").alias("predicted"), "m"))
+    return grid.select("actual", "predicted",
+                       _lookup(F.col("m"), F.col("actual"), F.col("predicted")).alias("n"))
+
+
+def class_counts(df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None) -> DataFrame:
+    """A2/A4: per class ``tp, fp, fn, tn, support, predicted_n``: diagonal, column and
+    row sums and the total of the matrix (counted over all rows, as a per-label
+    confusion matrix does even when ``labels`` is a subset)."""
+    cells = confusion_cells(df, actual, predicted, labels)
+    total = F.aggregate(F.col("cells"), F.lit(0).cast("bigint"), lambda acc, e: acc + e["n"])
+    per = cells.select(F.explode(_class_structs(F.col("labels"), F.col("cells"))).alias("s"),
+                       total.alias("total")).select("s.*", "total")
     return per.select(
-        F.col("cls").alias("class"),
-        F.col("tp").cast("bigint").alias("tp"),
-        (F.col("predicted_n") - F.col("tp")).cast("bigint").alias("fp"),
-        (F.col("support") - F.col("tp")).cast("bigint").alias("fn"),
-        (total - F.col("support") - F.col("predicted_n") + F.col("tp")).cast("bigint").alias("tn"),
-        F.col("support").cast("bigint").alias("support"),
-        F.col("predicted_n").cast("bigint").alias("predicted_n"))
+        "class", "tp", (F.col("predicted_n") - F.col("tp")).alias("fp"),
+        (F.col("support") - F.col("tp")).alias("fn"),
+        (F.col("total") - F.col("support") - F.col("predicted_n") + F.col("tp")).alias("tn"),
+        "support", "predicted_n")
 
 
 def class_rates(df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None) -> DataFrame:
     """A1→A3: ``(class, tp, fp, fn, tn, fpr, fnr)``; a zero denominator gives 0."""
-    c = class_counts(confusion_matrix(df, actual, predicted, labels))
+    c = class_counts(df, actual, predicted, labels)
     return c.select("class", "tp", "fp", "fn", "tn",
                     safe_div(F.col("fp"), F.col("fp") + F.col("tn")).alias("fpr"),
                     safe_div(F.col("fn"), F.col("fn") + F.col("tp")).alias("fnr"))
@@ -89,70 +110,80 @@ def _prf(tp: Column, fp: Column, fn: Column):
     return p, r, f
 
 
+def _arr_sum(arr: Column, field: str, zero=0) -> Column:
+    start = F.lit(zero).cast("bigint") if isinstance(zero, int) else F.lit(float(zero))
+    return F.aggregate(arr, start, lambda acc, s: acc + s[field])
+
+
+def _scored_classes(per: Column) -> Column:
+    """Per-class structs with precision, recall and F1 added."""
+    def one(s):
+        fp = s["predicted_n"] - s["tp"]
+        fn = s["support"] - s["tp"]
+        p, r, f = _prf(s["tp"], fp, fn)
+        return F.struct(s["class"].cast("string").alias("class"), p.alias("precision"), r.alias("recall"),
+                        f.alias("f1"), s["support"].alias("support"), s["tp"].alias("tp"),
+                        fp.alias("fp"), fn.alias("fn"), s["predicted_n"].alias("predicted_n"))
+    return F.transform(per, one)
+
+
 def classification_report(df: DataFrame, actual: str, predicted: str,
                           labels: Sequence | None = None) -> DataFrame:
     """``(class, precision, recall, f1, support)`` for each label present in
     ``actual`` (or the given labels), then ``accuracy`` (or ``micro avg`` when some
     predicted class is not among the labels), ``macro avg`` and ``weighted avg``.
     Zero division gives 0.  The accuracy row carries only ``f1`` and ``support``."""
-    cm = confusion_matrix(df, actual, predicted)
-    counts = class_counts(cm)
+    cells = confusion_cells(df, actual, predicted)
+    per = _class_structs(F.col("labels"), F.col("cells"))
     if labels is None:
-        flagged = counts.withColumn("__in", F.col("support") > 0)
+        chosen = lambda s: s["support"] > 0
     else:
-        keep = df.sparkSession.createDataFrame([(x, True) for x in labels],
-                                               f"class {dict(counts.dtypes)['class']}, __in boolean")
-        flagged = counts.join(F.broadcast(keep), "class", "left") \
-                        .withColumn("__in", F.coalesce(F.col("__in"), F.lit(False)))
-    p, r, f = _prf(F.col("tp"), F.col("fp"), F.col("fn"))
-    scored = flagged.select(F.col("class").cast("string").alias("class"), p.alias("precision"),
-                            r.alias("recall"), f.alias("f1"), "support", "tp", "fp", "fn",
-                            "predicted_n", "__in")
-    rows = scored.where(F.col("__in"))
-
-    def only_in(c: Column) -> Column:
-        return F.when(F.col("__in"), c)
-
-    # one aggregate over the k class rows; the micro row is "accuracy" when every
-    # predicted class is one of the labels, "micro avg" otherwise
-    summary = scored.agg(
-        F.sum(only_in(F.col("tp"))).alias("tp"), F.sum(only_in(F.col("fp"))).alias("fp"),
-        F.sum(only_in(F.col("fn"))).alias("fn"), F.sum(only_in(F.col("support"))).alias("support"),
-        F.avg(only_in(F.col("precision"))).alias("mp"), F.avg(only_in(F.col("recall"))).alias("mr"),
-        F.avg(only_in(F.col("f1"))).alias("mf"),
-        safe_div(F.sum(only_in(F.col("precision") * F.col("support"))), F.sum(only_in(F.col("support")))).alias("wp"),
-        safe_div(F.sum(only_in(F.col("recall") * F.col("support"))), F.sum(only_in(F.col("support")))).alias("wr"),
-        safe_div(F.sum(only_in(F.col("f1") * F.col("support"))), F.sum(only_in(F.col("support")))).alias("wf"),
-        F.coalesce(F.sum(F.when(~F.col("__in"), F.col("predicted_n"))), F.lit(0)).alias("pred_outside"))
-    mp, mr, mf = _prf(F.col("tp"), F.col("fp"), F.col("fn"))
-    is_acc = F.col("pred_outside") == 0
-    avg_rows = summary.select(F.explode(F.array(
-        F.struct(F.when(is_acc, "accuracy").otherwise("micro avg").alias("class"),
-                 F.when(is_acc, F.lit(None)).otherwise(mp).alias("precision"),
-                 F.when(is_acc, F.lit(None)).otherwise(mr).alias("recall"),
-                 mf.alias("f1"), F.col("support").alias("support")),
-        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                 F.col("mf").alias("f1"), F.col("support").alias("support")),
-        F.struct(F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"),
-                 F.col("wr").alias("recall"), F.col("wf").alias("f1"), F.col("support").alias("support")),
-    )).alias("r")).select("r.*")
-    per_class = rows.select("class", "precision", "recall", "f1", "support")
-    return per_class.unionByName(avg_rows.select(
-        "class", F.col("precision").cast("double").alias("precision"),
-        F.col("recall").cast("double").alias("recall"), "f1", F.col("support").cast("bigint").alias("support")))
+        keep = F.array(*[F.lit(str(x)) for x in labels])
+        chosen = lambda s: F.array_contains(keep, s["class"].cast("string"))
+    staged = cells.select(_scored_classes(F.filter(per, chosen)).alias("sel"),
+                          F.filter(per, lambda s: ~chosen(s)).alias("rest"))
+    sel = F.col("sel")
+    n_sel = F.size(sel)
+    tp, fp, fn, sup = (_arr_sum(sel, "tp"), _arr_sum(sel, "fp"), _arr_sum(sel, "fn"), _arr_sum(sel, "support"))
+    mp, mr, mf = _prf(tp, fp, fn)
+    outside = _arr_sum(F.col("rest"), "predicted_n")
+    is_acc = outside == 0
+
+    def mean(field):
+        return safe_div(_arr_sum(sel, field, 0.0), n_sel)
+
+    def weighted(field):
+        return safe_div(F.aggregate(sel, F.lit(0.0), lambda acc, s: acc + s[field] * s["support"]), sup)
+
+    def row(name, p, r, f):
+        return F.struct(name.alias("class"), p.cast("double").alias("precision"),
+                        r.cast("double").alias("recall"), f.cast("double").alias("f1"),
+                        sup.cast("bigint").alias("support"))
+
+    per_rows = F.transform(sel, lambda s: F.struct(
+        s["class"].alias("class"), s["precision"].alias("precision"), s["recall"].alias("recall"),
+        s["f1"].alias("f1"), s["support"].cast("bigint").alias("support")))
+    summary = F.array(
+        row(F.when(is_acc, F.lit("accuracy")).otherwise(F.lit("micro avg")),
+            F.when(is_acc, F.lit(None)).otherwise(mp), F.when(is_acc, F.lit(None)).otherwise(mr), mf),
+        row(F.lit("macro avg"), mean("precision"), mean("recall"), mean("f1")),
+        row(F.lit("weighted avg"), weighted("precision"), weighted("recall"), weighted("f1")))
+    return staged.select(F.explode(F.concat(per_rows, summary)).alias("r")).select("r.*")
 
 
 def f1_scores(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """A5/A8/A9 in one row: ``accuracy``, ``f1_micro``, ``f1_macro``, ``f1_weighted``
     over the union of true and predicted labels (zero division → 0)."""
-    c = class_counts(confusion_matrix(df, actual, predicted))
-    p, r, f = _prf(F.col("tp"), F.col("fp"), F.col("fn"))
-    per = c.select("tp", "fp", "fn", "support", f.alias("f1"))
-    return per.agg(
-        safe_div(F.sum("tp"), F.sum("support")).alias("accuracy"),
-        safe_div(2 * F.sum("tp"), 2 * F.sum("tp") + F.sum("fp") + F.sum("fn")).alias("f1_micro"),
-        F.avg("f1").alias("f1_macro"),
-        safe_div(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1_weighted"))
+    cells = confusion_cells(df, actual, predicted)
+    sel = _scored_classes(_class_structs(F.col("labels"), F.col("cells")))
+    staged = cells.select(sel.alias("s"))
+    s = F.col("s")
+    tp, fp, fn, sup = (_arr_sum(s, "tp"), _arr_sum(s, "fp"), _arr_sum(s, "fn"), _arr_sum(s, "support"))
+    return staged.select(
+        safe_div(tp, sup).alias("accuracy"),
+        safe_div(2 * tp, 2 * tp + fp + fn).alias("f1_micro"),
+        safe_div(_arr_sum(s, "f1", 0.0), F.size(s)).alias("f1_macro"),
+        safe_div(F.aggregate(s, F.lit(0.0), lambda acc, x: acc + x["f1"] * x["support"]), sup).alias("f1_weighted"))
 
 
 def accuracy(df: DataFrame, actual: str, predicted: str) -> Column:
