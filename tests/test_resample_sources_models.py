@@ -199,3 +199,23 @@ def test_model_queries_run(spark, name):
     import __spark_entry__ as entry
     df = entry.queries()[name](spark, SF001)
     assert df.count() > 0
+
+
+def test_resample_to_counts_exact(spark):
+    from vigil.operators.resample import resample_to_counts
+    df = spark.createDataFrame([(i, "a" if i < 10 else "b") for i in range(14)], "k bigint, c string")
+    out = resample_to_counts(df, ["k"], "c", {"a": 4, "b": 11}, seed=1, chunk_rows=2)
+    counts = {r.c: r[1] for r in out.groupBy("c").count().collect()}
+    assert counts == {"a": 4, "b": 11}
+    per_row = [r[1] for r in out.where("c = 'b'").groupBy("k").count().collect()]
+    assert sorted(per_row) == [2, 3, 3, 3]                   # 11 = 4·2 + 3
+
+
+def test_feature_importances(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.createDataFrame([(float(i), float(i % 2), float(i >= 20)) for i in range(40)], "a double, b double, label double")
+    v = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    m = RandomForestClassifier(numTrees=5, seed=1).fit(v)
+    imp = {r.feature: r for r in ML.feature_importances(spark, m, ["a", "b"]).collect()}
+    assert imp["a"].kept and math.isclose(imp["a"].importance + imp["b"].importance, 1.0)

@@ -15,6 +15,8 @@ facing a huge majority does not put billions of rows into one task.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,15 +70,9 @@ def smote(df: DataFrame, id_col: str, class_col: str, vec_col: str, k: int = 5,
     based = ranked.select("source_id", "cls", "vec", quota.alias("quota")).where(F.col("quota") > 0)
     based = based.join(nbrs, "source_id")
 
-    chunks = F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                  F.ceil(F.col("quota") / F.lit(chunk_rows)).cast("bigint") - 1))
-    chunked = based.select("*", chunks.alias("chunk"))
     max_quota = max(-(-need[c] // sizes[c]) for c in need)
-    if max_quota > chunk_rows:
-        chunked = chunked.repartition("source_id", "chunk")
-    j = F.explode(F.sequence(F.col("chunk") * chunk_rows + 1,
-                             F.least(F.col("quota"), (F.col("chunk") + 1) * chunk_rows)))
-    draws = chunked.select("source_id", "cls", "vec", "nbrs", j.alias("sample"))
+    draws = explode_counts(based.select("source_id", "cls", "vec", "nbrs", "quota"), "quota", "sample",
+                           chunk_rows, spread=max_quota > chunk_rows)
     pick = (keyed_u32(seed, "source_id", "sample", F.lit("n")) % F.size("nbrs")) + 1
     draws = draws.select("*", pick.cast("int").alias("__pick"),
                          keyed_uniform(seed, "source_id", "sample", F.lit("u")).alias("__u"))
@@ -97,3 +93,38 @@ def smote_summary(resampled: DataFrame, class_col: str, vec_col: str) -> DataFra
         F.sum(F.col("is_synthetic").cast("long")).alias("n_synthetic"),
         F.count(F.lit(1)).alias("n_total"),
         F.coalesce(F.sum(F.when(F.col("is_synthetic"), elem_sum)), F.lit(0.0)).alias("synthetic_sum"))
+
+
+def explode_counts(df: DataFrame, count_col: str, out: str, chunk_rows: int = 100_000,
+                   spread: bool = False) -> DataFrame:
+    """One row per ``1..count`` of every input row.  Counts above ``chunk_rows`` are
+    first cut into chunks; with ``spread`` the chunks are hash-distributed over tasks
+    before the final ``explode``, so one row with a huge count is not one task."""
+    chunks = F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                  F.ceil(F.col(count_col) / F.lit(chunk_rows)).cast("bigint") - 1))
+    chunked = df.select("*", chunks.alias("__chunk"))
+    if spread:
+        chunked = chunked.repartition(*[c for c in df.columns if c != count_col][:1], "__chunk")
+    j = F.explode(F.sequence(F.col("__chunk") * chunk_rows + 1,
+                             F.least(F.col(count_col), (F.col("__chunk") + 1) * chunk_rows)))
+    return chunked.select(*df.columns, j.alias(out)).drop(count_col)
+
+
+def resample_to_counts(df: DataFrame, key_cols: list[str], label_col: str, targets: Mapping,
+                       seed=42, out: str = "copy", chunk_rows: int = 100_000) -> DataFrame:
+    """Random over/under-sampling to per-class target counts, keyed and exact.
+
+    A class with ``n`` rows and target ``t <= n`` keeps its first ``t`` rows in keyed-hash
+    order; with ``t > n`` every row appears ``t // n`` times plus once more for the
+    first ``t % n`` rows (``out`` numbers the copies from 1).  Classes without a target
+    keep every row once."""
+    ranked = hash_rank(df, key_cols, seed, partition_cols=[label_col], out="__r", total_out="__n")
+    tmap = F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(int(v)))])
+    t = F.coalesce(F.try_element_at(tmap, F.col(label_col)).cast("bigint"), F.col("__n"))
+    extra = F.when(F.col("__r") < t % F.col("__n"), 1).otherwise(0)
+    copies = F.when(t <= F.col("__n"), F.when(F.col("__r") < t, 1).otherwise(0)) \
+              .otherwise(F.floor(t / F.col("__n")) + extra).cast("bigint")
+    kept = ranked.withColumn("__copies", copies).drop("__r", "__n").where(F.col("__copies") > 0)
+    sizes = class_sizes(df, label_col)
+    worst = max([-(-int(v) // max(1, sizes.get(k, 1))) for k, v in targets.items()] or [1])
+    return explode_counts(kept, "__copies", out, chunk_rows, spread=worst > chunk_rows)

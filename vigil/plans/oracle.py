@@ -354,6 +354,19 @@ SELECT '0.25-0.001_0.001-100' AS run_id, 'binary' AS stage, class, metric, value
 FROM (UNPIVOT w ON tp, fp, fn, tn, fpr, fnr INTO NAME metric VALUE value)"""
 
 
+RESAMPLE_COUNTS = f"""
+WITH r AS (SELECT event_id, event_type,
+                  row_number() OVER (PARTITION BY event_type ORDER BY {H(42, 'event_id')}, event_id) - 1 AS r,
+                  count(*) OVER (PARTITION BY event_type) AS n FROM events),
+t AS (SELECT *, CASE WHEN event_type = 'click' THEN 1500 WHEN event_type = 'view' THEN 2500 ELSE n END AS t FROM r),
+c AS (SELECT *, CASE WHEN t <= n THEN CASE WHEN r < t THEN 1 ELSE 0 END
+                     ELSE t // n + CASE WHEN r < t % n THEN 1 ELSE 0 END END AS copies FROM t),
+e AS (SELECT event_id, event_type, unnest(range(1, copies + 1)) AS copy FROM c WHERE copies > 0)
+SELECT event_type, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT event_id) AS BIGINT) AS n_events,
+       CAST(max(copy) AS BIGINT) AS max_copy, CAST(sum(event_id) AS BIGINT) AS id_sum
+FROM e GROUP BY event_type"""
+
+
 ORACLES = {
     "confusion_rates": CONFUSION_RATES,
     "confusion_matrix": CONFUSION_MATRIX,
@@ -384,4 +397,5 @@ ORACLES = {
     "smote": SMOTE,
     "csv_roundtrip": CSV_ROUNDTRIP,
     "metrics_sink": METRICS_SINK,
+    "resample_counts": RESAMPLE_COUNTS,
 }

@@ -324,3 +324,16 @@ def metrics_sink(spark: SparkSession, sf: str) -> DataFrame:
     SK.append_metrics(long, path)
     schema = "stage string, class string, metric string, value double, run_id string"
     return spark.read.schema(schema).parquet(path).select("run_id", "stage", "class", "metric", "value")
+
+
+# --- R (commented-out variant): resampling to target counts --------------------------
+
+EVENT_TARGETS = {"click": 1500, "view": 2500}
+
+
+def resample_counts(spark: SparkSession, sf: str) -> DataFrame:
+    ev = table(spark, sf, "events").select("event_id", "event_type")
+    out = RS.resample_to_counts(ev, ["event_id"], "event_type", EVENT_TARGETS, seed=SEED)
+    return out.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_id").alias("n_events"),
+        F.max("copy").alias("max_copy"), F.sum("event_id").alias("id_sum"))
