@@ -126,3 +126,10 @@ def test_selectors_tie_rules(spark):
     trials = spark.createDataFrame([("b", 0.3), ("a", 0.3), ("c", 0.1)], "t string, s double")
     assert SEL.best_trial(trials, "t", "s").first().t == "a"
     assert SEL.best_trial(trials, "t", "s", maximize=False).first().t == "c"
+
+
+def test_ordered_row_ids_on_timestamps(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts")
+    got = ordered_row_ids(ev, "ts", n_buckets=8).select("event_id", "row_id")
+    want = ev.withColumn("row_id", F.row_number().over(Window.orderBy("ts")) - 1)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("event_id", "row_id").collect()))

@@ -68,11 +68,7 @@ def ordered_row_ids(df: DataFrame, order_col: str, out: str = "row_id",
     key, e.g. the source record number).  Bucket edges come from ``approxQuantile``
     (a few hundred numbers on the driver); their accuracy only affects balance."""
     n_b = n_buckets or (1 << default_bucket_bits(df))
-    key = F.col(order_col)
-    dtype = dict(df.dtypes)[order_col]
-    as_num = key.cast("long").cast("double") if dtype.startswith("timestamp") or dtype == "date" \
-        else key.cast("double")
-    staged = df.withColumn("__k", as_num)
+    staged = df.withColumn("__k", _monotone_number(df, order_col))
     probs = [i / n_b for i in range(1, n_b)]
     edges = sorted(set(x for x in staged.approxQuantile("__k", probs, rel_error) if x == x))
     splits = [float("-inf")] + edges + [float("inf")]
@@ -82,3 +78,22 @@ def ordered_row_ids(df: DataFrame, order_col: str, out: str = "row_id",
                         handleInvalid="keep").transform(staged)
     res = _rank_in_buckets(staged, [], "__kb", [order_col], out, total_out)
     return res.drop("__k", "__kb")
+
+
+def _monotone_number(df: DataFrame, col: str):
+    """A double that never decreases as ``col`` increases (used only to pick buckets;
+    the exact order inside a bucket is by ``col`` itself)."""
+    dtype = dict(df.dtypes)[col]
+    c = F.col(col)
+    if dtype == "date":
+        return F.unix_date(c).cast("double")
+    if dtype == "timestamp":
+        return F.unix_micros(c).cast("double")
+    if dtype == "timestamp_ntz":
+        tz = df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
+        if tz not in ("UTC", "GMT", "Etc/UTC", "Z", "+00:00"):
+            raise ValueError("timestamp_ntz order keys need a UTC session time zone")
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or dtype.startswith("decimal"):
+        return c.cast("double")
+    raise ValueError(f"ordered_row_ids needs a numeric, date or timestamp key, not {dtype}")
