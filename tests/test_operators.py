@@ -204,3 +204,15 @@ def test_log_loss_clipping(spark):
     assert math.isclose(loss, want, rel_tol=1e-12)
     sp = spark.createDataFrame([(0, [0.0, 1.0])], "y int, p array<double>")
     assert math.isclose(sp.agg(M.sparse_log_loss("y", "p")).first()[0], -math.log(1e-7))
+
+
+def test_large_dictionary_uses_join_path(spark):
+    vals = [f"v{i:04d}" for i in range(E.LITERAL_ROWS + 50)]
+    df = spark.createDataFrame([(v,) for v in vals], "c string")
+    d = E.fit_dictionary(df, "c")
+    assert d.mapping is None and d.size == len(vals)
+    got = {r.c: r.code for r in E.encode(df, "c", d, "code").collect()}
+    assert got == {v: i for i, v in enumerate(sorted(vals))}
+    du = E.fit_unknown_dictionary(df, "c")
+    probe = spark.createDataFrame([("zzz",), ("v0001",)], "c string")
+    assert sorted(r.code for r in E.encode(probe, "c", du, "code", unseen="unknown").collect()) == [1, len(vals)]
