@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import os
+import struct
 import sys
 import time
 
@@ -47,6 +48,10 @@ def _norm(v):
     return v
 
 
+def _bits(x):
+    return ("f", struct.pack("<d", x)) if isinstance(x, float) else x
+
+
 def _key(row):
     return tuple((0, "") if x is None else (1, x if not isinstance(x, (int, float)) else float(x))
                  if not isinstance(x, str) else (2, x) for x in row)
@@ -72,7 +77,9 @@ def compare(spark_df, con, sql: str, tol: float = 1e-9) -> dict:
     res["type_mismatch"] = {c: (s_types[c], d_types[c]) for c in order
                             if SPARK_TO_DUCK.get(s_types[c]) != d_types[c]}
     s_sorted, d_sorted = sorted(s_rows, key=_key), sorted(d_rows, key=_key)
-    res["exact"] = s_sorted == d_sorted
+    # bit-level: -0.0 and 0.0 differ for a hash of the raw doubles
+    res["exact"] = [tuple(_bits(x) for x in r) for r in s_sorted] == \
+                   [tuple(_bits(x) for x in r) for r in d_sorted]
     if not res["exact"] and len(s_rows) == len(d_rows):
         bad = []
         for a, b in zip(s_sorted, d_sorted):

@@ -39,7 +39,7 @@ SEED = 42
 
 
 def _r(c, d=R6):
-    return F.round(c, d)
+    return S.round_half_away(c, d)
 
 
 def _flag_rule(li: DataFrame) -> DataFrame:
@@ -297,7 +297,7 @@ def smote(spark: SparkSession, sf: str) -> DataFrame:
     out = RS.smote(emb, "vec_id", "label", "embedding", k=5, seed=SEED)
     s = RS.smote_summary(out, "label", "embedding")
     return s.select("label", "n_original", "n_synthetic", "n_total",
-                    F.round("synthetic_sum", 4).alias("synthetic_sum"))
+                    S.round_half_away("synthetic_sum", 4).alias("synthetic_sum"))
 
 
 # --- S1/S4, S5/S8: sinks read back ------------------------------------------------
