@@ -216,3 +216,18 @@ def test_large_dictionary_uses_join_path(spark):
     du = E.fit_unknown_dictionary(df, "c")
     probe = spark.createDataFrame([("zzz",), ("v0001",)], "c string")
     assert sorted(r.code for r in E.encode(probe, "c", du, "code", unseen="unknown").collect()) == [1, len(vals)]
+
+
+def test_bucketed_dictionary_equals_window_ranking(spark, monkeypatch):
+    vals = [f"k{i % 97:02d}-{i}" for i in range(700)] + ["", "Ä", "zz", "a"]
+    df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)], "c string, s int")
+    window = {r.value: r.code for r in E.fit_dictionary(df, "c").table.collect()}
+    monkeypatch.setattr(E, "LITERAL_ROWS", 5)
+    monkeypatch.setattr(E, "SINGLE_TASK_ROWS", 10)
+    d = E.fit_dictionary(df, "c")
+    assert d.mapping is None and {r.value: r.code for r in d.table.collect()} == window
+    strat = E.fit_dictionary(df, "c", strata=["s"])
+    got = {(r.s, r.value): r.code for r in strat.table.collect()}
+    for s in range(3):
+        ordered = sorted({v for i, v in enumerate(vals) if i % 3 == s}, key=lambda x: x.encode())
+        assert {v: got[(s, v)] for v in ordered} == {v: i for i, v in enumerate(ordered)}

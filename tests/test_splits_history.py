@@ -133,3 +133,16 @@ def test_ordered_row_ids_on_timestamps(spark):
     got = ordered_row_ids(ev, "ts", n_buckets=8).select("event_id", "row_id")
     want = ev.withColumn("row_id", F.row_number().over(Window.orderBy("ts")) - 1)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("event_id", "row_id").collect()))
+
+
+def test_xxhash_option_is_deterministic_and_exact(spark, ids):
+    from vigil.functions.scalar import HASH_CONF
+    spark.conf.set(HASH_CONF, "xxhash64")
+    try:
+        a = SP.hash_split(ids, ["k"], 0.2, 42, exact=True)
+        assert a.where("split = 'test'").count() == 1001
+        b = SP.hash_split(ids.repartition(9), ["k"], 0.2, 42, exact=True)
+        assert {r.k for r in a.where("split = 'test'").collect()} == {r.k for r in b.where("split = 'test'").collect()}
+        assert SP.kfold(ids, ["k"], 5).groupBy("fold").count().count() == 5
+    finally:
+        spark.conf.unset(HASH_CONF)

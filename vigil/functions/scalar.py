@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 TWO_32 = 4294967296  # 2**32
@@ -12,12 +12,25 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+#: session setting that picks the keyed hash: "md5" (default) or "xxhash64"
+HASH_CONF = "vigil.keyedHash"
+
+
+def _hash_algo() -> str:
+    spark = SparkSession.getActiveSession()
+    return spark.conf.get(HASH_CONF, "md5") if spark is not None else "md5"
+
+
 def keyed_u32(seed, *keys: str | Column) -> Column:
     """A uniform 32-bit integer from ``md5(seed|k1|k2…)`` (first 8 hex digits).
 
     Every random choice in this package (splits, folds, flips, SMOTE draws) is derived
     from this hash of the row key, so results do not depend on partitioning or on task
-    retries, and any SQL engine with ``md5`` reproduces them."""
+    retries, and any SQL engine with ``md5`` reproduces them.  With the session setting
+    ``vigil.keyedHash=xxhash64`` the low 32 bits of Spark's ``xxhash64`` are used
+    instead: several times cheaper per row, still deterministic, but Spark-specific."""
+    if _hash_algo() == "xxhash64":
+        return F.pmod(F.xxhash64(F.lit(str(seed)), *[_c(k) for k in keys]), F.lit(TWO_32))
     parts = [F.lit(str(seed))] + [_c(k).cast("string") for k in keys]
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("bigint")
 

@@ -24,8 +24,10 @@ def default_bucket_bits(df: DataFrame) -> int:
     return max(8, min(20, (parts * 16 - 1).bit_length()))
 
 
-def _rank_in_buckets(staged: DataFrame, pcols: list[str], bucket: str, order: list[str],
-                     out: str, total_out: str | None) -> DataFrame:
+def rank_in_buckets(staged: DataFrame, pcols: list[str], bucket: str, order: list[str],
+                    out: str, total_out: str | None) -> DataFrame:
+    """0-based row number in ``order`` within each ``pcols`` stratum, given a ``bucket``
+    column that never decreases along ``order`` (``total_out`` adds the stratum size)."""
     counts = staged.groupBy(*pcols, bucket).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*pcols).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -57,7 +59,7 @@ def hash_rank(df: DataFrame, key_cols: list[str], seed=42, partition_cols: list[
     pcols = list(partition_cols)
     staged = (df.withColumn("__h", keyed_u32(seed, *key_cols))
                 .withColumn("__hb", F.shiftright(F.col("__h"), 32 - bits)))
-    res = _rank_in_buckets(staged, pcols, "__hb", ["__h", *key_cols], out, total_out)
+    res = rank_in_buckets(staged, pcols, "__hb", ["__h", *key_cols], out, total_out)
     return res.drop("__h", "__hb")
 
 
@@ -76,7 +78,7 @@ def ordered_row_ids(df: DataFrame, order_col: str, out: str = "row_id",
         splits = [float("-inf"), 0.0, float("inf")]
     staged = Bucketizer(splits=splits, inputCol="__k", outputCol="__kb",
                         handleInvalid="keep").transform(staged)
-    res = _rank_in_buckets(staged, [], "__kb", [order_col], out, total_out)
+    res = rank_in_buckets(staged, [], "__kb", [order_col], out, total_out)
     return res.drop("__k", "__kb")
 
 
