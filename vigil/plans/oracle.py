@@ -367,6 +367,44 @@ SELECT event_type, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT event
 FROM e GROUP BY event_type"""
 
 
+_EVENT_RULE = """SELECT event_type AS actual,
+       CASE WHEN value < 10.0::DOUBLE THEN 'view' WHEN value < 50.0::DOUBLE THEN 'click'
+            WHEN value < 200.0::DOUBLE THEN 'purchase' ELSE 'error' END AS predicted FROM events"""
+
+GROUPED_ACCURACY = f"""
+WITH s AS ({_EVENT_RULE}),
+g AS (SELECT * FROM (VALUES ('engagement', 'click'), ('engagement', 'view'),
+                            ('conversion', 'purchase'), ('conversion', 'signup')) t(grp, name)),
+a AS (SELECT g.grp, count(*) AS total, sum(CASE WHEN s.actual = s.predicted THEN 1 ELSE 0 END) AS correct
+      FROM s JOIN g ON s.actual = g.name GROUP BY g.grp),
+f AS (SELECT * FROM (VALUES ('engagement'), ('conversion')) t(grp))
+SELECT f.grp AS class, CAST(coalesce(a.total, 0) AS BIGINT) AS total,
+       CAST(coalesce(a.correct, 0) AS BIGINT) AS correct,
+       round({_div('coalesce(a.correct, 0)', 'coalesce(a.total, 0)')}, 6) AS accuracy
+FROM f LEFT JOIN a ON f.grp = a.grp"""
+
+LABEL_SETS = f"""
+WITH s AS ({FLAG_RULE}),
+u AS (SELECT DISTINCT label FROM (SELECT actual AS label FROM s UNION ALL SELECT predicted FROM s)
+      WHERE label IS NOT NULL),
+d AS (SELECT value, CAST(dense_rank() OVER (ORDER BY value) - 1 AS BIGINT) AS code
+      FROM (SELECT DISTINCT c_mktsegment AS value FROM customer WHERE c_mktsegment IS NOT NULL))
+SELECT 'union' AS kind, label, CAST(NULL AS BIGINT) AS value FROM u
+UNION ALL
+SELECT 'present', value, code FROM d
+WHERE value IN (SELECT c_mktsegment FROM customer WHERE c_acctbal > 9990.0::DOUBLE)
+UNION ALL
+SELECT 'n_classes', NULL, CAST(count(DISTINCT l_returnflag) AS BIGINT) FROM lineitem
+UNION ALL
+SELECT 'count', NULL, CAST(count(*) AS BIGINT) FROM lineitem
+UNION ALL
+SELECT 'fraction', NULL, CAST(floor(count(*) * 0.25::DOUBLE) AS BIGINT) FROM lineitem"""
+
+STREAM_CONFUSION = f"""
+SELECT actual, predicted, count(*) AS n FROM ({_EVENT_RULE})
+WHERE actual IS NOT NULL AND predicted IS NOT NULL GROUP BY actual, predicted"""
+
+
 ORACLES = {
     "confusion_rates": CONFUSION_RATES,
     "confusion_matrix": CONFUSION_MATRIX,
@@ -398,4 +436,7 @@ ORACLES = {
     "csv_roundtrip": CSV_ROUNDTRIP,
     "metrics_sink": METRICS_SINK,
     "resample_counts": RESAMPLE_COUNTS,
+    "grouped_accuracy": GROUPED_ACCURACY,
+    "label_sets": LABEL_SETS,
+    "stream_confusion": STREAM_CONFUSION,
 }

@@ -337,3 +337,59 @@ def resample_counts(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_id").alias("n_events"),
         F.max("copy").alias("max_copy"), F.sum("event_id").alias("id_sum"))
+
+
+# --- A6 variant, J6, U2, E9, A14 --------------------------------------------------------
+
+EVENT_LISTS = {"engagement": ["click", "view"], "conversion": ["purchase", "signup"]}
+
+
+def _event_rule(ev: DataFrame) -> DataFrame:
+    pred = (F.when(F.col("value") < 10, "view").when(F.col("value") < 50, "click")
+             .when(F.col("value") < 200, "purchase").otherwise("error"))
+    return ev.select(F.col("event_type").alias("actual"), pred.alias("predicted"))
+
+
+def grouped_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    ev = table(spark, sf, "events").select("event_type", "value")
+    acc = M.grouped_accuracy(_event_rule(ev), "actual", "predicted", EVENT_LISTS)
+    return acc.select("class", "total", "correct", _r(F.col("accuracy")).alias("accuracy"))
+
+
+RICH_BALANCE = 9990.0
+
+
+def label_sets(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_discount")
+    union = E.label_union(_flag_rule(li), "actual", "predicted", out="label")              # U2
+    cust = table(spark, sf, "customer").select("c_mktsegment", "c_acctbal")
+    d = E.fit_dictionary(cust, "c_mktsegment")
+    rich = E.encode(cust.where(F.col("c_acctbal") > RICH_BALANCE), "c_mktsegment", d, "code")
+    present = E.present_classes(d, rich, "code")                                           # J6
+    n_classes = li.agg(E.class_count(li, "l_returnflag").cast("bigint").alias("value"))   # E9
+    counts = M.count_fraction(li, 0.25)                                                   # A14
+    none = F.lit(None).cast("string")
+    return (union.select(F.lit("union").alias("kind"), "label", F.lit(None).cast("bigint").alias("value"))
+            .unionByName(present.select(F.lit("present").alias("kind"), F.col("value").alias("label"),
+                                        F.col("code").cast("bigint").alias("value")))
+            .unionByName(n_classes.select(F.lit("n_classes").alias("kind"), none.alias("label"), "value"))
+            .unionByName(counts.select(F.lit("count").alias("kind"), none.alias("label"),
+                                       F.col("n").cast("bigint").alias("value")))
+            .unionByName(counts.select(F.lit("fraction").alias("kind"), none.alias("label"),
+                                       F.col("n_fraction").alias("value"))))
+
+
+# --- streaming: running confusion counts over the events file ---------------------------
+
+def stream_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    import uuid
+
+    from vigil.streaming import running_confusion, start_to_table
+    schema = table(spark, sf, "events").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+                   .parquet(sf.rstrip("/")))
+    name = f"vigil_stream_{uuid.uuid4().hex}"
+    q = start_to_table(running_confusion(_event_rule(stream), "actual", "predicted"),
+                       _scratch(spark, "stream-checkpoint"), name)
+    q.awaitTermination(600)
+    return spark.table(name).select("actual", "predicted", "n")
