@@ -30,7 +30,8 @@ def _lineitem_features(spark: SparkSession, sf: str) -> tuple[DataFrame, list[st
     prep = Pipeline(stages=[VectorAssembler(inputCols=LINE_FEATURES, outputCol="raw"),
                             Normalizer(inputCol="raw", outputCol="features", p=2.0)])
     out = prep.fit(li).transform(indexer.transform(li))
-    return SP.hash_split(out, ["l_orderkey", "l_linenumber"], 0.2, SEED), list(indexer.labels)
+    split = SP.hash_split(out, ["l_orderkey", "l_linenumber"], 0.2, SEED)
+    return ML.training_frame(split), list(indexer.labels)
 
 
 def tree_cascade(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,7 +55,7 @@ def weighted_logreg(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source")
     d = lab.join(docs, "doc_id").withColumn("log_chars", F.log1p("n_chars")) \
            .withColumn("label", F.col("quality").cast("double"))
-    d = SP.hash_split(d, ["doc_id"], 0.2, SEED)
+    d = ML.training_frame(SP.hash_split(d, ["doc_id"], 0.2, SEED), persist=False)
     weights = M.class_weights(d.where(F.col("split") == "train"), "label")
     d = M.with_class_weight(d, "label", weights, out="w", col="weight")
     prep = Pipeline(stages=[
@@ -92,7 +93,7 @@ def tree_grid_search(spark: SparkSession, sf: str) -> DataFrame:
     """M5 + M6 + M11 + D3: 5 keyed folds, tree grid (depth × min leaf), macro-F1 as the
     objective; every grid point's mean score, the best flagged, best model's test F1."""
     e = _embeddings(spark, sf)
-    train = SP.kfold(e.where(F.col("split") == "train"), ["vec_id"], 5, SEED, out="fold").cache()
+    train = ML.training_frame(SP.kfold(e.where(F.col("split") == "train"), ["vec_id"], 5, SEED, out="fold"))
     test = e.where(F.col("split") == "test")
     est = ML.tree(max_depth=10)
     grid = ML.tree_grid(est, depths=(5, 10), leaves=(1, 4))
@@ -139,7 +140,7 @@ def two_targets(spark: SparkSession, sf: str) -> DataFrame:
     d = StringIndexer(inputCol="lang", outputCol="lang_i", stringOrderType="alphabetAsc",
                       handleInvalid="keep").fit(d).transform(d)
     d = VectorAssembler(inputCols=["log_chars", "lang_i"], outputCol="features").transform(d)
-    d = SP.hash_split(d, ["doc_id"], 0.2, SEED).cache()
+    d = ML.training_frame(SP.hash_split(d, ["doc_id"], 0.2, SEED), persist=False)
     out = None
     for target in ("quality", "toxic"):
         t = d.withColumn("label", F.col(target).cast("double"))
@@ -148,21 +149,19 @@ def two_targets(spark: SparkSession, sf: str) -> DataFrame:
                  .select(F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("p"))
         row = M.f1_scores(s, "y", "p").withColumn("target", F.lit(target))
         out = row if out is None else out.unionByName(row)
-    d.unpersist()
     return out.select("target", "accuracy", "f1_macro", "f1_micro", "f1_weighted")
 
 
 def warm_start(spark: SparkSession, sf: str) -> DataFrame:
     """An MLP fitted for 10 iterations, then continued for 10 more from its weights."""
     e = _embeddings(spark, sf)
-    train = e.where(F.col("split") == "train").cache()
+    train = e.where(F.col("split") == "train")
     test = e.where(F.col("split") == "test")
     first = ML.multiclass_classifier("mlp", n_features=64, n_classes=10, hidden=(32,), max_iter=10).fit(train)
     second = ML.warm_start_mlp(first, train, max_iter=10)
     ev = ML.accuracy_evaluator()
     rows = [("initial", 10, float(ev.evaluate(first.transform(test)))),
             ("continued", 20, float(ev.evaluate(second.transform(test))))]
-    train.unpersist()
     return spark.createDataFrame(rows, "stage string, iterations int, accuracy double")
 
 

@@ -9,12 +9,27 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
+#: session setting: spread every scan over at least this many partitions
+MIN_SCAN_PARTITIONS_CONF = "vigil.minScanPartitions"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table.  Column pruning and filters reach the Parquet scan because
-    every query selects by name and filters with native expressions."""
+    every query selects by name and filters with native expressions.
+
+    A Parquet file is split at row-group boundaries only, so a small file written as one
+    row group is read by one task and everything fused with the scan (hashing, scoring,
+    model fits) runs on one core.  Setting ``vigil.minScanPartitions`` adds a
+    round-robin repartition after the scan (pruning and filters still go below it).
+    Leave it unset on large inputs: there the scan already has enough splits and the
+    repartition would be a needless shuffle."""
     if name not in DRIVER_TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    n = spark.conf.get(MIN_SCAN_PARTITIONS_CONF, None)
+    if n and int(n) > 1:
+        df = df.repartition(int(n))
+    return df
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
