@@ -346,6 +346,8 @@ FROM sz LEFT JOIN agg ON sz.label = agg.label"""
 
 CSV_ROUNDTRIP = """SELECT * FROM orders"""
 
+CSV_HEADERLESS = """SELECT * FROM lineitem"""
+
 METRICS_SINK = f"""
 WITH r AS ({CONFUSION_RATES}),
 w AS (SELECT CAST(class AS VARCHAR) AS class, CAST(tp AS DOUBLE) AS tp, CAST(fp AS DOUBLE) AS fp,
@@ -434,6 +436,7 @@ ORACLES = {
     "knn": KNN,
     "smote": SMOTE,
     "csv_roundtrip": CSV_ROUNDTRIP,
+    "csv_headerless": CSV_HEADERLESS,
     "metrics_sink": METRICS_SINK,
     "resample_counts": RESAMPLE_COUNTS,
     "grouped_accuracy": GROUPED_ACCURACY,

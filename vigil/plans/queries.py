@@ -314,6 +314,15 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return CSV.read_csv_typed(spark, path, orders.schema)
 
 
+def csv_headerless(spark: SparkSession, sf: str) -> DataFrame:
+    """S1/S2 read path: a headerless CSV read back with declared names and types
+    (FAILFAST), as the connection records are read."""
+    li = table(spark, sf, "lineitem")
+    path = _scratch(spark, "lineitem-csv")
+    SK.write_csv(li, path, header=False)
+    return CSV.read_csv_typed(spark, path, li.schema, header=False)
+
+
 RUN_ID = SK.run_id(0.25, (0.001, 0.001), 100)
 
 

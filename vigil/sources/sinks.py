@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header line and no index column, one file per partition."""
-    (df.write.mode(mode).option("header", True)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
+    """CSV with a header line (optional) and no index column, one file per partition."""
+    (df.write.mode(mode).option("header", header)
        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").csv(path))
 
 
