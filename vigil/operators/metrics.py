@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from vigil.functions.scalar import safe_div
 
+#: small tables (class lists, weights) up to this many rows are broadcast
+BROADCAST_ROWS = 1_000_000
+
 
 def _all():
     """A window over every row of a small (k-row) table."""
@@ -245,9 +248,12 @@ def class_weights(df: DataFrame, label: str, overrides: Mapping | None = None,
 
 def with_class_weight(df: DataFrame, label: str, weights: DataFrame, out: str = "weight",
                       col: str = "adjusted") -> DataFrame:
-    """Attach the weight table as a ``weightCol``; one row per class, broadcast."""
+    """Attach the weight table as a ``weightCol`` (one row per class)."""
     w = weights.select(F.col("label").alias("__wl"), F.col(col).alias(out))
-    return df.join(F.broadcast(w), F.col(label) == F.col("__wl"), "left").drop("__wl")
+    # one row per class; broadcast only after the row count is checked
+    if w.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        w = F.broadcast(w)
+    return df.join(w, F.col(label) == F.col("__wl"), "left").drop("__wl")
 
 
 EPSILON = 1e-7

@@ -30,7 +30,8 @@ class ClassTooSmall(ValueError):
 
 
 def class_sizes(df: DataFrame, class_col: str) -> dict:
-    """Rows per class: one row per class reaches the driver."""
+    """Rows per class (a partial aggregate): one row per class reaches the driver, the
+    class list being what resampling targets are defined over."""
     return {r[0]: r[1] for r in df.groupBy(class_col).count().collect()}
 
 
