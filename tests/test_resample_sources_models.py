@@ -219,3 +219,29 @@ def test_feature_importances(spark):
     m = RandomForestClassifier(numTrees=5, seed=1).fit(v)
     imp = {r.feature: r for r in ML.feature_importances(spark, m, ["a", "b"]).collect()}
     assert imp["a"].kept and math.isclose(imp["a"].importance + imp["b"].importance, 1.0)
+
+
+def test_cascade_end_to_end_on_samples(spark):
+    from vigil.plans.cascade import run_cascade
+    train = C.read_connections(spark, os.path.join(FIXTURES, "connections_train.csv"))
+    test = C.read_connections(spark, os.path.join(FIXTURES, "connections_test.csv"))
+    res = run_cascade(train, test, smote_k=None, max_iter=20)
+    assert {r["class"] for r in res.binary_rates.collect()} <= {"attack", "normal"}
+    acc = {r["class"]: r for r in res.class_accuracy.collect()}
+    assert set(acc) == {"dos", "normal", "probe", "r2l", "u2r"}
+    assert acc["dos"].total == 2 and acc["probe"].total == 1 and acc["u2r"].total == 0
+    assert res.scored.count() == 4
+    assert res.metrics.select("stage").distinct().count() == 2
+
+
+def test_cascade_with_smote(spark):
+    """Three shifted copies of the samples give each class more than k rows."""
+    from vigil.plans.cascade import run_cascade
+    base = C.read_connections(spark, os.path.join(FIXTURES, "connections_train.csv"))
+    train = base
+    for i in (1, 2):
+        train = train.unionByName(base.withColumn("duration", F.col("duration") + i))
+    test = C.read_connections(spark, os.path.join(FIXTURES, "connections_test.csv"))
+    res = run_cascade(train, test, smote_k=5, max_iter=20)
+    assert res.multi_report.count() >= 3
+    assert res.scored.where("cat_pred IS NULL").count() == 0
