@@ -407,6 +407,16 @@ SELECT actual, predicted, count(*) AS n FROM ({_EVENT_RULE})
 WHERE actual IS NOT NULL AND predicted IS NOT NULL GROUP BY actual, predicted"""
 
 
+ATTACH_ORDER_PREDICTIONS = """
+WITH p AS (SELECT o_orderkey,
+                  CASE WHEN o_totalprice < 50000.0::DOUBLE THEN 'small'
+                       WHEN o_totalprice < 150000.0::DOUBLE THEN 'medium'
+                       WHEN o_totalprice < 300000.0::DOUBLE THEN 'large' ELSE 'huge' END AS predicted
+           FROM orders)
+SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag, p.predicted
+FROM lineitem l LEFT JOIN p ON l.l_orderkey = p.o_orderkey"""
+
+
 ORACLES = {
     "confusion_rates": CONFUSION_RATES,
     "confusion_matrix": CONFUSION_MATRIX,
@@ -442,4 +452,5 @@ ORACLES = {
     "grouped_accuracy": GROUPED_ACCURACY,
     "label_sets": LABEL_SETS,
     "stream_confusion": STREAM_CONFUSION,
+    "attach_order_predictions": ATTACH_ORDER_PREDICTIONS,
 }

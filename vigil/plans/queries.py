@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import labels as L
 from vigil.functions import scalar as S
+from vigil.operators import attach as AT
 from vigil.operators import encode as E
 from vigil.operators import history as H
 from vigil.operators import metrics as M
@@ -402,3 +403,21 @@ def stream_confusion(spark: SparkSession, sf: str) -> DataFrame:
                        _scratch(spark, "stream-checkpoint"), name)
     q.awaitTermination(600)
     return spark.table(name).select("actual", "predicted", "n")
+
+
+# --- J1: attach separately computed predictions by key ----------------------------------
+
+PRICE_CUTS = (50000.0, 150000.0, 300000.0)
+
+
+def attach_order_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-order rule predictions (a separate table keyed by order) attached to every
+    line item of the order."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    lo, mid, hi = PRICE_CUTS
+    pred = (F.when(F.col("o_totalprice") < lo, "small").when(F.col("o_totalprice") < mid, "medium")
+             .when(F.col("o_totalprice") < hi, "large").otherwise("huge"))
+    preds = o.select("o_orderkey", pred.alias("predicted"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    out = AT.attach_predictions(li, preds, ["l_orderkey"], ["o_orderkey"])
+    return out.select("l_orderkey", "l_linenumber", "l_returnflag", "predicted")
