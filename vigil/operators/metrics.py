@@ -1,12 +1,13 @@
 """Evaluation tables (A1-A14, D3 helpers).
 
-The scored rows feed exactly one aggregation: ``groupBy(actual, predicted).count()``
-(partial aggregation before the shuffle), folded into a single row that holds the
-sorted label list and the non-zero cells — at most k² entries for k classes, the
-size of the confusion matrix itself.  Every table below (matrix, per-class counts,
-rates, report, F1 averages) is a projection of that row with higher-order functions:
-the data is scanned once however many metrics are asked for, and nothing after the
-aggregate shuffles again.
+The scored rows feed exactly one aggregation, ``groupBy(actual, predicted).count()``
+(partially aggregated before the shuffle): the non-zero cells of the confusion
+matrix.  Per-class numbers come from a linear chain on those cells — each cell adds
+to its row class and its column class (``explode`` + ``groupBy(class)``), and the
+totals and averages over the k class rows are window aggregates — so the data is
+scanned once whatever is asked for, and no task ever holds more than one class row
+group.  Only the zero-filled long matrix (A1) folds the cells into one row, since its
+output is the k² grid itself.
 """
 
 from __future__ import annotations
@@ -50,10 +51,6 @@ def confusion_cells(df: DataFrame, actual: str, predicted: str, labels: Sequence
     return row.select(lab.alias("labels"), "cells")
 
 
-def _sum_n(cells: Column, pred) -> Column:
-    return F.aggregate(F.filter(cells, pred), F.lit(0).cast("bigint"), lambda acc, e: acc + e["n"])
-
-
 def _cell_map(cells: Column) -> Column:
     return F.map_from_entries(F.transform(
         cells, lambda e: F.struct(F.struct(e["a"].alias("a"), e["p"].alias("p")).alias("k"), e["n"].alias("v"))))
@@ -63,15 +60,6 @@ def _lookup(m: Column, a: Column, p: Column) -> Column:
     return F.coalesce(F.try_element_at(m, F.struct(a.alias("a"), p.alias("p"))), F.lit(0).cast("bigint"))
 
 
-def _class_structs(labels: Column, cells: Column) -> Column:
-    """``array<struct<class, tp, support, predicted_n>>`` in label order."""
-    m = _cell_map(cells)
-    return F.transform(labels, lambda c: F.struct(
-        c.alias("class"), _lookup(m, c, c).alias("tp"),
-        _sum_n(cells, lambda e: e["a"] == c).alias("support"),
-        _sum_n(cells, lambda e: e["p"] == c).alias("predicted_n")))
-
-
 def confusion_matrix(df: DataFrame, actual: str, predicted: str,
                      labels: Sequence | None = None) -> DataFrame:
     """A1: long-form confusion matrix ``(actual, predicted, n)`` over the sorted union
@@ -83,14 +71,37 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str,
                        _lookup(F.col("m"), F.col("actual"), F.col("predicted")).alias("n"))
 
 
+def _per_class(df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None) -> DataFrame:
+    """k rows ``(class, tp, support, predicted_n, total, in_l)`` over the union of true
+    and predicted labels (plus given ``labels`` absent from both, with zeros).  ``in_l``
+    marks the given labels, or the classes with support when none are given."""
+    counts = confusion_counts(df, actual, predicted)
+    zero = F.lit(0).cast("bigint")
+    parts = counts.select(F.explode(F.array(
+        F.struct(F.col("actual").alias("cls"), F.col("n").alias("support"), zero.alias("predicted_n"),
+                 F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(zero).alias("tp")),
+        F.struct(F.col("predicted").alias("cls"), zero.alias("support"), F.col("n").alias("predicted_n"),
+                 zero.alias("tp")))).alias("c")).select("c.*")
+    per = parts.groupBy("cls").agg(F.sum("tp").alias("tp"), F.sum("support").alias("support"),
+                                   F.sum("predicted_n").alias("predicted_n"))
+    if labels is None:
+        per = per.withColumn("in_l", F.col("support") > 0)
+    else:
+        dtype = dict(counts.dtypes)["actual"]
+        keep = df.sparkSession.createDataFrame([(x, True) for x in labels], f"cls {dtype}, in_l boolean")
+        per = per.join(F.broadcast(keep), "cls", "full_outer").select(
+            "cls", *[F.coalesce(F.col(c), zero).alias(c) for c in ("tp", "support", "predicted_n")],
+            F.coalesce(F.col("in_l"), F.lit(False)).alias("in_l"))
+    return per.withColumn("total", F.sum("support").over(_all())).withColumnRenamed("cls", "class")
+
+
 def class_counts(df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None) -> DataFrame:
     """A2/A4: per class ``tp, fp, fn, tn, support, predicted_n``: diagonal, column and
     row sums and the total of the matrix (counted over all rows, as a per-label
     confusion matrix does even when ``labels`` is a subset)."""
-    cells = confusion_cells(df, actual, predicted, labels)
-    total = F.aggregate(F.col("cells"), F.lit(0).cast("bigint"), lambda acc, e: acc + e["n"])
-    per = cells.select(F.explode(_class_structs(F.col("labels"), F.col("cells"))).alias("s"),
-                       total.alias("total")).select("s.*", "total")
+    per = _per_class(df, actual, predicted, labels)
+    if labels is not None:
+        per = per.where(F.col("in_l"))
     return per.select(
         "class", "tp", (F.col("predicted_n") - F.col("tp")).alias("fp"),
         (F.col("support") - F.col("tp")).alias("fn"),
@@ -113,21 +124,13 @@ def _prf(tp: Column, fp: Column, fn: Column):
     return p, r, f
 
 
-def _arr_sum(arr: Column, field: str, zero=0) -> Column:
-    start = F.lit(zero).cast("bigint") if isinstance(zero, int) else F.lit(float(zero))
-    return F.aggregate(arr, start, lambda acc, s: acc + s[field])
-
-
-def _scored_classes(per: Column) -> Column:
-    """Per-class structs with precision, recall and F1 added."""
-    def one(s):
-        fp = s["predicted_n"] - s["tp"]
-        fn = s["support"] - s["tp"]
-        p, r, f = _prf(s["tp"], fp, fn)
-        return F.struct(s["class"].cast("string").alias("class"), p.alias("precision"), r.alias("recall"),
-                        f.alias("f1"), s["support"].alias("support"), s["tp"].alias("tp"),
-                        fp.alias("fp"), fn.alias("fn"), s["predicted_n"].alias("predicted_n"))
-    return F.transform(per, one)
+def _scored(per: DataFrame) -> DataFrame:
+    fp = F.col("predicted_n") - F.col("tp")
+    fn = F.col("support") - F.col("tp")
+    p, r, f = _prf(F.col("tp"), fp, fn)
+    return per.select(F.col("class").cast("string").alias("class"), p.alias("precision"),
+                      r.alias("recall"), f.alias("f1"), "support", "tp", fp.alias("fp"),
+                      fn.alias("fn"), "predicted_n", "in_l")
 
 
 def classification_report(df: DataFrame, actual: str, predicted: str,
@@ -136,57 +139,56 @@ def classification_report(df: DataFrame, actual: str, predicted: str,
     ``actual`` (or the given labels), then ``accuracy`` (or ``micro avg`` when some
     predicted class is not among the labels), ``macro avg`` and ``weighted avg``.
     Zero division gives 0.  The accuracy row carries only ``f1`` and ``support``."""
-    cells = confusion_cells(df, actual, predicted)
-    per = _class_structs(F.col("labels"), F.col("cells"))
-    if labels is None:
-        chosen = lambda s: s["support"] > 0
-    else:
-        keep = F.array(*[F.lit(str(x)) for x in labels])
-        chosen = lambda s: F.array_contains(keep, s["class"].cast("string"))
-    staged = cells.select(_scored_classes(F.filter(per, chosen)).alias("sel"),
-                          F.filter(per, lambda s: ~chosen(s)).alias("rest"))
-    sel = F.col("sel")
-    n_sel = F.size(sel)
-    tp, fp, fn, sup = (_arr_sum(sel, "tp"), _arr_sum(sel, "fp"), _arr_sum(sel, "fn"), _arr_sum(sel, "support"))
-    mp, mr, mf = _prf(tp, fp, fn)
-    outside = _arr_sum(F.col("rest"), "predicted_n")
-    is_acc = outside == 0
-
-    def mean(field):
-        return safe_div(_arr_sum(sel, field, 0.0), n_sel)
-
-    def weighted(field):
-        return safe_div(F.aggregate(sel, F.lit(0.0), lambda acc, s: acc + s[field] * s["support"]), sup)
-
-    def row(name, p, r, f):
+    scored = _scored(_per_class(df, actual, predicted, labels))
+    w = _all()
+
+    def over_labels(c: Column) -> Column:
+        return F.sum(F.when(F.col("in_l"), c)).over(w)
+
+    # window aggregates over the k class rows, as plain columns first
+    staged = scored.select(
+        "*",
+        over_labels(F.col("tp")).alias("__tp"), over_labels(F.col("fp")).alias("__fp"),
+        over_labels(F.col("fn")).alias("__fn"), over_labels(F.col("support")).alias("__sup"),
+        F.count(F.when(F.col("in_l"), F.lit(1))).over(w).alias("__n"),
+        F.coalesce(F.sum(F.when(~F.col("in_l"), F.col("predicted_n"))).over(w), F.lit(0)).alias("__out"),
+        *[over_labels(F.col(c)).alias(f"__s_{c}") for c in ("precision", "recall", "f1")],
+        *[over_labels(F.col(c) * F.col("support")).alias(f"__w_{c}") for c in ("precision", "recall", "f1")],
+        (F.row_number().over(Window.orderBy("class")) == 1).alias("__first"))
+    sup = F.col("__sup")
+    mp, mr, mf = _prf(F.col("__tp"), F.col("__fp"), F.col("__fn"))
+    is_acc = F.col("__out") == 0
+
+    def row(name, p, r, f, s, keep):
         return F.struct(name.alias("class"), p.cast("double").alias("precision"),
                         r.cast("double").alias("recall"), f.cast("double").alias("f1"),
-                        sup.cast("bigint").alias("support"))
+                        s.cast("bigint").alias("support"), keep.alias("keep"))
 
-    per_rows = F.transform(sel, lambda s: F.struct(
-        s["class"].alias("class"), s["precision"].alias("precision"), s["recall"].alias("recall"),
-        s["f1"].alias("f1"), s["support"].cast("bigint").alias("support")))
-    summary = F.array(
+    mean = {c: safe_div(F.col(f"__s_{c}"), F.col("__n")) for c in ("precision", "recall", "f1")}
+    wavg = {c: safe_div(F.col(f"__w_{c}"), sup) for c in ("precision", "recall", "f1")}
+    summary = [
         row(F.when(is_acc, F.lit("accuracy")).otherwise(F.lit("micro avg")),
-            F.when(is_acc, F.lit(None)).otherwise(mp), F.when(is_acc, F.lit(None)).otherwise(mr), mf),
-        row(F.lit("macro avg"), mean("precision"), mean("recall"), mean("f1")),
-        row(F.lit("weighted avg"), weighted("precision"), weighted("recall"), weighted("f1")))
-    return staged.select(F.explode(F.concat(per_rows, summary)).alias("r")).select("r.*")
+            F.when(is_acc, F.lit(None)).otherwise(mp), F.when(is_acc, F.lit(None)).otherwise(mr), mf, sup,
+            F.lit(True)),
+        row(F.lit("macro avg"), mean["precision"], mean["recall"], mean["f1"], sup, F.lit(True)),
+        row(F.lit("weighted avg"), wavg["precision"], wavg["recall"], wavg["f1"], sup, F.lit(True)),
+    ]
+    own = row(F.col("class"), F.col("precision"), F.col("recall"), F.col("f1"), F.col("support"), F.col("in_l"))
+    # the summary rows are generated once, next to the first class row
+    rows = F.when(F.col("__first"), F.array(own, *summary)).otherwise(F.array(own))
+    out = staged.select(F.explode(F.filter(rows, lambda x: x["keep"])).alias("r")).select("r.*")
+    return out.drop("keep")
 
 
 def f1_scores(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """A5/A8/A9 in one row: ``accuracy``, ``f1_micro``, ``f1_macro``, ``f1_weighted``
     over the union of true and predicted labels (zero division → 0)."""
-    cells = confusion_cells(df, actual, predicted)
-    sel = _scored_classes(_class_structs(F.col("labels"), F.col("cells")))
-    staged = cells.select(sel.alias("s"))
-    s = F.col("s")
-    tp, fp, fn, sup = (_arr_sum(s, "tp"), _arr_sum(s, "fp"), _arr_sum(s, "fn"), _arr_sum(s, "support"))
-    return staged.select(
-        safe_div(tp, sup).alias("accuracy"),
-        safe_div(2 * tp, 2 * tp + fp + fn).alias("f1_micro"),
-        safe_div(_arr_sum(s, "f1", 0.0), F.size(s)).alias("f1_macro"),
-        safe_div(F.aggregate(s, F.lit(0.0), lambda acc, x: acc + x["f1"] * x["support"]), sup).alias("f1_weighted"))
+    s = _scored(_per_class(df, actual, predicted))
+    return s.agg(
+        safe_div(F.sum("tp"), F.sum("support")).alias("accuracy"),
+        safe_div(2 * F.sum("tp"), 2 * F.sum("tp") + F.sum("fp") + F.sum("fn")).alias("f1_micro"),
+        F.avg("f1").alias("f1_macro"),
+        safe_div(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1_weighted"))
 
 
 def accuracy(df: DataFrame, actual: str, predicted: str) -> Column:
