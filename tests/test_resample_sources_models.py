@@ -245,3 +245,15 @@ def test_cascade_with_smote(spark):
     res = run_cascade(train, test, smote_k=5, max_iter=20)
     assert res.multi_report.count() >= 3
     assert res.scored.where("cat_pred IS NULL").count() == 0
+
+
+def test_running_confusion_to_parquet(spark, scratch):
+    from vigil.streaming import running_confusion, start_to_path
+    src = scratch + "/in2"
+    spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b"), ("b", "b")], "actual string, predicted string") \
+         .write.parquet(src)
+    stream = spark.readStream.schema("actual string, predicted string").parquet(src)
+    q = start_to_path(running_confusion(stream, "actual", "predicted"), scratch + "/ckpt2", scratch + "/cm")
+    q.awaitTermination(60)
+    got = {(r.actual, r.predicted): r.n for r in spark.read.parquet(scratch + "/cm").collect()}
+    assert got == {("a", "a"): 1, ("a", "b"): 1, ("b", "b"): 2}

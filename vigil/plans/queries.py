@@ -392,17 +392,15 @@ def label_sets(spark: SparkSession, sf: str) -> DataFrame:
 # --- streaming: running confusion counts over the events file ---------------------------
 
 def stream_confusion(spark: SparkSession, sf: str) -> DataFrame:
-    import uuid
-
-    from vigil.streaming import running_confusion, start_to_table
+    from vigil.streaming import running_confusion, start_to_path
     schema = table(spark, sf, "events").schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
                    .parquet(sf.rstrip("/")))
-    name = f"vigil_stream_{uuid.uuid4().hex}"
-    q = start_to_table(running_confusion(_event_rule(stream), "actual", "predicted"),
-                       _scratch(spark, "stream-checkpoint"), name)
+    out = _scratch(spark, "stream-result")
+    q = start_to_path(running_confusion(_event_rule(stream), "actual", "predicted"),
+                      _scratch(spark, "stream-checkpoint"), out)
     q.awaitTermination(600)
-    return spark.table(name).select("actual", "predicted", "n")
+    return spark.read.schema("actual string, predicted string, n bigint").parquet(out)
 
 
 # --- J1: attach separately computed predictions by key ----------------------------------

@@ -27,10 +27,26 @@ def running_confusion(scored: DataFrame, actual: str, predicted: str) -> DataFra
 
 def start_to_table(agg: DataFrame, checkpoint: str, table_name: str,
                    trigger_available_now: bool = True) -> StreamingQuery:
-    """Run the aggregate into a table with a reliable checkpoint folder (which must be
-    shared storage on a cluster), processing what is available and stopping."""
+    """Run the aggregate into an in-memory table (small results, tests) with a reliable
+    checkpoint folder (which must be shared storage on a cluster), processing what is
+    available and stopping.  See :func:`start_to_path` for results kept on storage."""
     writer = (agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
                  .format("memory").queryName(table_name))
     if trigger_available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def start_to_path(agg: DataFrame, checkpoint: str, path: str,
+                  trigger_available_now: bool = True) -> StreamingQuery:
+    """Keep the running aggregate as a Parquet folder on shared storage: every
+    micro-batch's complete result replaces the previous one (``foreachBatch``), so no
+    result passes through the driver."""
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    writer = (agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+                 .foreachBatch(write))
+    if trigger_available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
