@@ -146,3 +146,11 @@ def test_xxhash_option_is_deterministic_and_exact(spark, ids):
         assert SP.kfold(ids, ["k"], 5).groupBy("fold").count().count() == 5
     finally:
         spark.conf.unset(HASH_CONF)
+
+
+def test_ordered_row_ids_keep_null_keys(spark):
+    df = spark.createDataFrame([(None,), (5,), (None,), (1,), (3,)], "k bigint")
+    got = ordered_row_ids(df, "k", n_buckets=4, total_out="n").collect()
+    assert len(got) == 5 and sorted(r.row_id for r in got) == [0, 1, 2, 3, 4]
+    assert sorted(r.row_id for r in got if r.k is None) == [0, 1]
+    assert [r.k for r in sorted(got, key=lambda r: r.row_id)][2:] == [1, 3, 5]

@@ -11,6 +11,8 @@ count, not by the data.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,9 +72,10 @@ def ordered_row_ids(df: DataFrame, order_col: str, out: str = "row_id",
     key, e.g. the source record number).  Bucket edges come from ``approxQuantile``
     (a few hundred numbers on the driver); their accuracy only affects balance."""
     n_b = n_buckets or (1 << default_bucket_bits(df))
-    staged = df.withColumn("__k", _monotone_number(df, order_col))
+    # a null key sorts first (NULLS FIRST), so it belongs to the first bucket
+    staged = df.withColumn("__k", F.coalesce(_monotone_number(df, order_col), F.lit(float("-inf"))))
     probs = [i / n_b for i in range(1, n_b)]
-    edges = sorted(set(x for x in staged.approxQuantile("__k", probs, rel_error) if x == x))
+    edges = sorted(set(x for x in staged.approxQuantile("__k", probs, rel_error) if math.isfinite(x)))
     splits = [float("-inf")] + edges + [float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
