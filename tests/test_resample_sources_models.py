@@ -257,3 +257,11 @@ def test_running_confusion_to_parquet(spark, scratch):
     q.awaitTermination(60)
     got = {(r.actual, r.predicted): r.n for r in spark.read.parquet(scratch + "/cm").collect()}
     assert got == {("a", "a"): 1, ("a", "b"): 1, ("b", "b"): 2}
+
+
+def test_smote_keeps_unlabelled_rows(spark):
+    rows = [(i, 0 if i < 12 else 1, [float(i), float(i % 3)]) for i in range(20)] + [(99, None, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id bigint, cls int, v array<double>")
+    out = smote(df, "id", "cls", "v", k=5, seed=1)
+    counts = {r.cls: r[1] for r in out.groupBy("cls").count().collect()}
+    assert counts == {0: 12, 1: 12, None: 1}

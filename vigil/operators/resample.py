@@ -39,9 +39,10 @@ def smote(df: DataFrame, id_col: str, class_col: str, vec_col: str, k: int = 5,
           block_rows: int = 1024, chunk_rows: int = 100_000) -> DataFrame:
     """``(source_id, sample, <class_col>, <vec_col>, is_synthetic)``: every original row
     (``sample = 0``) and the synthetic rows (``sample = 1..quota``) of each grown class."""
-    sizes = class_sizes(df, class_col)
+    # rows without a class are kept as originals but neither grown nor counted
+    sizes = {c: n for c, n in class_sizes(df, class_col).items() if c is not None}
     if not sizes:
-        raise ValueError("no rows")
+        raise ValueError("no labelled rows")
     target = max(sizes.values())
     need = {c: target - n for c, n in sizes.items() if target - n > 0}
     small = sorted(str(c) for c in need if sizes[c] <= k)
