@@ -154,3 +154,16 @@ def test_ordered_row_ids_keep_null_keys(spark):
     assert len(got) == 5 and sorted(r.row_id for r in got) == [0, 1, 2, 3, 4]
     assert sorted(r.row_id for r in got if r.k is None) == [0, 1]
     assert [r.k for r in sorted(got, key=lambda r: r.row_id)][2:] == [1, 3, 5]
+
+
+def test_stratified_split_total_first_apportioning(spark):
+    # 3 labels of 7, 5 and 3 rows: n = 15, n_test = ceil(0.2 * 15) = 3, n_train = 12
+    rows = [(i, "a") for i in range(7)] + [(10 + i, "b") for i in range(5)] + [(20 + i, "c") for i in range(3)]
+    df = spark.createDataFrame(rows, "k bigint, lab string")
+    out = SP.stratified_split(df, ["k"], "lab", 0.2, apportion="total")
+    tests = {r.lab: r[1] for r in out.where("split = 'test'").groupBy("lab").count().collect()}
+    # train: floor(12*7/15)=5 r9, floor(12*5/15)=4 r0, floor(12*3/15)=2 r6 -> one extra, to a -> 6, 4, 2
+    assert tests == {"a": 1, "b": 1, "c": 1}
+    # per label instead: ceil(1.4) + ceil(1.0) + ceil(0.6) = 4
+    per_label = SP.stratified_split(df, ["k"], "lab", 0.2)
+    assert per_label.where("split = 'test'").count() == 2 + 1 + 1

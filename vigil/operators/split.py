@@ -6,6 +6,8 @@ the same rows land in the same split regardless of partitioning, retries or engi
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +36,34 @@ def hash_split(df: DataFrame, key_cols: list[str], test_fraction: float = 0.2, s
 
 
 def stratified_split(df: DataFrame, key_cols: list[str], label_col: str,
-                     test_fraction: float = 0.2, seed=42, out: str = "split") -> DataFrame:
-    """Per label, the ``ceil(fraction·n_label)`` rows first in hash order are test."""
+                     test_fraction: float = 0.2, seed=42, out: str = "split",
+                     apportion: str = "per_label") -> DataFrame:
+    """Per label, the first rows in hash order are test.
+
+    ``apportion="per_label"``: ``ceil(fraction·n_label)`` test rows per label.
+    ``apportion="total"``: the total is fixed first (``n_test = ceil(fraction·n)``) and
+    the training rows are apportioned by largest remainder, ``floor(n_train·n_label/n)``
+    plus one for the labels with the largest remainders (ties by label order, not at
+    random); each label's test part is the rest.  Needs one row per label on the driver."""
     ranked = hash_rank(df, key_cols, seed, partition_cols=[label_col], out="__r", total_out="__n")
-    n_test = F.ceil(F.lit(test_fraction) * F.col("__n"))
+    if apportion == "per_label":
+        n_test = F.ceil(F.lit(test_fraction) * F.col("__n"))
+    elif apportion == "total":
+        sizes = sorted(((r[0], r[1]) for r in df.groupBy(label_col).count().collect()),
+                       key=lambda kv: (kv[0] is not None, kv[0]))
+        n = sum(c for _, c in sizes)
+        n_train = n - math.ceil(test_fraction * n)
+        base = {lab: (n_train * c) // n for lab, c in sizes}
+        rest = n_train - sum(base.values())
+        by_remainder = sorted(sizes, key=lambda kv: -((n_train * kv[1]) % n))
+        for lab, _ in by_remainder[:rest]:
+            base[lab] += 1
+        tests = {lab: c - base[lab] for lab, c in sizes}
+        pairs = [x for lab, t in tests.items() if lab is not None for x in (F.lit(lab), F.lit(t))]
+        lookup = F.try_element_at(F.create_map(*pairs), F.col(label_col)) if pairs else F.lit(None)
+        n_test = F.coalesce(lookup, F.lit(tests.get(None, 0))) if None in tests else lookup
+    else:
+        raise ValueError(apportion)
     return ranked.withColumn(out, F.when(F.col("__r") < n_test, "test").otherwise("train")).drop("__r", "__n")
 
 
