@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import curriculum, packing, slot_table
+from vigil.llm import curriculum, packing, secret_scan, slot_table
 from vigil.llm.store import keep
 from vigil.sources.tables import table
 
@@ -16,6 +16,18 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document: counts and digest of the base kinds, all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = secret_scan.scan(docs).select("doc_id", "spans")
+    of = lambda k: F.size(F.filter("spans", lambda s: s["ord"] == k)).cast("long")
+    base = F.filter("spans", lambda s: s["ord"] < len(secret_scan.BASE))
+    return spans.select(
+        "doc_id", *[of(k).alias(f"n_{r.kind}") for k, r in enumerate(secret_scan.BASE)],
+        F.sha2(secret_scan.as_text(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.as_text(F.col("spans")).alias("spans"))
+
+
 SHARD_NAMES = [f"shard-{k:02d}" for k in range(slot_table.SHARDS)]
 
 
@@ -35,14 +47,43 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.floor(F.col("position") * 1e6).alias("position_ppm"))
 
 
-LLM_QUERIES = {q.__name__: q for q in (op1_pack, op7_shard, op9_mix)}
+LLM_QUERIES = {q.__name__: q for q in (op1_pack, op5_secrets, op7_shard, op9_mix)}
 
 
 def _slots_sql() -> str:
     return ",".join(map(str, slot_table.fill_table(SHARD_NAMES)))
 
 
+def _secrets_sql() -> str:
+    """Every rule on every text; spans from split and match lengths."""
+    parts = []
+    for k, r in enumerate(secret_scan.RULES):
+        pattern = r.pattern.replace("'", "''")
+        parts.append(f"""SELECT rid, unnest(list_transform(range(1, len(m) + 1), lambda i: {{
+  's': list_sum(list_transform(p[:i], lambda x: length(x))) +
+       coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0),
+  'l': length(m[i]), 'ok': length(g[i]) >= {r.least}}})) AS x, {k} AS ord, '{r.kind}' AS kind
+FROM (SELECT rid, regexp_extract_all(t, '{pattern}', 0) AS m,
+  regexp_extract_all(t, '{pattern}', {r.group}) AS g,
+  string_split_regex(t, '{pattern}') AS p FROM d) WHERE len(m) > 0""")
+    return """WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t
+  FROM documents),
+x AS (""" + " UNION ALL ".join(parts) + """),
+s AS (SELECT rid, ord, kind, CAST(x.s AS BIGINT) AS a, CAST(x.s + x.l AS BIGINT) AS b FROM x
+  WHERE x.ok),
+a AS (SELECT rid, CAST(count(*) FILTER (ord = 0) AS BIGINT) AS n_assign,
+  CAST(count(*) FILTER (ord = 1) AS BIGINT) AS n_access,
+  CAST(count(*) FILTER (ord = 2) AS BIGINT) AS n_hex,
+  string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, ord) FILTER (ord < 3) AS base,
+  string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, ord) AS spans
+  FROM s GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (rid)"""
+
+
 LLM_ORACLES = {
+    "op5_secrets": _secrets_sql(),
     "op7_shard": f"""
 WITH t AS (SELECT string_split('{_slots_sql()}', ',') AS slots),
 d AS (SELECT doc_id, source,
