@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import curriculum, packing, secret_scan, slot_table
+from vigil.llm import (byte_convnet, compression_bands, curriculum, packing, secret_scan,
+                       slot_table)
 from vigil.llm.store import keep
 from vigil.sources.tables import table
 
@@ -16,6 +17,24 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of the compression bands for every document."""
+    docs = table(spark, sf_dir, "documents")
+    judged = compression_bands.judge(compression_bands.measure(docs, ["doc_id"]))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept", "repetitive", "incompressible",
+                         "ratio", "chunks", "low_chunks", "high_chunks")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = byte_convnet.fit(docs)
+    return (byte_convnet.predict(docs.select("doc_id", "text"), model)
+            .select("doc_id", byte_convnet.held_out(F.col("doc_id")).alias("held_out"),
+                    "lang_pred", "score"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document: counts and digest of the base kinds, all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,7 +66,7 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.floor(F.col("position") * 1e6).alias("position_ppm"))
 
 
-LLM_QUERIES = {q.__name__: q for q in (op1_pack, op5_secrets, op7_shard, op9_mix)}
+LLM_QUERIES = {q.__name__: q for q in (op1_pack, op2_quality, op4_language, op5_secrets, op7_shard, op9_mix)}
 
 
 def _slots_sql() -> str:
