@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import (byte_convnet, compression_bands, curriculum, packing, secret_scan,
-                       slot_table)
-from vigil.llm.store import keep
+from vigil.llm import (arc_convert, byte_convnet, compression_bands, curriculum, packing,
+                       secret_scan, slot_table, turn_tree)
+from vigil.llm.store import keep, shared_folder
 from vigil.sources.tables import table
 
 
@@ -56,6 +58,20 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slot_table.place(docs, ["doc_id"], SHARD_NAMES)
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one with control strings, formatted, written and read back."""
+    import public_tokenizers
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tree = keep(turn_tree.format_conversations(rows.unionByName(probe), ranks), "turns")
+    return turn_tree.read_back(tree, ranks)
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document; sources weigh 3, 1, 2 in turn."""
     docs = table(spark, sf_dir, "documents")
@@ -66,7 +82,18 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.floor(F.col("position") * 1e6).alias("position_ppm"))
 
 
-LLM_QUERIES = {q.__name__: q for q in (op1_pack, op2_quality, op4_language, op5_secrets, op7_shard, op9_mix)}
+def op10_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as ARC, converted to WARC, and read back."""
+    arc, warc = shared_folder(spark, "arc"), shared_folder(spark, "warc")
+    arc_convert.write_arc(table(spark, sf_dir, "pages"), arc)
+    arc_convert.convert(spark, arc, warc)
+    back = keep(arc_convert.read_warc(spark, warc), "warc-index")
+    return arc_convert.refers_to_page(back).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+LLM_QUERIES = {q.__name__: q for q in (op1_pack, op2_quality, op4_language, op5_secrets, op7_shard, op8_chat, op9_mix,
+                                      op10_archive)}
 
 
 def _slots_sql() -> str:
@@ -101,6 +128,11 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (rid)"""
 
 
+def _control_sql() -> str:
+    """A regex for control strings, also such as are escaped already."""
+    return "|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in turn_tree.CONTROL)
+
+
 LLM_ORACLES = {
     "op5_secrets": _secrets_sql(),
     "op7_shard": f"""
@@ -110,6 +142,29 @@ d AS (SELECT doc_id, source,
           % {slot_table.TABLE_SIZE} AS slot FROM documents)
 SELECT doc_id, source, CAST(slot AS INTEGER) AS slot,
   'shard-' || lpad(slots[slot + 1], 2, '0') AS shard FROM d, t""",
+    "op8_chat": f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT *, length(role) + length(text) + {len(turn_tree.TURN + turn_tree.TEXT + turn_tree.END)}
+    + len(regexp_extract_all(role || chr(10) || text, '{_control_sql()}')) AS chars FROM c)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+    AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id""",
+    "op10_archive": f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, coalesce(html, '') AS h FROM pages),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN n >= {arc_convert.MIN_REVISIT_BYTES} AND page_id < top THEN 'revisit'
+    ELSE 'response' END AS record_type,
+  CASE WHEN n >= {arc_convert.MIN_REVISIT_BYTES} AND page_id < top THEN top END AS refers_to,
+  TRUE AS intact FROM w""",
     "op9_mix": f"""
 WITH d AS (SELECT doc_id, source,
     CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
