@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vigil.llm import (arc_convert, byte_convnet, compression_bands, curriculum, packing,
-                       secret_scan, slot_table, turn_tree)
+                       prefix_forest, secret_scan, slot_table, turn_tree)
 from vigil.llm.store import keep, shared_folder
 from vigil.sources.tables import table
 
@@ -49,6 +49,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.as_text(F.col("spans")).alias("spans"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    return prefix_forest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 SHARD_NAMES = [f"shard-{k:02d}" for k in range(slot_table.SHARDS)]
 
 
@@ -92,7 +97,7 @@ def op10_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
-LLM_QUERIES = {q.__name__: q for q in (op1_pack, op2_quality, op4_language, op5_secrets, op7_shard, op8_chat, op9_mix,
+LLM_QUERIES = {q.__name__: q for q in (op1_pack, op2_quality, op4_language, op5_secrets, op6_nearest, op7_shard, op8_chat, op9_mix,
                                       op10_archive)}
 
 
