@@ -23,7 +23,7 @@ TREES, BITS, SEED = 48, 32, 11
 #: rows that a block holds on average
 BLOCK_ROWS = 8192
 #: part of a block that a query takes as candidates at least (all if the block is small)
-SHARE, LEAST = 0.45, 512
+SHARE, LEAST = 0.55, 512
 
 
 class Forest:
@@ -175,7 +175,7 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
     data = points.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"),
                          F.lit(False).alias("asks"), "vec_id", "v")
     queries = points.where(is_query).select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
         F.lit(True).alias("asks"), "vec_id", "v")
     best = (data.unionByName(queries).repartition("block")
             .sortWithinPartitions("block", "asks", "vec_id")
