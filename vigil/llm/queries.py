@@ -6,8 +6,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import (arc_convert, byte_convnet, compression_bands, curriculum, packing,
-                       prefix_forest, secret_scan, slot_table, turn_tree)
+import corpus_pipeline
+from vigil.llm import (arc_convert, byte_convnet, compression_bands, curriculum, jaccard_join,
+                       packing, prefix_forest, secret_scan, slot_table, turn_tree)
 from vigil.llm.store import keep, shared_folder
 from vigil.sources.tables import table
 
@@ -28,6 +29,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "ratio", "chunks", "low_chunks", "high_chunks")
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under Jaccard links of 5-word shingles."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -97,8 +103,10 @@ def op10_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
-LLM_QUERIES = {q.__name__: q for q in (op1_pack, op2_quality, op4_language, op5_secrets, op6_nearest, op7_shard, op8_chat, op9_mix,
-                                      op10_archive)}
+LLM_QUERIES = {q.__name__: q for q in (
+    op1_pack, op2_quality, op3_jaccard, op4_language, op5_secrets, op6_nearest, op7_shard,
+    op8_chat, op9_mix, op10_archive)}
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
 
 
 def _slots_sql() -> str:
