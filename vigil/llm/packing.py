@@ -27,6 +27,8 @@ CACHE_WORDS = 1_000_000
 
 #: chunks whose normalised form and word split are the same in Python and in the tokenizer
 _PLAIN = re.compile("[!-~¡-įı-ɏ]+")
+#: of these, one word and the punctuation after it
+_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
 
 
 class WordCache(dict):
@@ -45,9 +47,12 @@ class WordCache(dict):
         self.words: dict[str, bytes] = {}
         self.split = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
-        vocab = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        # the vocabulary writes a byte as a character: printable ones as themselves, the
+        # others as those from 256 on, in order
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = iter(range(256, 512))
+        self.letters = "".join(chr(b) if b in plain else chr(next(other)) for b in range(256))
+        self.model = self.tokenizer.model
         self[""] = b""
 
     def _encode(self, text: str) -> np.ndarray:
@@ -62,24 +67,21 @@ class WordCache(dict):
         parts: dict[str, list[str]] = {}
         new: set[str] = set()
         for c in chunks:
-            if _PLAIN.fullmatch(c) and "<|" not in c:
+            if simple := _WORD.fullmatch(c):
+                word, tail = simple.groups()
+                parts[c] = own = [word.lower(), tail] if tail else [word.lower()]
+            elif _PLAIN.fullmatch(c) and "<|" not in c:
                 parts[c] = own = self.split(c.lower())
-                new.update(w for w in own if w not in self.words)
             else:
                 self[c] = self._encode(c).tobytes()
-        todo = sorted(new)
-        for i in range(0, len(todo), 1000):
-            block = todo[i:i + 1000]
-            ids = self._encode(" ".join(block))
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(block):
-                raw, at = ids.tobytes(), 0
-                for w, to in zip(block, cuts.tolist()):
-                    self.words[w] = raw[4 * at:4 * to]
-                    at = to
-            else:  # a word without an end mark: encode one by one
-                for w in block:
-                    self.words[w] = self._encode(w).tobytes()
+                continue
+            for w in own:
+                if w not in self.words:
+                    new.add(w)
+        tokenize, letters = self.model.tokenize, self.letters
+        for w in new:
+            text = w if w.isascii() else w.encode().decode("latin-1").translate(letters)
+            self.words[w] = np.asarray([t.id for t in tokenize(text)], "<u4").tobytes()
         words = self.words
         for c, own in parts.items():
             self[c] = b"".join([words[w] for w in own])
@@ -88,12 +90,11 @@ class WordCache(dict):
         """Ids of each text; memory for one text at a time besides the cache."""
         for text in texts:
             chunks = text.replace("\n", " ").split(" ")
-            try:
-                yield b"".join([self[c] for c in chunks])
-            except KeyError:
-                self.learn({c for c in chunks if c not in self})
-                yield b"".join([self[c] if c in self else self._encode(c).tobytes()
-                                for c in chunks])
+            got = [*map(self.get, chunks)]
+            if None in got:
+                self.learn({c for c, g in zip(chunks, got) if g is None})
+                got = [self[c] if c in self else self._encode(c).tobytes() for c in chunks]
+            yield b"".join(got)
 
 
 _CACHES: dict[str, WordCache] = {}
@@ -114,23 +115,29 @@ class Windows:
 
     def __init__(self, size: int, close, max_open: int):
         self.size, self.close, self.max_open = size, close, max_open
-        self.count = np.zeros(size + 1, dtype=np.int64)  # open windows at each level
+        # twice the number of open windows at each level: what one more there adds to the
+        # sum of squares, less 1; and the same as a gain from leaving, none where none is
+        self.cost = np.zeros(size + 1, dtype=np.int32)
+        self.gain = np.full(size + 1, -(1 << 30), dtype=np.int32)
         self.stacks: dict[int, list[list]] = {}
         self.n_open = 0
 
+    def _count(self, level: int, change: int) -> None:
+        n = self.cost[level] + 2 * change
+        self.cost[level] = n
+        self.gain[level] = n if n else -(1 << 30)
+
     def best_level(self, length: int) -> int:
         """The level whose window, given ``length`` more, leaves the smallest sum of
         squares; ties go to the fuller window, 0 is a new window."""
         top = self.size - length
-        before, after = self.count[1:top + 1], self.count[length + 1:self.size + 1]
-        # (n-1)^2 - n^2 at the level left, (n+1)^2 - n^2 at the level reached
-        change = 2 * (after - before) + 2
         if top:
-            change[-1] = 1 - 2 * before[-1]  # it fills up: no level is reached
-        change = np.where(before > 0, change, np.iinfo(np.int64).max)
-        new = 2 * self.count[length] + 1
-        if top and (best := change.min()) <= new:
-            return top - int(np.argmax(change[::-1] == best))
+            # (n-1)^2 - n^2 at the level left and (n+1)^2 - n^2 at the level reached
+            change = self.cost[length + 1:] - self.gain[1:top + 1]
+            change[-1] = -1 - self.gain[top]  # it fills up: no level is reached
+            at = top - int(np.argmin(change[::-1]))
+            if change[at - 1] + 2 <= self.cost[length] + 1:
+                return at
         return 0
 
     def add(self, piece: tuple, length: int) -> None:
@@ -141,7 +148,7 @@ class Windows:
         window = []
         if level:
             window = self.stacks[level].pop()
-            self.count[level] -= 1
+            self._count(level, -1)
             self.n_open -= 1
         window.append(piece)
         self._put(window, level + length)
@@ -153,7 +160,7 @@ class Windows:
             self.close(window, fill)
         elif fill:
             self.stacks.setdefault(fill, []).append(window)
-            self.count[fill] += 1
+            self._count(fill, 1)
             self.n_open += 1
 
     def drain(self, keep: int) -> None:
@@ -161,7 +168,8 @@ class Windows:
         (one stays open if none is to be kept)."""
         opened = [(fill, w) for fill in sorted(self.stacks) for w in self.stacks[fill]]
         self.stacks, self.n_open = {}, 0
-        self.count[:] = 0
+        self.cost[:] = 0
+        self.gain[:] = -(1 << 30)
         low, high = 0, len(opened) - 1
         while low < high and high - low + 1 > keep:
             fill, full = opened[high]
