@@ -16,7 +16,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from vigil.llm.store import boxed
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -173,7 +175,7 @@ def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return train(x, np.array([place[r[0]] for r in rows]), langs)
 
 
-def _predict(model: Model | None):
+def _predict(model: Model | None, inside: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
@@ -195,7 +197,8 @@ def _predict(model: Model | None):
                 owners.clear()
 
             if model:
-                for i, value in enumerate(batch.column(batch.num_columns - 1)):
+                texts = batch.column(0).field(inside) if inside else batch.column(1)
+                for i, value in enumerate(texts):
                     text = value.as_py()
                     if text and _LETTER.search(text):
                         owners.append(i)
@@ -208,20 +211,26 @@ def _predict(model: Model | None):
                     k = int(sums[i].argmax())
                     best[i], score[i] = model.langs[k], float(min(1.0, sums[i, k] / weight[i]))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(best, pa.string()), pa.array(score, pa.float64())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"])
+                [batch.column(0), pa.array(best, pa.string()), pa.array(score, pa.float64())],
+                names=["__row", "lang_pred", "score"])
     return run
 
 
-def predict(df: DataFrame, model: Model | None, *, text_col: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score`` (mean probability, 0 to 1) of each whole text.
+def predict(df: DataFrame, model: Model | None, *, columns: list[str] | None = None,
+            text_col: str = "text") -> DataFrame:
+    """``df`` (all columns, or the given ones) with ``lang_pred`` and ``score`` (mean
+    probability, 0 to 1) of each whole text.
 
     A text that is null or has no letter is ``und`` with score 0, and so is every text if
     the model is None (nothing to learn from); equal probabilities go to the first language
-    by name.  Each row is judged on its own text.  Columns with these names are refused.
+    by name.  Each row is judged on its own text.  Columns of ``df`` with these names are
+    replaced.
     """
-    if clash := {"lang_pred", "score"} & {c.lower() for c in df.columns}:
-        raise ValueError(f"columns {sorted(clash)} exist already")
-    kinds = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
-    return (df.withColumn("__text", F.col(f"`{text_col}`").cast("string"))
-            .mapInArrow(_predict(model), f"{kinds}, lang_pred string, score double"))
+    box, own = boxed(df.select(*columns) if columns else df, {"lang_pred", "score"})
+    rows = df.select(box, F.col(f"`{text_col}`").cast("string").alias("__text"))
+    inside = text_col if columns is None and dict(df.dtypes).get(text_col) == "string" else None
+    if inside:  # the text is in the row already
+        rows = rows.select("__row")
+    schema = T.StructType([rows.schema["__row"], T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
+    return (rows.mapInArrow(_predict(model, inside), schema).select(*own, "lang_pred", "score"))

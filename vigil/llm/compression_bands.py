@@ -13,7 +13,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from vigil.llm.store import boxed
 
 LEVEL = 3
 CHUNK_BYTES = 4096
@@ -89,29 +91,28 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     compressor = zstandard.ZstdCompressor(level=LEVEL)
     for batch in batches:
         rows = []
-        for value in batch.column(batch.num_columns - 1):
-            text = value.as_py() or ""
-            rows.append((*base_counts(text), *ratios(compressor, text.encode())))
-        made = [pa.array(c, f.type) for c, f in zip(zip(*rows), SCHEMA)] if rows else [
-            pa.array([], f.type) for f in SCHEMA]
-        sizes = pa.array([None if v is None else len(v.encode())
-                          for v in batch.column(batch.num_columns - 1).to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], *made, sizes],
-            names=[*batch.schema.names[:-1], *SCHEMA.names, "n_bytes"])
+        for value in batch.column(1):
+            text = value.as_py()
+            raw = (text or "").encode()
+            rows.append((*base_counts(text or ""), *ratios(compressor, raw),
+                         None if text is None else len(raw)))
+        if rows:
+            made = [pa.array(c, t) for c, t in zip(zip(*rows), [*SCHEMA.types, pa.int64()])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made],
+                                             names=["__row", *SCHEMA.names, "n_bytes"])
 
 
 def measure(df: DataFrame, keep_cols: list[str], *, text_col: str = "text") -> DataFrame:
     """``keep_cols`` and, for each row's whole text, the base counts, ``ratio`` (null for
-    an empty text), ``chunks``, ``low_chunks``, ``high_chunks`` and ``n_bytes``."""
-    names = [*SCHEMA.names, "n_bytes"]
-    if clash := {c.lower() for c in keep_cols} & set(names):
-        raise ValueError(f"columns {sorted(clash)} exist already")
-    own = df.select(*[F.col(f"`{c}`") for c in keep_cols],
-                    F.col(f"`{text_col}`").cast("string").alias("__text"))
-    kinds = ", ".join(f"`{c}` {t}" for c, t in own.dtypes[:-1])
-    made = ", ".join(f"{f.name} {'double' if f.type == pa.float64() else 'long'}" for f in SCHEMA)
-    return own.mapInArrow(_measure, f"{kinds}, {made}, n_bytes long")
+    an empty text), ``chunks``, ``low_chunks``, ``high_chunks`` and ``n_bytes``.  A kept
+    column with one of these names is replaced."""
+    box, own = boxed(df.select(*[F.col(f"`{c}`") for c in keep_cols]),
+                     {*SCHEMA.names, "n_bytes"})
+    rows = df.select(box, F.col(f"`{text_col}`").cast("string").alias("__text"))
+    made = [T.StructField(f.name, T.DoubleType() if f.type == pa.float64() else T.LongType())
+            for f in [*SCHEMA, pa.field("n_bytes", pa.int64())]]
+    return (rows.mapInArrow(_measure, T.StructType([rows.schema["__row"], *made]))
+            .select(*own, *[f.name for f in made]))
 
 
 def judge(measured: DataFrame) -> DataFrame:

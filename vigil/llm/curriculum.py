@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from vigil.llm.store import boxed
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: rows that one hash bucket of one source should hold at most, on average
@@ -116,17 +118,16 @@ def curriculum(df: DataFrame, *, schedules=SCHEDULES, budget: float = 1.5,
     Edge cases: a null source is a source of its own, the last in order; a null text or one
     without words has size 0 and takes 0; a source without words has target 0; documents
     with equal keys stand next to each other, by size; an empty table gives no rows.  The
-    result is the same on every run.  Names added here must not be columns of ``df``.
+    result is the same on every run.  Columns of ``df`` with the names added here are
+    replaced.
     """
-    added = {"size", "source_size", "target", "taken", "copies", "position"}
-    if clash := added & {c.lower() for c in df.columns}:
-        raise ValueError(f"columns {sorted(clash)} exist already")
-    key, source = F.col(f"`{key_col}`"), F.col(f"`{source_col}`")
+    box, own = boxed(df, ADDED)
     n_rows = df.count()
     bits = max(0, (n_rows // BUCKET_ROWS).bit_length())
-    order = keyed_order(seed, key)
-    rows = df.select("*", (size if size is not None else word_count(F.col(f"`{text_col}`")))
-                     .alias("size"), source.alias("__source"), order.alias("__order"))
+    rows = df.select(box, (size if size is not None else word_count(F.col(f"`{text_col}`")))
+                     .alias("size"), F.col(f"`{source_col}`").alias("__source"),
+                     F.col(f"`{key_col}`").alias("__key"),
+                     keyed_order(seed, F.col(f"`{key_col}`")).alias("__order"))
     rows = rows.withColumn("__bucket", F.shiftright(
         F.conv(F.substring("__order", 1, 7), 16, 10).cast("long"), 28 - bits)
         if bits else F.lit(0).cast("long"))
@@ -143,7 +144,7 @@ def curriculum(df: DataFrame, *, schedules=SCHEDULES, budget: float = 1.5,
                .select(F.col("__source").alias("__bs"), F.col("__bucket").alias("__bb"),
                        "__ahead", "source_size", "target", "__turn"))
 
-    inside = Window.partitionBy("__source", "__bucket").orderBy("__order", key, "size").rowsBetween(
+    inside = Window.partitionBy("__source", "__bucket").orderBy("__order", "__key", "size").rowsBetween(
         Window.unboundedPreceding, -1)
     out = (rows.join(buckets, F.col("__source").eqNullSafe(F.col("__bs"))
                      & (F.col("__bucket") == F.col("__bb")))
@@ -161,11 +162,10 @@ def curriculum(df: DataFrame, *, schedules=SCHEDULES, budget: float = 1.5,
         "if(k < __passes, size, __more) / 2.0D) / __goal AS share)), c -> c.words > 0)")
     timed = F.expr("transform(__made, c -> struct(c.copy AS copy, c.words AS words, "
                    + demand_time("c.share", "__turn", schedules) + " AS position))")
-    own = [F.col(f"`{c}`") for c in df.columns]
     return (out.withColumn("__made", made).withColumn("copies", timed)
             .withColumn("position", F.expr("get(copies, 0).position"))
-            .select(*own, "size", "source_size", "target", "taken", "copies", "position")
-            .orderBy(F.col("position").asc_nulls_last(), key, "size"))
+            .orderBy(F.col("position").asc_nulls_last(), "__key", "size")
+            .select(*own, "size", "source_size", "target", "taken", "copies", "position"))
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -174,17 +174,19 @@ def first_words(text: Column, n: Column) -> Column:
     return F.array_join(F.slice(pieces, F.lit(1), n), "")
 
 
+#: columns that ``curriculum`` adds, and ``emit``
+ADDED = {"size", "source_size", "target", "taken", "copies", "position"}
+EMITTED = {"copy", "words", "copy_position"}
+
+
 def emit(plan: DataFrame, *, text_col: str = "text") -> DataFrame:
     """One row per copy that the mix takes, in training order; a copy taken in part has the
     text's first words.  Adds ``copy, words, copy_position``; drops the plan's columns."""
-    text = F.col(f"`{text_col}`")
-    own = [c for c in plan.columns if c not in
-           ("size", "source_size", "target", "taken", "copies", "position", text_col)]
-    return (plan.withColumn("__c", F.explode("copies"))
-            .select(*[F.col(f"`{c}`") for c in own],
-                    F.when(F.col("__c.words") < F.col("size"),
-                           first_words(text, F.col("__c.words").cast("int")))
-                    .otherwise(text).alias(text_col),
+    own = [c for c in plan.columns if c.lower() not in ADDED | EMITTED]
+    copies = plan.select(*[F.col(f"`{c}`") for c in own], "size", F.explode("copies").alias("__c"))
+    text = F.when(F.col("__c.words") < F.col("size"), first_words(
+        F.col(f"`{text_col}`"), F.col("__c.words").cast("int"))).otherwise(F.col(f"`{text_col}`"))
+    return (copies.orderBy("__c.position", *[F.col(f"`{c}`") for c in own[:1]], "__c.copy")
+            .select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in own],
                     F.col("__c.copy").alias("copy"), F.col("__c.words").alias("words"),
-                    F.col("__c.position").alias("copy_position"))
-            .orderBy("copy_position", *[F.col(f"`{c}`") for c in own[:1]], "copy"))
+                    F.col("__c.position").alias("copy_position")))

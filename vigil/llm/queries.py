@@ -38,7 +38,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
     model = byte_convnet.fit(docs)
-    return (byte_convnet.predict(docs.select("doc_id", "text"), model)
+    return (byte_convnet.predict(docs, model, columns=["doc_id"])
             .select("doc_id", byte_convnet.held_out(F.col("doc_id")).alias("held_out"),
                     "lang_pred", "score"))
 

@@ -17,6 +17,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vigil.llm.store import boxed
+
 
 class Rule(NamedTuple):
     kind: str
@@ -214,28 +216,29 @@ def scan(df: DataFrame, rules=RULES, *, id_col: str = "doc_id", text_col: str =
     Candidates are joined back by id; texts are shuffled once for that.  Rows that share an
     id share their postings, a superset that verification settles row by row; null ids
     likewise.  A null text counts as empty (no spans); an empty table stays empty.  Other
-    columns are carried; one named as ``spans`` is refused.
+    columns are carried; one named as ``spans`` is replaced.
     """
-    if spans.lower() in {c.lower() for c in df.columns}:
-        raise ValueError(f"column {spans!r} exists already")
     found = candidates(trigram_index(df, rules, id_col=id_col, text_col=text_col), rules).select(
         F.col("doc_id").alias("__id"), F.col("rules").alias("__rules"))
-    own = [F.col(f"`{c}`") for c in df.columns]
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    out = df.join(found, df[f"`{id_col}`"].eqNullSafe(F.col("__id")), "left").drop("__id")
+    box, own = boxed(df, {spans.lower()})
+    text = F.col("__text")
+    out = (df.select(box, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text"),
+                     F.col(f"`{id_col}`").alias("__own"))
+           .join(found, F.col("__own").eqNullSafe(F.col("__id")), "left")
+           .select("__row", "__text", "__rules"))
     # one projection per step, so that no expression is evaluated twice
     whole, group, parts = {}, {}, {}
     for k, r in enumerate(rules):
         hit = F.lit(True) if not trigram_query(r.pattern) else F.coalesce(
             F.array_contains("__rules", r.kind), F.lit(False))
         whole[f"__m{k}"] = F.when(hit, F.regexp_extract_all(text, F.lit(r.pattern), 0))
-    out = out.select(*own, *[c.alias(n) for n, c in whole.items()])
+    out = out.select("__row", "__text", *[c.alias(n) for n, c in whole.items()])
     for k, r in enumerate(rules):
         some = F.size(f"__m{k}") > 0
         parts[f"__p{k}"] = F.when(some, F.split(text, r.pattern, -1))
         group[f"__g{k}"] = F.when(some, F.regexp_extract_all(text, F.lit(r.pattern), r.group)
                                   if r.group else F.col(f"__m{k}"))
-    out = out.select(*own, *whole, *[c.alias(n) for n, c in {**parts, **group}.items()])
+    out = out.select("__row", *whole, *[c.alias(n) for n, c in {**parts, **group}.items()])
     empty = F.array().cast("array<struct<start:int,ord:int,end:int,kind:string>>")
     each = [F.when(F.size(f"__m{k}") > 0, _spans(r, k, text, F.col(f"__g{k}"),
                                                  F.col(f"__p{k}"), F.col(f"__m{k}")))

@@ -12,6 +12,8 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from vigil.llm.store import boxed
+
 #: slots of the default table (a prime well above 100 times the default shard count)
 TABLE_SIZE = 8191
 SHARDS = 64
@@ -67,20 +69,18 @@ def place(df: DataFrame, key_cols: list[str], shards: list[str], size: int = TAB
 
     The key is the ``key_cols`` as strings joined by ``|`` (a null column counts as the
     empty string).  Rows with equal keys go to one shard: give a column that differs (as
-    the document id) where one key may hold much of the data.  Columns of ``df`` named
-    ``slot`` or ``shard`` are refused, so that nothing is overwritten; choose other names
-    by the parameters.  An empty table stays empty; repeated rows are placed alike.
+    the document id) where one key may hold much of the data.  Columns of ``df`` named as
+    ``slot`` or ``shard`` are replaced.  An empty table stays empty; repeated rows are placed
+    alike.
     """
-    taken = {c.lower() for c in df.columns}
-    if clash := taken & {slot.lower(), shard.lower()}:
-        raise ValueError(f"columns {sorted(clash)} exist already")
     key = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
                              for c in key_cols])
+    box, own = boxed(df, {slot.lower(), shard.lower()})
     table = table_frame(df.sparkSession, shards, size).select(
         F.col("slot").alias("__slot"), F.col("shard").alias("__shard"))
-    keyed = df.withColumn(slot, slot_of(key, size).cast("int"))
-    return (keyed.join(F.broadcast(table), keyed[slot] == F.col("__slot"), "left")
-            .withColumn(shard, F.col("__shard")).drop("__slot", "__shard"))
+    return (df.select(box, slot_of(key, size).cast("int").alias("__at"))
+            .join(F.broadcast(table), F.col("__at") == F.col("__slot"), "left")
+            .select(*own, F.col("__at").alias(slot), F.col("__shard").alias(shard)))
 
 
 def write_shards(df: DataFrame, path: str, *, shard: str = "shard",

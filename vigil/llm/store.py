@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vigil.session import checkpoint_dir
 
@@ -20,3 +20,12 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def boxed(df: DataFrame, added: set[str]) -> tuple[Column, list[Column]]:
+    """All columns of ``df`` as one struct ``__row``, and the columns that take them out of it
+    again.  Columns named as one that the operator adds (in any case) are left out: the added
+    one replaces them; inside the struct no name can clash with the operator's own."""
+    names = [c for c in df.columns if c.lower() not in added]
+    box = F.struct(*[F.col(f"`{c}`") for c in names]) if names else F.struct(F.lit(True))
+    return box.alias("__row"), [F.col(f"__row.`{c}`").alias(c) for c in names]
