@@ -37,13 +37,23 @@ def test_knn_matches_brute_force(spark, block_rows):
                                                                 block_rows=block_rows).collect()}
     want = {}
     for i, c, v in rows:
-        cands = sorted((round(float(np.sum((np.array(v) - np.array(w)) ** 2)), 9), j)
+        cands = sorted((sum((x - y) * (x - y) for x, y in zip(v, w)), j)
                        for j, cc, w in rows if cc == c and j != i)
         for rank, (_, j) in enumerate(cands[:5], start=1):
             want[(i, rank)] = j
     assert got == want
 
 
+def test_knn_close_points_and_string_ids(spark):
+    """Distances far below 1e-9 rank as they are; ids of any ordered type."""
+    at = [0.0, 0.1e-5, 0.9e-5, 2e-5, 3e-5]
+    df = spark.createDataFrame([(f"p{i}", None, [x]) for i, x in enumerate(at)],
+                               "id string, cls string, v array<double>")
+    got = {(r.id, r.rank): r.nbr_id for r in knn_within_class(df, "id", "cls", "v", k=2, block_rows=2).collect()}
+    assert got[("p0", 1)] == "p1" and got[("p0", 2)] == "p2"
+    assert got[("p4", 1)] == "p3" and got[("p4", 2)] == "p2"
+
+
 def test_smote_invariants(spark):
     df, rows = _points(spark)
     out = smote(df, "id", "cls", "v", k=5, seed=42, block_rows=8, chunk_rows=3)

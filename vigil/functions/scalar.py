@@ -78,4 +78,6 @@ def round_half_away(col: str | Column, digits: int) -> Column:
     included — as SQL engines that round this way."""
     c = _c(col).cast("double")
     m = float(10 ** digits)
-    return F.signum(c) * F.floor(F.abs(c) * F.lit(m) + F.lit(0.5)) / F.lit(m)
+    rounded = F.signum(c) * F.floor(F.abs(c) * F.lit(m) + F.lit(0.5)) / F.lit(m)
+    # beyond 2^53 a double has no such decimals; infinities and NaN stay as they are
+    return F.when(F.abs(c) * F.lit(m) < F.lit(2.0 ** 53), rounded).otherwise(c)

@@ -1,85 +1,69 @@
 """Evaluation tables (A1-A14, D3 helpers).
 
 The scored rows feed exactly one aggregation, ``groupBy(actual, predicted).count()``
-(partially aggregated before the shuffle): the non-zero cells of the confusion
-matrix.  Per-class numbers come from a linear chain on those cells — each cell adds
-to its row class and its column class (``explode`` + ``groupBy(class)``), and the
-totals and averages over the k class rows are window aggregates — so the data is
-scanned once whatever is asked for, and no task ever holds more than one class row
-group.  Only the zero-filled long matrix (A1) folds the cells into one row, since its
-output is the k² grid itself.
+(partially aggregated before the shuffle): the non-zero cells of the confusion matrix.
+Per-class numbers come from a linear chain on those cells: each cell adds to its row class
+and its column class (``explode`` + ``groupBy(class)``).  Totals and averages over the
+classes are one-row aggregates joined back, so no task ever holds all classes.
+
+A null label or prediction is a class of its own (the null class), everywhere: a missing
+prediction is a miss of the true class, in A1-A9 as in the streaming counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.scalar import safe_div
 
-#: small tables (class lists, weights) up to this many rows are broadcast
-BROADCAST_ROWS = 1_000_000
-
-
-def _all():
-    """A window over every row of a small (k-row) table."""
-    return Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+def _beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """The columns of a one-row aggregate next to every row."""
+    return df.crossJoin(F.broadcast(one_row))
 
 
 def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Non-zero cells ``(actual, predicted, n)``; rows with a null label are left out."""
-    return (df.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
-              .groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted"))
+    """Non-zero cells ``(actual, predicted, n)``; null is a class of its own."""
+    return (df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted"))
               .agg(F.count(F.lit(1)).alias("n")))
 
 
-def confusion_cells(df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None) -> DataFrame:
-    """One row: ``labels`` (the sorted union of true and predicted labels, or the given
-    list) and ``cells`` (``array<struct<a, p, n>>`` of the non-zero cells)."""
-    counts = confusion_counts(df, actual, predicted)
-    row = counts.agg(
-        F.collect_list(F.struct(F.col("actual").alias("a"), F.col("predicted").alias("p"),
-                                F.col("n").alias("n"))).alias("cells"),
-        F.array_union(F.collect_set("actual"), F.collect_set("predicted")).alias("seen"))
-    if labels is None:
-        lab = F.array_sort(F.col("seen"))
-    else:
+def _labels(counts: DataFrame, labels: Sequence | None) -> DataFrame:
+    """One column ``label``: the union of true and predicted labels, or the given list."""
+    if labels is not None:
         dtype = dict(counts.dtypes)["actual"]
-        lab = F.array(*[F.lit(x).cast(dtype) for x in labels])
-    return row.select(lab.alias("labels"), "cells")
-
-
-def _cell_map(cells: Column) -> Column:
-    return F.map_from_entries(F.transform(
-        cells, lambda e: F.struct(F.struct(e["a"].alias("a"), e["p"].alias("p")).alias("k"), e["n"].alias("v"))))
-
-
-def _lookup(m: Column, a: Column, p: Column) -> Column:
-    return F.coalesce(F.try_element_at(m, F.struct(a.alias("a"), p.alias("p"))), F.lit(0).cast("bigint"))
+        return counts.sparkSession.createDataFrame([(x,) for x in labels], f"label {dtype}")
+    return counts.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct()
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str,
                      labels: Sequence | None = None) -> DataFrame:
-    """A1: long-form confusion matrix ``(actual, predicted, n)`` over the sorted union
-    of true and predicted labels (or the given ``labels``), zero cells included."""
-    cells = confusion_cells(df, actual, predicted, labels)
-    grid = (cells.select(F.explode("labels").alias("actual"), "labels", _cell_map(F.col("cells")).alias("m"))
-                 .select("actual", F.explode("labels").alias("predicted"), "m"))
-    return grid.select("actual", "predicted",
-                       _lookup(F.col("m"), F.col("actual"), F.col("predicted")).alias("n"))
+    """A1: long-form confusion matrix ``(actual, predicted, n)`` over the union of true and
+    predicted labels (or the given ``labels``), zero cells included: the k x k grid, which
+    is the result's size, joined to the non-zero cells."""
+    counts = confusion_counts(df, actual, predicted)
+    names = _labels(counts, labels)
+    # the list of k labels as one row beside each label, unfolded to the grid
+    row = names.agg(F.collect_list(F.struct("label")).alias("all"))
+    grid = (_beside(names, row).select(F.col("label").alias("actual"), F.explode("all").alias("p"))
+            .select("actual", F.col("p.label").alias("predicted")))
+    cells = counts.select(F.col("actual").alias("__a"), F.col("predicted").alias("__p"), "n")
+    return (grid.join(cells, F.col("actual").eqNullSafe(F.col("__a"))
+                      & F.col("predicted").eqNullSafe(F.col("__p")), "left")
+            .select("actual", "predicted", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 
 def _per_class(df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None) -> DataFrame:
-    """k rows ``(class, tp, support, predicted_n, total, in_l)`` over the union of true
+    """k rows ``(class, tp, support, predicted_n, in_l)`` over the union of true
     and predicted labels (plus given ``labels`` absent from both, with zeros).  ``in_l``
     marks the given labels, or the classes with support when none are given."""
     counts = confusion_counts(df, actual, predicted)
     zero = F.lit(0).cast("bigint")
     parts = counts.select(F.explode(F.array(
         F.struct(F.col("actual").alias("cls"), F.col("n").alias("support"), zero.alias("predicted_n"),
-                 F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(zero).alias("tp")),
+                 F.when(F.col("actual").eqNullSafe(F.col("predicted")), F.col("n")).otherwise(zero).alias("tp")),
         F.struct(F.col("predicted").alias("cls"), zero.alias("support"), F.col("n").alias("predicted_n"),
                  zero.alias("tp")))).alias("c")).select("c.*")
     per = parts.groupBy("cls").agg(F.sum("tp").alias("tp"), F.sum("support").alias("support"),
@@ -87,12 +71,12 @@ def _per_class(df: DataFrame, actual: str, predicted: str, labels: Sequence | No
     if labels is None:
         per = per.withColumn("in_l", F.col("support") > 0)
     else:
-        dtype = dict(counts.dtypes)["actual"]
-        keep = df.sparkSession.createDataFrame([(x, True) for x in labels], f"cls {dtype}, in_l boolean")
-        per = per.join(F.broadcast(keep), "cls", "full_outer").select(
-            "cls", *[F.coalesce(F.col(c), zero).alias(c) for c in ("tp", "support", "predicted_n")],
+        keep = _labels(counts, labels).withColumn("in_l", F.lit(True))
+        per = per.join(keep, F.col("cls").eqNullSafe(F.col("label")), "full_outer").select(
+            F.coalesce("cls", "label").alias("cls"),
+            *[F.coalesce(F.col(c), zero).alias(c) for c in ("tp", "support", "predicted_n")],
             F.coalesce(F.col("in_l"), F.lit(False)).alias("in_l"))
-    return per.withColumn("total", F.sum("support").over(_all())).withColumnRenamed("cls", "class")
+    return per.withColumnRenamed("cls", "class")
 
 
 def class_counts(df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None) -> DataFrame:
@@ -100,6 +84,7 @@ def class_counts(df: DataFrame, actual: str, predicted: str, labels: Sequence |
     row sums and the total of the matrix (counted over all rows, as a per-label
     confusion matrix does even when ``labels`` is a subset)."""
     per = _per_class(df, actual, predicted, labels)
+    per = _beside(per, per.agg(F.coalesce(F.sum("support"), F.lit(0)).alias("total")))
     if labels is not None:
         per = per.where(F.col("in_l"))
     return per.select(
@@ -117,6 +102,9 @@ def class_rates(df: DataFrame, actual: str, predicted: str, labels: Sequence | N
                     safe_div(F.col("fn"), F.col("fn") + F.col("tp")).alias("fnr"))
 
 
+PRF = ("precision", "recall", "f1")
+
+
 def _prf(tp: Column, fp: Column, fn: Column):
     p = safe_div(tp, tp + fp)
     r = safe_div(tp, tp + fn)
@@ -137,47 +125,30 @@ def classification_report(df: DataFrame, actual: str, predicted: str,
                           labels: Sequence | None = None) -> DataFrame:
     """``(class, precision, recall, f1, support)`` for each label present in
     ``actual`` (or the given labels), then ``accuracy`` (or ``micro avg`` when some
-    predicted class is not among the labels), ``macro avg`` and ``weighted avg``.
+    true or predicted class is not among the labels), ``macro avg`` and ``weighted avg``.
     Zero division gives 0.  The accuracy row carries only ``f1`` and ``support``."""
     scored = _scored(_per_class(df, actual, predicted, labels))
-    w = _all()
-
-    def over_labels(c: Column) -> Column:
-        return F.sum(F.when(F.col("in_l"), c)).over(w)
-
-    # window aggregates over the k class rows, as plain columns first
-    staged = scored.select(
-        "*",
-        over_labels(F.col("tp")).alias("__tp"), over_labels(F.col("fp")).alias("__fp"),
-        over_labels(F.col("fn")).alias("__fn"), over_labels(F.col("support")).alias("__sup"),
-        F.count(F.when(F.col("in_l"), F.lit(1))).over(w).alias("__n"),
-        F.coalesce(F.sum(F.when(~F.col("in_l"), F.col("predicted_n"))).over(w), F.lit(0)).alias("__out"),
-        *[over_labels(F.col(c)).alias(f"__s_{c}") for c in ("precision", "recall", "f1")],
-        *[over_labels(F.col(c) * F.col("support")).alias(f"__w_{c}") for c in ("precision", "recall", "f1")],
-        (F.row_number().over(Window.orderBy("class")) == 1).alias("__first"))
-    sup = F.col("__sup")
-    mp, mr, mf = _prf(F.col("__tp"), F.col("__fp"), F.col("__fn"))
-    is_acc = F.col("__out") == 0
-
-    def row(name, p, r, f, s, keep):
-        return F.struct(name.alias("class"), p.cast("double").alias("precision"),
-                        r.cast("double").alias("recall"), f.cast("double").alias("f1"),
-                        s.cast("bigint").alias("support"), keep.alias("keep"))
-
-    mean = {c: safe_div(F.col(f"__s_{c}"), F.col("__n")) for c in ("precision", "recall", "f1")}
-    wavg = {c: safe_div(F.col(f"__w_{c}"), sup) for c in ("precision", "recall", "f1")}
-    summary = [
-        row(F.when(is_acc, F.lit("accuracy")).otherwise(F.lit("micro avg")),
-            F.when(is_acc, F.lit(None)).otherwise(mp), F.when(is_acc, F.lit(None)).otherwise(mr), mf, sup,
-            F.lit(True)),
-        row(F.lit("macro avg"), mean["precision"], mean["recall"], mean["f1"], sup, F.lit(True)),
-        row(F.lit("weighted avg"), wavg["precision"], wavg["recall"], wavg["f1"], sup, F.lit(True)),
-    ]
-    own = row(F.col("class"), F.col("precision"), F.col("recall"), F.col("f1"), F.col("support"), F.col("in_l"))
-    # the summary rows are generated once, next to the first class row
-    rows = F.when(F.col("__first"), F.array(own, *summary)).otherwise(F.array(own))
-    out = staged.select(F.explode(F.filter(rows, lambda x: x["keep"])).alias("r")).select("r.*")
-    return out.drop("keep")
+    own = scored.where("in_l")
+    mean = {c: F.coalesce(F.avg(F.when(F.col("in_l"), F.col(c))), F.lit(0.0)) for c in PRF}
+    wavg = {c: F.sum(F.when(F.col("in_l"), F.col(c) * F.col("support"))) for c in PRF}
+    one = scored.agg(
+        *[F.sum(F.when(F.col("in_l"), F.col(c))).alias(f"n_{c}") for c in ("tp", "fp", "fn", "support")],
+        F.coalesce(F.sum(F.when(~F.col("in_l"), F.col("predicted_n") + F.col("support"))),
+                   F.lit(0)).alias("outside"),
+        *[m.alias(f"mean_{c}") for c, m in mean.items()], *[w.alias(f"sum_{c}") for c, w in wavg.items()])
+    p, r, f = _prf(F.col("n_tp"), F.col("n_fp"), F.col("n_fn"))
+    covers = F.col("outside") == 0
+
+    def row(name: Column, *prf: Column) -> Column:
+        return F.struct(name.alias("class"), *[c.cast("double").alias(n) for n, c in zip(PRF, prf)],
+                        F.coalesce("n_support", F.lit(0)).cast("bigint").alias("support"))
+
+    summary = one.select(F.explode(F.array(
+        row(F.when(covers, "accuracy").otherwise("micro avg"), F.when(~covers, p), F.when(~covers, r), f),
+        row(F.lit("macro avg"), *[F.col(f"mean_{c}") for c in PRF]),
+        row(F.lit("weighted avg"), *[safe_div(F.col(f"sum_{c}"), F.col("n_support")) for c in PRF])
+    )).alias("r")).select("r.*")
+    return own.select("class", *PRF, F.col("support").cast("bigint").alias("support")).unionByName(summary)
 
 
 def f1_scores(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -191,17 +162,12 @@ def f1_scores(df: DataFrame, actual: str, predicted: str) -> DataFrame:
         safe_div(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1_weighted"))
 
 
-def accuracy(df: DataFrame, actual: str, predicted: str) -> Column:
-    """A5 as an aggregate expression."""
-    return F.avg((F.col(actual) == F.col(predicted)).cast("double"))
-
-
 def per_class_accuracy(df: DataFrame, actual: str, predicted: str, classes: Sequence[str]) -> DataFrame:
     """``(class, total, correct, accuracy)`` for a fixed class list; a class with
     no rows gets zeros (guarded division).  One grouped pass, conditional sums."""
     agg = (df.groupBy(F.col(actual).alias("class"))
              .agg(F.count(F.lit(1)).alias("total"),
-                  F.sum((F.col(actual) == F.col(predicted)).cast("long")).alias("correct")))
+                  F.sum(F.col(actual).eqNullSafe(F.col(predicted)).cast("long")).alias("correct")))
     spark = df.sparkSession
     fixed = spark.createDataFrame([(c,) for c in classes], f"class {dict(agg.dtypes)['class']}")
     out = fixed.join(agg, "class", "left")
@@ -221,7 +187,7 @@ def grouped_accuracy(df: DataFrame, actual: str, predicted: str,
     scored = df.join(F.broadcast(dim.withColumnRenamed("name", "__g_name")),
                      F.col(actual) == F.col("__g_name"), "inner")
     agg = scored.groupBy("group").agg(F.count(F.lit(1)).alias("total"),
-                                      F.sum((F.col(actual) == F.col(predicted)).cast("long")).alias("correct"))
+                                      F.sum(F.col(actual).eqNullSafe(F.col(predicted)).cast("long")).alias("correct"))
     fixed = spark.createDataFrame([(g,) for g in groups], "group string")
     out = fixed.join(agg, "group", "left")
     total = F.coalesce(F.col("total"), F.lit(0)).cast("bigint")
@@ -235,9 +201,8 @@ def class_weights(df: DataFrame, label: str, overrides: Mapping | None = None,
     """``(label, n, weight, adjusted)`` with the balanced weight
     ``n_total / (k · n_label)``; ``overrides`` replace and ``multipliers`` scale it."""
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(_all())
-    k = F.count(F.lit(1)).over(_all())
-    w = (total.cast("double") / (k * F.col("n")).cast("double"))
+    counts = _beside(counts, counts.agg(F.sum("n").alias("__total"), F.count(F.lit(1)).alias("__k")))
+    w = F.col("__total").cast("double") / (F.col("__k") * F.col("n")).cast("double")
     adjusted = F.col("weight")
     if overrides:
         m = F.create_map(*[x for kv in overrides.items() for x in (F.lit(kv[0]), F.lit(float(kv[1])))])
@@ -245,16 +210,14 @@ def class_weights(df: DataFrame, label: str, overrides: Mapping | None = None,
     if multipliers:
         m = F.create_map(*[x for kv in multipliers.items() for x in (F.lit(kv[0]), F.lit(float(kv[1])))])
         adjusted = adjusted * F.coalesce(F.try_element_at(m, F.col("label")), F.lit(1.0))
-    return counts.withColumn("weight", w).withColumn("adjusted", adjusted)
+    return counts.withColumn("weight", w).withColumn("adjusted", adjusted).drop("__total", "__k")
 
 
 def with_class_weight(df: DataFrame, label: str, weights: DataFrame, out: str = "weight",
                       col: str = "adjusted") -> DataFrame:
-    """Attach the weight table as a ``weightCol`` (one row per class)."""
+    """Attach the weight table as a ``weightCol`` (one row per class); Spark broadcasts it by
+    its measured bytes or else shuffles."""
     w = weights.select(F.col("label").alias("__wl"), F.col(col).alias(out))
-    # one row per class; broadcast only after the row count is checked
-    if w.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        w = F.broadcast(w)
     return df.join(w, F.col(label) == F.col("__wl"), "left").drop("__wl")
 
 
@@ -282,11 +245,6 @@ def sparse_log_loss(label: str | Column, probs: str | Column) -> Column:
     return -F.avg(F.log(pc))
 
 
-def metric_means(history: DataFrame, group: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """Mean of per-epoch / per-fold metrics."""
-    return history.groupBy(*group).agg(*[F.avg(m).alias(f"mean_{m}") for m in metrics])
-
-
 def count_fraction(df: DataFrame, fraction: float) -> DataFrame:
     """``n`` and ``floor(n·fraction)`` in one row."""
     return df.agg(F.count(F.lit(1)).alias("n")).withColumn(

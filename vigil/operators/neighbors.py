@@ -1,78 +1,147 @@
 """Exact k nearest neighbours inside each class.
 
-Blocked all-pairs without emitting pairs: the rows of a class are dealt into blocks
-of at most ``block_rows`` (keyed-hash rank), every (class, query block, candidate
-block) cell becomes one cogroup task, and the task computes the block's distance
-matrix with NumPy and emits only each query's ``k`` best candidates from that block.
-A per-query top-k over the ``k · n_blocks`` partial results finishes the job.
-
-Work per class is inherently quadratic for exact neighbours in high dimension; the
-blocking bounds the memory of every task (``block_rows²`` distances) and spreads a
-hot class over ``n_blocks²`` tasks instead of one.
+The rows of a class are dealt into query blocks of bounded bytes by a hash of their id.
+Every block is one run of rows in one task: first its queries, then all rows of the class
+as candidates, which stream past while the task keeps each query's ``k`` best so far.
+Only candidates are replicated (once per block), nothing is merged afterwards, and memory
+is one block and one slab of distances whatever the class or the dimension is.
+
+Distances are summed component by component in order and ranked unrounded, so any engine
+that folds the same way ranks the same; ties go to the smaller id.  Work per class is
+quadratic by nature: the reference's oversampling needs exact neighbours.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BLOCK_BYTES = 4 << 20   # vectors of one query block
+SLAB_BYTES = 16 << 20   # distances held at once
+
+
+class _Best:
+    """The ``k`` best candidates so far of one block's queries."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+        self.ids, self.vectors, self.k = ids, vectors, k
+        self.d2 = np.empty((len(ids), 0))
+        self.nbr = np.empty((len(ids), 0), ids.dtype)
+        self.nbr_vec = np.empty((len(ids), 0, vectors.shape[1]))
+
+    def offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        step = max(self.k, SLAB_BYTES // (8 * len(self.ids)))
+        for at in range(0, len(ids), step):
+            self._offer(ids[at:at + step], vectors[at:at + step])
+
+    def _offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        d2 = np.zeros((len(self.ids), len(ids)))
+        for j in range(vectors.shape[1]):
+            diff = self.vectors[:, j, None] - vectors[None, :, j]
+            d2 += diff * diff
+        own = self.ids[:, None] == ids[None, :]
+        d2[own] = np.inf                                # a row is not its own neighbour
+        if self.d2.shape[1] == self.k:                  # only what beats or ties the worst
+            live = np.flatnonzero((d2 <= self.d2[:, -1, None]).any(axis=0))
+            if not len(live):
+                return
+            d2, ids, vectors = d2[:, live], ids[live], vectors[live]
+        all_d2 = np.hstack([self.d2, d2])
+        all_ids = np.hstack([self.nbr, np.broadcast_to(ids, d2.shape)])
+        rank = all_ids
+        if all_ids.dtype == object:
+            rank = np.unique(all_ids, return_inverse=True)[1].reshape(all_ids.shape)
+        order = np.lexsort((rank, all_d2), axis=-1)[:, :self.k]
+        rows = np.arange(len(self.ids))[:, None]
+        seen = self.d2.shape[1]
+        old = order < seen
+        vec = vectors[np.where(old, 0, order - seen)]
+        if seen:
+            vec[old] = self.nbr_vec[np.broadcast_to(rows, order.shape)[old], order[old]]
+        self.d2, self.nbr, self.nbr_vec = all_d2[rows, order], all_ids[rows, order], vec
+
+    def batches(self, cls, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        n, width = self.d2.shape
+        ok = np.isfinite(self.d2).ravel()
+        if not ok.any():
+            return
+        rank = np.broadcast_to(np.arange(1, width + 1), (n, width)).ravel()[ok]
+        vec = self.nbr_vec.reshape(n * width, -1)[ok]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.repeat(self.ids, width)[ok], schema.field(0).type),
+            pa.array([cls] * len(rank), schema.field(1).type),
+            pa.array(rank, pa.int32()), pa.array(self.nbr.ravel()[ok], schema.field(3).type),
+            pa.array(self.d2.ravel()[ok]),
+            pa.array(list(vec), pa.list_(pa.float64()))], schema=schema)
+
 
-from vigil.operators.ranking import hash_rank
-
-RANK_DECIMALS = 9   # distances are ranked after rounding, so summation-order noise never reorders
-QUERY_CHUNK = 128   # queries per NumPy distance slab (128 × block_rows × dim doubles)
-
-
-def _block_topk(k: int):
-    def run(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:
-            return pd.DataFrame({"id": [], "cls": [], "nbr_id": [], "d2": []})
-        cv = np.stack(c["c_vec"].to_numpy()).astype(np.float64)
-        cid = c["c_id"].to_numpy()
-        qv_all = np.stack(q["vec"].to_numpy()).astype(np.float64)
-        qid_all = q["id"].to_numpy()
-        ids, nbrs, dists = [], [], []
-        for s in range(0, len(q), QUERY_CHUNK):
-            qv, qid = qv_all[s:s + QUERY_CHUNK], qid_all[s:s + QUERY_CHUNK]
-            diff = qv[:, None, :] - cv[None, :, :]
-            d2 = np.einsum("ijk,ijk->ij", diff, diff)
-            d2[qid[:, None] == cid[None, :]] = np.inf          # a row is not its own neighbour
-            key = np.round(d2, RANK_DECIMALS)
-            order = np.lexsort((np.broadcast_to(cid, d2.shape), key), axis=-1)[:, :k]
-            take = np.take_along_axis(d2, order, axis=1)
-            ok = np.isfinite(take)
-            ids.append(np.repeat(qid, order.shape[1])[ok.ravel()])
-            nbrs.append(cid[order].ravel()[ok.ravel()])
-            dists.append(take.ravel()[ok.ravel()])
-        out_ids = np.concatenate(ids)
-        return pd.DataFrame({"id": out_ids, "cls": np.repeat(q["cls"].iloc[0], len(out_ids)),
-                             "nbr_id": np.concatenate(nbrs), "d2": np.concatenate(dists)})
+def _stream(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, best = None, None
+        ids: list[np.ndarray] = []
+        vectors: list[np.ndarray] = []
+        schema = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if schema is None:
+                id_type, cls_type = batch.schema.field("id").type, batch.schema.field("cls").type
+                schema = pa.schema([("id", id_type), ("cls", cls_type), ("rank", pa.int32()),
+                                    ("nbr_id", id_type), ("d2", pa.float64()),
+                                    ("nbr_vec", pa.list_(pa.float64()))])
+            cls, qb, side = (batch.column(c).to_pylist() for c in ("cls", "qb", "side"))
+            own = batch.column("id").to_numpy(zero_copy_only=False)
+            vec = batch.column("vec").flatten().to_numpy().reshape(len(own), -1)
+            key = list(zip(cls, qb, side))
+            cuts = [0, *[i for i in range(1, len(key)) if key[i] != key[i - 1]], len(key)]
+            for a, b in zip(cuts, cuts[1:]):
+                if key[a][:2] != block:
+                    if best is not None:
+                        yield from best.batches(block[0], schema)
+                    block, best, ids, vectors = key[a][:2], None, [], []
+                if side[a] == 0:
+                    ids.append(own[a:b])
+                    vectors.append(vec[a:b])
+                elif ids or best is not None:
+                    if best is None:
+                        best = _Best(np.concatenate(ids), np.concatenate(vectors), k)
+                        ids, vectors = [], []
+                    best.offer(own[a:b], vec[a:b])
+        if best is not None:
+            yield from best.batches(block[0], schema)
     return run
 
 
 def knn_within_class(df: DataFrame, id_col: str, class_col: str, vec_col: str, k: int = 5,
-                     block_rows: int = 1024, seed=42) -> DataFrame:
+                     block_rows: int | None = None, seed=42,
+                     vectors: str | None = None) -> DataFrame:
     """``(id, class, rank, nbr_id, d2)``: for every row its ``k`` nearest other rows of
     the same class by squared Euclidean distance; ties by smaller ``nbr_id``.
-    ``id_col`` must be unique."""
-    dtypes = dict(df.dtypes)
-    id_type = dtypes[id_col]
+    ``id_col`` must be unique and not null, vectors of one length.  With ``vectors`` the
+    neighbour's vector is returned under that name, so no join has to fetch it."""
     base = df.select(F.col(id_col).alias("id"), F.col(class_col).alias("cls"),
                      F.col(vec_col).cast("array<double>").alias("vec"))
-    ranked = hash_rank(base, ["id"], seed, partition_cols=["cls"], out="__r", total_out="__n")
-    blocks = ranked.select("id", "cls", "vec", F.floor(F.col("__r") / block_rows).alias("blk"),
-                           F.ceil(F.col("__n") / block_rows).alias("nb"))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1))
-    queries = blocks.select("cls", F.col("blk").alias("qb"), every.alias("cb"), "id", "vec")
-    # candidate columns get their own names: both sides come from ``blocks``
-    cands = blocks.select(F.col("cls").alias("c_cls"), every.alias("c_qb"), F.col("blk").alias("c_cb"),
-                          F.col("id").alias("c_id"), F.col("vec").alias("c_vec"))
-    schema = f"id {id_type}, cls {dtypes[class_col]}, nbr_id {id_type}, d2 double"
-    partial = (queries.groupBy("cls", "qb", "cb")
-                      .cogroup(cands.groupBy("c_cls", "c_qb", "c_cb"))
-                      .applyInPandas(_block_topk(k), schema))
-    w = Window.partitionBy("id").orderBy(F.round("d2", RANK_DECIMALS), "nbr_id")
-    top = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.col("id").alias(id_col), F.col("cls").alias(class_col),
-                      F.col("rank").cast("int").alias("rank"), "nbr_id", "d2")
+    if block_rows is None:
+        first = base.select(F.size("vec")).first()
+        block_rows = max(16, BLOCK_BYTES // (8 * max(1, first[0] if first else 1)))
+    sizes = base.groupBy(F.col("cls").alias("__cls")).agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("nb"))
+    rows = base.join(sizes, F.col("cls").eqNullSafe(F.col("__cls"))).drop("__cls")
+    mine = F.pmod(F.xxhash64(F.lit(str(seed)), "id"), F.col("nb"))
+    queries = rows.select("cls", mine.alias("qb"), F.lit(0).alias("side"), "id", "vec")
+    cands = rows.select("cls", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1)).alias("qb"),
+                        F.lit(1).alias("side"), "id", "vec")
+    kinds = base.schema
+    schema = T.StructType([T.StructField("id", kinds["id"].dataType), T.StructField("cls", kinds["cls"].dataType),
+                           T.StructField("rank", T.IntegerType()), T.StructField("nbr_id", kinds["id"].dataType),
+                           T.StructField("d2", T.DoubleType()),
+                           T.StructField("nbr_vec", T.ArrayType(T.DoubleType()))])
+    top = (queries.unionByName(cands).repartition("cls", "qb")
+                  .sortWithinPartitions("cls", "qb", "side", "id").mapInArrow(_stream(k), schema))
+    out = [F.col("id").alias(id_col), F.col("cls").alias(class_col), "rank", "nbr_id", "d2"]
+    return top.select(*out, *([F.col("nbr_vec").alias(vectors)] if vectors else []))

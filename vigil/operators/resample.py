@@ -36,7 +36,7 @@ def class_sizes(df: DataFrame, class_col: str) -> dict:
 
 
 def smote(df: DataFrame, id_col: str, class_col: str, vec_col: str, k: int = 5, seed=42,
-          block_rows: int = 1024, chunk_rows: int = 100_000) -> DataFrame:
+          block_rows: int | None = None, chunk_rows: int = 100_000) -> DataFrame:
     """``(source_id, sample, <class_col>, <vec_col>, is_synthetic)``: every original row
     (``sample = 0``) and the synthetic rows (``sample = 1..quota``) of each grown class."""
     # rows without a class are kept as originals but neither grown nor counted
@@ -58,10 +58,9 @@ def smote(df: DataFrame, id_col: str, class_col: str, vec_col: str, k: int = 5,
 
     grown_classes = list(need)
     grow = base.where(F.col("cls").isin(grown_classes))
-    nn = knn_within_class(grow, "source_id", "cls", "vec", k=k, block_rows=block_rows, seed=seed)
-    nvec = grow.select(F.col("source_id").alias("nbr_id"), F.col("vec").alias("nvec"))
-    nbrs = (nn.join(nvec, "nbr_id")
-              .groupBy("source_id")
+    nn = knn_within_class(grow, "source_id", "cls", "vec", k=k, block_rows=block_rows, seed=seed,
+                          vectors="nvec")
+    nbrs = (nn.groupBy("source_id")
               .agg(F.sort_array(F.collect_list(F.struct("rank", "nvec"))).alias("nbrs")))
 
     need_map = F.create_map(*[x for c, v in need.items() for x in (F.lit(c), F.lit(v))])

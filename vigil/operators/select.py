@@ -8,27 +8,28 @@ from pyspark.sql import functions as F
 
 from vigil.operators.split import kfold
 
-TIE_DECIMALS = 9  # scores equal to 9 decimals are ties (summation order noise is far smaller)
-
 
 def best_candidate(results: DataFrame, candidate: str, score: str, fold: str | None = None) -> DataFrame:
-    """Mean score per candidate over folds; the best mean wins, ties go to the
-    first candidate (smallest ``candidate``, e.g. grid position)."""
-    means = results.groupBy(candidate).agg(F.avg(score).alias("score")) if fold else \
+    """Mean score per candidate over folds; the best mean wins, exact ties go to the
+    first candidate (smallest ``candidate``, e.g. grid position).  A candidate's few fold
+    scores are summed in sorted order, so its mean does not depend on partitioning."""
+    scores = F.array_sort(F.collect_list(F.col(score).cast("double")))
+    total = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)
+    means = results.groupBy(candidate).agg((total / F.count(score)).alias("score")) if fold else \
         results.select(candidate, F.col(score).alias("score"))
-    return means.orderBy(F.desc(F.round("score", TIE_DECIMALS)), F.asc(candidate)).limit(1)
+    return means.orderBy(F.desc("score"), F.asc(candidate)).limit(1)
 
 
 def best_prefix(results: DataFrame, n_features: str, score: str) -> DataFrame:
     """Backward elimination keeps a prefix when its score is ``>=`` the best so far,
     walking from the largest prefix down: ties therefore go to the smaller prefix."""
-    return results.orderBy(F.desc(F.round(score, TIE_DECIMALS)), F.asc(n_features)).limit(1)
+    return results.orderBy(F.desc(score), F.asc(n_features)).limit(1)
 
 
 def best_trial(trials: DataFrame, trial: str, objective: str, maximize: bool = True) -> DataFrame:
     """The single best trial of a search."""
-    key = F.round(objective, TIE_DECIMALS)
-    return trials.orderBy(F.desc(key) if maximize else F.asc(key), F.asc(trial)).limit(1)
+    key = F.desc(objective) if maximize else F.asc(objective)
+    return trials.orderBy(key, F.asc(trial)).limit(1)
 
 
 def part_selectors(part: DataFrame, seed=42, price_cut: float = 1500.0) -> DataFrame:

@@ -26,19 +26,19 @@ def _per_class(scored: str) -> str:
     """CTEs ``cells``, ``lbl``, ``cm``, ``per`` (class, tp, fp, fn, tn, support, predicted_n)."""
     return f"""
 scored AS ({scored}),
-cells AS (SELECT actual, predicted, count(*) AS n FROM scored
-          WHERE actual IS NOT NULL AND predicted IS NOT NULL GROUP BY actual, predicted),
+cells AS (SELECT actual, predicted, count(*) AS n FROM scored GROUP BY actual, predicted),
 lbl AS (SELECT actual AS label FROM cells UNION SELECT predicted FROM cells),
 cm AS (SELECT a.label AS actual, p.label AS predicted, coalesce(c.n, 0) AS n
        FROM lbl a CROSS JOIN lbl p
-       LEFT JOIN cells c ON c.actual = a.label AND c.predicted = p.label),
+       LEFT JOIN cells c ON c.actual IS NOT DISTINCT FROM a.label
+                        AND c.predicted IS NOT DISTINCT FROM p.label),
 per AS (SELECT l.label AS class,
-          CAST(sum(CASE WHEN cm.actual = l.label AND cm.predicted = l.label THEN n ELSE 0 END) AS BIGINT) AS tp,
-          CAST(sum(CASE WHEN cm.actual <> l.label AND cm.predicted = l.label THEN n ELSE 0 END) AS BIGINT) AS fp,
-          CAST(sum(CASE WHEN cm.actual = l.label AND cm.predicted <> l.label THEN n ELSE 0 END) AS BIGINT) AS fn,
-          CAST(sum(CASE WHEN cm.actual <> l.label AND cm.predicted <> l.label THEN n ELSE 0 END) AS BIGINT) AS tn,
-          CAST(sum(CASE WHEN cm.actual = l.label THEN n ELSE 0 END) AS BIGINT) AS support,
-          CAST(sum(CASE WHEN cm.predicted = l.label THEN n ELSE 0 END) AS BIGINT) AS predicted_n
+          CAST(sum(CASE WHEN cm.actual IS NOT DISTINCT FROM l.label AND cm.predicted IS NOT DISTINCT FROM l.label THEN n ELSE 0 END) AS BIGINT) AS tp,
+          CAST(sum(CASE WHEN cm.actual IS DISTINCT FROM l.label AND cm.predicted IS NOT DISTINCT FROM l.label THEN n ELSE 0 END) AS BIGINT) AS fp,
+          CAST(sum(CASE WHEN cm.actual IS NOT DISTINCT FROM l.label AND cm.predicted IS DISTINCT FROM l.label THEN n ELSE 0 END) AS BIGINT) AS fn,
+          CAST(sum(CASE WHEN cm.actual IS DISTINCT FROM l.label AND cm.predicted IS DISTINCT FROM l.label THEN n ELSE 0 END) AS BIGINT) AS tn,
+          CAST(sum(CASE WHEN cm.actual IS NOT DISTINCT FROM l.label THEN n ELSE 0 END) AS BIGINT) AS support,
+          CAST(sum(CASE WHEN cm.predicted IS NOT DISTINCT FROM l.label THEN n ELSE 0 END) AS BIGINT) AS predicted_n
         FROM lbl l CROSS JOIN cm GROUP BY l.label)"""
 
 
@@ -83,6 +83,29 @@ SELECT 'macro avg', round(mp, 6), round(mr, 6), round(mf, 6), CAST(support AS BI
 UNION ALL
 SELECT 'weighted avg', round(wp, 6), round(wr, 6), round(wf, 6), CAST(support AS BIGINT) FROM micro"""
 
+REPORT_WITH_LABEL_LIST = CLASS_REPORT.replace("support > 0 AS in_l", "class IN ('A', 'N') AS in_l").replace(
+    "sum(predicted_n) FILTER (WHERE NOT in_l)", "sum(predicted_n + support) FILTER (WHERE NOT in_l)")
+
+_NULLS = """SELECT l.l_returnflag AS actual, p.predicted FROM lineitem l LEFT JOIN (
+  SELECT o_orderkey, CASE WHEN o_totalprice < 100000.0::DOUBLE THEN 'A'
+    WHEN o_totalprice < 200000.0::DOUBLE THEN 'N' ELSE 'R' END AS predicted
+  FROM orders WHERE o_orderstatus <> 'F') p ON l.l_orderkey = p.o_orderkey"""
+
+METRICS_WITH_NULLS = f"""
+WITH {_per_class(_NULLS)}
+SELECT class, tp, fp, fn, tn, support, predicted_n,
+  round((SELECT sum(tp) / sum(support) FROM per), 6) AS accuracy FROM per"""
+
+_BRANDS = """SELECT a.p_brand || '/' || a.p_type AS actual, b.p_brand || '/' || b.p_type AS predicted
+  FROM part a JOIN part b ON b.p_partkey - 7 = a.p_partkey"""
+
+BRAND_CONFUSION = f"""
+WITH scored AS ({_BRANDS}),
+cells AS (SELECT actual, predicted, count(*) AS n FROM scored GROUP BY actual, predicted),
+lbl AS (SELECT actual AS label FROM cells UNION SELECT predicted FROM cells)
+SELECT a.label AS actual, p.label AS predicted, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM lbl a CROSS JOIN lbl p LEFT JOIN cells c ON c.actual = a.label AND c.predicted = p.label"""
+
 F1_SUMMARY = f"""
 WITH {_per_class(FLAG_RULE)},
 prf0 AS (SELECT *, {_div('tp', 'tp + fp')} AS p, {_div('tp', 'tp + fn')} AS r FROM per),
@@ -246,17 +269,18 @@ WITH p AS (SELECT p_partkey, p_size, p_brand, p_retailprice,
                   row_number() OVER (ORDER BY {H(42, 'p_partkey')}, p_partkey) - 1 AS r,
                   count(*) OVER () AS n FROM part),
 f AS (SELECT *, {_FOLD} AS fold FROM p),
-w6 AS (SELECT p_size AS grid_pos, avg(score) AS score
+w6 AS (SELECT p_size AS grid_pos,
+              list_reduce(list_sort(list(score)), lambda x, y: x + y) / count(score) AS score
        FROM (SELECT p_size, fold, avg(hit) AS score FROM f GROUP BY p_size, fold) GROUP BY p_size),
 w7 AS (SELECT p_size AS n_features, round(avg(hit), 2) AS score FROM p GROUP BY p_size),
 w8 AS (SELECT p_brand AS trial, avg(p_retailprice) AS score FROM p GROUP BY p_brand)
 SELECT * FROM (SELECT 'best_candidate' AS selector, CAST(grid_pos AS VARCHAR) AS candidate, round(score, 6) AS score
-               FROM w6 ORDER BY round(score, 9) DESC, grid_pos LIMIT 1)
+               FROM w6 ORDER BY score DESC, grid_pos LIMIT 1)
 UNION ALL
 SELECT * FROM (SELECT 'best_prefix', CAST(n_features AS VARCHAR), round(score, 6)
-               FROM w7 ORDER BY round(score, 9) DESC, n_features LIMIT 1)
+               FROM w7 ORDER BY score DESC, n_features LIMIT 1)
 UNION ALL
-SELECT * FROM (SELECT 'best_trial', trial, round(score, 6) FROM w8 ORDER BY round(score, 9) DESC, trial LIMIT 1)"""
+SELECT * FROM (SELECT 'best_trial', trial, round(score, 6) FROM w8 ORDER BY score DESC, trial LIMIT 1)"""
 
 ROW_IDS = """
 SELECT event_id, CAST(row_number() OVER (ORDER BY event_id) - 1 AS BIGINT) AS row_id FROM events"""
@@ -306,15 +330,31 @@ SELECT o_orderkey, printf('%.4f', o_totalprice) AS price_text,
        CAST(floor(o_totalprice * 0.25::DOUBLE) AS BIGINT) AS quarter_floor
 FROM orders"""
 
-_D2 = "list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])))"
+# folded from the left, so that the sum is the same to the last bit
+_D2 = ("list_reduce(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])), "
+       "lambda x, y: x + y)")
 
 KNN = f"""
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 pairs AS (SELECT a.vec_id, a.label, b.vec_id AS nbr_id, {_D2} AS d2
           FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(d2, 9), nbr_id) AS rank FROM pairs)
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, nbr_id) AS rank FROM pairs)
 SELECT vec_id, label, CAST(rank AS INTEGER) AS rank, nbr_id, round(d2, 6) AS d2 FROM r WHERE rank <= 5"""
 
+KNN_CLOSE = f"""
+WITH u AS (SELECT l_orderkey * 10 + l_linenumber AS row_key, min(l_suppkey) AS l_suppkey, min(l_quantity) AS l_quantity,
+             min(l_extendedprice) AS l_extendedprice, min(l_discount) AS l_discount, min(l_tax) AS l_tax
+           FROM lineitem GROUP BY 1),
+q AS (SELECT *, sqrt(l_quantity * l_quantity + l_extendedprice * l_extendedprice
+                  + l_discount * l_discount + l_tax * l_tax) AS nrm FROM u),
+e AS (SELECT row_key, l_suppkey, [l_quantity / nz, l_extendedprice / nz, l_discount / nz, l_tax / nz] AS v
+      FROM (SELECT *, CASE WHEN nrm = 0 THEN 1.0::DOUBLE ELSE nrm END AS nz FROM q)),
+pairs AS (SELECT a.row_key, a.l_suppkey, b.row_key AS nbr_id, {_D2} AS d2
+          FROM e a JOIN e b ON a.l_suppkey = b.l_suppkey AND a.row_key <> b.row_key),
+r AS (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY d2, nbr_id) AS rank FROM pairs)
+SELECT CAST(row_key AS BIGINT) AS row_key, l_suppkey, CAST(rank AS INTEGER) AS rank,
+  CAST(nbr_id AS BIGINT) AS nbr_id, d2 FROM r WHERE rank <= 5"""
+
 SMOTE = f"""
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 sz AS (SELECT label, count(*) AS n FROM e GROUP BY label),
@@ -322,7 +362,7 @@ tg AS (SELECT label, n, max(n) OVER () - n AS need FROM sz),
 pairs AS (SELECT a.vec_id, b.vec_id AS nbr_id, {_D2} AS d2
           FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
           JOIN tg ON tg.label = a.label WHERE tg.need > 0),
-nn0 AS (SELECT vec_id, nbr_id, row_number() OVER (PARTITION BY vec_id ORDER BY round(d2, 9), nbr_id) AS rank
+nn0 AS (SELECT vec_id, nbr_id, row_number() OVER (PARTITION BY vec_id ORDER BY d2, nbr_id) AS rank
         FROM pairs),
 nn AS (SELECT * FROM nn0 WHERE rank <= 5),
 kc AS (SELECT vec_id, count(*) AS kk FROM nn GROUP BY vec_id),
@@ -404,7 +444,7 @@ SELECT 'fraction', NULL, CAST(floor(count(*) * 0.25::DOUBLE) AS BIGINT) FROM lin
 
 STREAM_CONFUSION = f"""
 SELECT actual, predicted, count(*) AS n FROM ({_EVENT_RULE})
-WHERE actual IS NOT NULL AND predicted IS NOT NULL GROUP BY actual, predicted"""
+GROUP BY actual, predicted"""
 
 
 ATTACH_ORDER_PREDICTIONS = """
@@ -421,6 +461,9 @@ ORACLES = {
     "confusion_rates": CONFUSION_RATES,
     "confusion_matrix": CONFUSION_MATRIX,
     "class_report": CLASS_REPORT,
+    "report_with_label_list": REPORT_WITH_LABEL_LIST,
+    "metrics_with_nulls": METRICS_WITH_NULLS,
+    "brand_confusion": BRAND_CONFUSION,
     "f1_summary": F1_SUMMARY,
     "class_accuracy": CLASS_ACCURACY,
     "binary_relabel": BINARY_RELABEL,
@@ -444,6 +487,7 @@ ORACLES = {
     "label_flip": LABEL_FLIP,
     "scalar_formats": SCALAR_FORMATS,
     "knn": KNN,
+    "knn_close": KNN_CLOSE,
     "smote": SMOTE,
     "csv_roundtrip": CSV_ROUNDTRIP,
     "csv_headerless": CSV_HEADERLESS,

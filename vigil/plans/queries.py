@@ -76,6 +76,35 @@ def class_report(spark: SparkSession, sf: str) -> DataFrame:
                       _r(F.col("f1")).alias("f1"), "support")
 
 
+def report_with_label_list(spark: SparkSession, sf: str) -> DataFrame:
+    """A7 with a label list that leaves out a true class: a micro row, not accuracy."""
+    li = table(spark, sf, "lineitem")
+    rep = M.classification_report(_flag_rule(li), "actual", "predicted", labels=["A", "N"])
+    return rep.select("class", _r(F.col("precision")).alias("precision"), _r(F.col("recall")).alias("recall"),
+                      _r(F.col("f1")).alias("f1"), "support")
+
+
+def metrics_with_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """A2/A5 on predictions attached by key where some are missing (J1): finished orders
+    have none, so their lines' predictions are null, a class of its own."""
+    o = table(spark, sf, "orders").where(F.col("o_orderstatus") != "F")
+    flag = (F.when(F.col("o_totalprice") < 100000.0, "A").when(F.col("o_totalprice") < 200000.0, "N")
+             .otherwise("R"))
+    preds = o.select("o_orderkey", flag.alias("predicted"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("actual"))
+    scored = AT.attach_predictions(li, preds, ["l_orderkey"], ["o_orderkey"])
+    counts = M.class_counts(scored, "actual", "predicted")
+    one = M.f1_scores(scored, "actual", "predicted").select(_r(F.col("accuracy")).alias("accuracy"))
+    return counts.crossJoin(F.broadcast(one))
+
+
+def brand_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 over 150 classes: a part's type against that of the part 7 keys ahead."""
+    p = table(spark, sf, "part").select("p_partkey", F.concat_ws("/", "p_brand", "p_type").alias("actual"))
+    ahead = p.select((F.col("p_partkey") - 7).alias("k"), F.col("actual").alias("predicted"))
+    return M.confusion_matrix(p.join(ahead, F.col("p_partkey") == F.col("k")), "actual", "predicted")
+
+
 def f1_summary(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
     s = M.f1_scores(_flag_rule(li), "actual", "predicted")
@@ -291,6 +320,17 @@ def knn(spark: SparkSession, sf: str) -> DataFrame:
     return nn.select("vec_id", "label", "rank", "nbr_id", _r(F.col("d2")).alias("d2"))
 
 
+def knn_close(spark: SparkSession, sf: str) -> DataFrame:
+    """Neighbours of L2-normalised line items within a supplier: distances far below 1e-9.
+    Lines are keyed by order and line number (the few that share a key count as one)."""
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("row_key")
+    li = table(spark, sf, "lineitem").groupBy(key).agg(*[F.min(c).alias(c) for c in ["l_suppkey", *cols]])
+    n = E.l2_normalize(li, cols, prefix="n_").select(
+        "row_key", "l_suppkey", F.array(*[F.col(f"n_{c}") for c in cols]).alias("v"))
+    return NB.knn_within_class(n, "row_key", "l_suppkey", "v", k=5)
+
+
 # --- R1, U3: SMOTE ----------------------------------------------------------------
 
 def smote(spark: SparkSession, sf: str) -> DataFrame:
@@ -399,7 +439,7 @@ def stream_confusion(spark: SparkSession, sf: str) -> DataFrame:
     out = _scratch(spark, "stream-result")
     q = start_to_path(running_confusion(_event_rule(stream), "actual", "predicted"),
                       _scratch(spark, "stream-checkpoint"), out)
-    q.awaitTermination(600)
+    q.awaitTermination()   # ends when all available input is read; raises if the stream fails
     return spark.read.schema("actual string, predicted string, n bigint").parquet(out)
 
 

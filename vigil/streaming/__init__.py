@@ -19,10 +19,10 @@ def score_stream(model, stream: DataFrame) -> DataFrame:
 
 
 def running_confusion(scored: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """A1 as a streaming aggregate: non-zero cells ``(actual, predicted, n)``."""
-    return (scored.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
-                  .groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted"))
-                  .agg(F.count(F.lit(1)).alias("n")))
+    """A1 as a streaming aggregate: non-zero cells ``(actual, predicted, n)``; null is a class
+    of its own, as in the batch counts."""
+    return (scored.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted"))
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def start_to_table(agg: DataFrame, checkpoint: str, table_name: str,
