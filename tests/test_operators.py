@@ -206,28 +206,65 @@ def test_log_loss_clipping(spark):
     assert math.isclose(sp.agg(M.sparse_log_loss("y", "p")).first()[0], -math.log(1e-7))
 
 
-def test_large_dictionary_uses_join_path(spark):
-    vals = [f"v{i:04d}" for i in range(E.LITERAL_ROWS + 50)]
-    df = spark.createDataFrame([(v,) for v in vals], "c string")
+def test_dictionary_of_any_size_and_type(spark):
+    import datetime as dt
+    vals = [f"https://x/{i:04d}" for i in range(700)]  # a long common head
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "c string")
     d = E.fit_dictionary(df, "c")
-    assert d.mapping is None and d.size == len(vals)
+    assert d.size == len(vals)
     got = {r.c: r.code for r in E.encode(df, "c", d, "code").collect()}
-    assert got == {v: i for i, v in enumerate(sorted(vals))}
+    assert got == {**{v: i for i, v in enumerate(sorted(vals))}, None: None}
     du = E.fit_unknown_dictionary(df, "c")
-    probe = spark.createDataFrame([("zzz",), ("v0001",)], "c string")
+    probe = spark.createDataFrame([("zzz",), (vals[1],)], "c string")
     assert sorted(r.code for r in E.encode(probe, "c", du, "code", unseen="unknown").collect()) == [1, len(vals)]
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=3 * i) for i in range(50)]
+    dates = E.fit_dictionary(spark.createDataFrame([(x,) for x in days], "c date"), "c")
+    assert dates.label_list() == days
 
 
-def test_bucketed_dictionary_equals_window_ranking(spark, monkeypatch):
+def test_stratified_dictionary(spark, monkeypatch):
     vals = [f"k{i % 97:02d}-{i}" for i in range(700)] + ["", "Ä", "zz", "a"]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)], "c string, s int")
-    window = {r.value: r.code for r in E.fit_dictionary(df, "c").table.collect()}
-    monkeypatch.setattr(E, "LITERAL_ROWS", 5)
-    monkeypatch.setattr(E, "SINGLE_TASK_ROWS", 10)
-    d = E.fit_dictionary(df, "c")
-    assert d.mapping is None and {r.value: r.code for r in d.table.collect()} == window
+    monkeypatch.setattr(E, "MAX_LABELS", 10)
+    with pytest.raises(ValueError):
+        E.fit_dictionary(df, "c").label_list()
     strat = E.fit_dictionary(df, "c", strata=["s"])
     got = {(r.s, r.value): r.code for r in strat.table.collect()}
     for s in range(3):
         ordered = sorted({v for i, v in enumerate(vals) if i % 3 == s}, key=lambda x: x.encode())
         assert {v: got[(s, v)] for v in ordered} == {v: i for i, v in enumerate(ordered)}
+
+
+def test_nulls_are_a_class_everywhere(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", None), ("b", "b"), ("b", None)], "t string, p string")
+    assert M.f1_scores(df, "t", "p").first().accuracy == 0.5
+    per = {r["class"]: r for r in M.per_class_accuracy(df, "t", "p", ["a", "b"]).collect()}
+    assert per["a"].accuracy == per["b"].accuracy == 0.5
+    counts = {r["class"]: (r.tp, r.fp, r.fn, r.support) for r in M.class_counts(df, "t", "p").collect()}
+    assert counts == {"a": (1, 0, 1, 2), "b": (1, 0, 1, 2), None: (0, 2, 0, 0)}
+    grid = {(r.actual, r.predicted): r.n for r in M.confusion_matrix(df, "t", "p").collect()}
+    assert len(grid) == 9 and grid[("a", None)] == 1 and grid[(None, "a")] == 0
+
+
+def test_report_over_a_list_without_a_true_class(spark):
+    df = spark.createDataFrame([("a", "a"), ("b", "a"), ("c", "b"), ("c", "b"), ("a", "a")], "t string, p string")
+    rep = {r["class"]: r for r in M.classification_report(df, "t", "p", labels=["a", "b"]).collect()}
+    assert "accuracy" not in rep and rep["micro avg"].support == 3
+    full = {r["class"] for r in M.classification_report(df, "t", "p", labels=["a", "b", "c"]).collect()}
+    assert "accuracy" in full
+
+
+def test_round_half_away_keeps_what_it_cannot_round(spark):
+    from vigil.functions.scalar import round_half_away
+    xs = [1e13, float("inf"), float("-inf"), -2.5, 1.0000005, -1e300]
+    got = [r.y for r in spark.createDataFrame([(x,) for x in xs], "x double")
+           .select(round_half_away("x", 6).alias("y")).collect()]
+    assert got[:4] == xs[:4] and got[4] == 1.000001 and got[5] == xs[5]
+
+
+def test_confusion_grid_is_fast_for_many_classes(spark):
+    df = spark.range(40_000).select((F.col("id") % 200).alias("t"), (F.col("id") * 7919 % 200).alias("p"))
+    import time
+    t0 = time.time()
+    assert M.confusion_matrix(df, "t", "p").count() == 40_000
+    assert time.time() - t0 < 60

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.scalar import keyed_u32
 from vigil.operators import metrics as M
-from vigil.operators.ranking import hash_rank
+from vigil.operators.ranking import hash_cuts
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -17,14 +17,15 @@ SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(He
 @SETTINGS
 @given(keys=st.lists(st.integers(-10**12, 10**12), min_size=1, max_size=300, unique=True),
        strata=st.integers(1, 4), bits=st.integers(1, 10), seed=st.integers(0, 99))
-def test_hash_rank_matches_window(spark, keys, strata, bits, seed):
+def test_hash_cuts_match_window(spark, keys, strata, bits, seed):
     df = spark.createDataFrame([(k, k % strata) for k in keys], "k bigint, s bigint")
-    got = {r.k: (r.hash_rank, r.n) for r in
-           hash_rank(df, ["k"], seed, partition_cols=["s"], total_out="n", bucket_bits=bits).collect()}
+    got = {r.k: (r.passed, r.n) for r in
+           hash_cuts(df, ["k"], lambda n: [F.floor(n / 4), F.floor(n / 2), n], seed, partition_cols=["s"],
+                     total_out="n", bucket_bits=bits).collect()}
     w = Window.partitionBy("s").orderBy(keyed_u32(seed, "k"), "k")
-    want = {r.k: (r.r, r.n) for r in df.select("k", (F.row_number().over(w) - 1).alias("r"),
-                                                   F.count("*").over(Window.partitionBy("s")).alias("n")).collect()}
-    assert got == want
+    rows = df.select("k", (F.row_number().over(w) - 1).alias("r"),
+                     F.count("*").over(Window.partitionBy("s")).alias("n")).collect()
+    assert got == {r.k: ((r.r >= r.n // 4) + (r.r >= r.n // 2), r.n) for r in rows}
 
 
 @SETTINGS

@@ -8,7 +8,7 @@ from vigil.functions.scalar import keyed_u32
 from vigil.operators import history as H
 from vigil.operators import select as SEL
 from vigil.operators import split as SP
-from vigil.operators.ranking import hash_rank, ordered_row_ids
+from vigil.operators.ranking import hash_cuts, ordered_row_ids, value_at_rank
 
 
 @pytest.fixture(scope="module")
@@ -17,25 +17,58 @@ def ids(spark):
                 .withColumn("lab", (F.col("k") % 7).cast("string"))
 
 
-def test_hash_rank_equals_single_window_for_any_bucket_count(spark, ids):
+def test_hash_cuts_equal_single_window_for_any_bucket_count(spark, ids):
     naive = ids.withColumn("r", F.row_number().over(Window.orderBy(keyed_u32(42, "k"), "k")) - 1)
-    want = {r.k: r.r for r in naive.collect()}
+    marks = [0, 1, 700, 700, 5002, 5003, 9000]
+    want = {r.k: sum(m <= r.r for m in marks) for r in naive.collect()}
     for bits in (1, 4, 12):
-        got = {r.k: r.hash_rank for r in hash_rank(ids, ["k"], 42, bucket_bits=bits).collect()}
-        assert got == want
+        got = hash_cuts(ids, ["k"], lambda n: [F.lit(m) for m in marks], 42, bucket_bits=bits)
+        assert {r.k: r.passed for r in got.collect()} == want
 
 
-def test_stratified_rank_dense_per_label(spark, ids):
-    r = hash_rank(ids, ["k"], 42, partition_cols=["lab"], total_out="n", bucket_bits=3)
-    agg = r.groupBy("lab").agg(F.min("hash_rank").alias("lo"), F.max("hash_rank").alias("hi"),
+def test_stratified_cuts_per_label(spark, ids):
+    df = ids.withColumn("lab", F.when(F.col("k") % 7 > 0, F.col("lab")))  # a null stratum too
+    r = hash_cuts(df, ["k"], lambda n: [F.floor(n / 3)], 42, partition_cols=["lab"], total_out="n",
+                  bucket_bits=3)
+    agg = r.groupBy("lab").agg(F.sum((F.col("passed") == 0).cast("int")).alias("below"),
                               F.count("*").alias("c"), F.first("n").alias("n")).collect()
-    assert all(a.lo == 0 and a.hi == a.c - 1 and a.n == a.c for a in agg)
+    assert len(agg) == 7 and all(a.below == a.c // 3 and a.n == a.c for a in agg)
+
+
+def test_cuts_shuffle_keys_only(spark):
+    """No exchange carries a payload column."""
+    from conftest import SF001
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").withColumn("y", F.lit(1))
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    for df in (SP.flip_labels(li, "y", keys, 0.25), SP.hash_split(li, keys, exact=True),
+               SP.kfold(li, keys, 5)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        tree = plan.split("== Initial Plan ==")[-1]
+        lines = tree.split("\n")
+        for i, line in enumerate(lines):
+            if " Exchange hashpartitioning" in line or " Exchange SinglePartition" in line:
+                below = lines[i + 1]
+                assert "l_comment" not in below and "l_extendedprice" not in below
+        assert "Exchange hashpartitioning(l_" not in tree
 
 
 def test_ordered_row_ids_dense_in_key_order(spark, ids):
     shuffled = ids.repartition(7)
-    got = ordered_row_ids(shuffled, "k", n_buckets=16).collect()
+    got = ordered_row_ids(shuffled, "k").collect()
     assert sorted((r.k, r.row_id) for r in got) == [(i, i) for i in range(5003)]
+    two = ordered_row_ids(ids, ["lab", "k"], total_out="n").collect()
+    assert [r.k for r in sorted(two, key=lambda r: r.row_id)] == [
+        r.k for r in sorted(two, key=lambda r: (r.lab, r.k))]
+    assert {r.n for r in two} == {5003} and ordered_row_ids(ids.limit(0), "k").count() == 0
+
+
+def test_value_at_rank(spark, ids):
+    for rank in (0, 17, 4000, 5002):
+        assert value_at_rank(ids, "k", lambda n: rank, buckets=16, few=10) == (rank, 5003)
+    assert value_at_rank(ids, "k", lambda n: n) == (None, 5003)
+    skew = ids.select(F.exp(F.col("k") / 100).alias("x"))
+    want = sorted(r.x for r in skew.collect())[1234]
+    assert value_at_rank(skew, "x", lambda n: 1234, buckets=8, few=5)[0] == want
 
 
 def test_exact_split_size_and_disjoint(spark, ids):
@@ -130,7 +163,7 @@ def test_selectors_tie_rules(spark):
 
 def test_ordered_row_ids_on_timestamps(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts")
-    got = ordered_row_ids(ev, "ts", n_buckets=8).select("event_id", "row_id")
+    got = ordered_row_ids(ev, "ts").select("event_id", "row_id")
     want = ev.withColumn("row_id", F.row_number().over(Window.orderBy("ts")) - 1)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("event_id", "row_id").collect()))
 
@@ -150,7 +183,7 @@ def test_xxhash_option_is_deterministic_and_exact(spark, ids):
 
 def test_ordered_row_ids_keep_null_keys(spark):
     df = spark.createDataFrame([(None,), (5,), (None,), (1,), (3,)], "k bigint")
-    got = ordered_row_ids(df, "k", n_buckets=4, total_out="n").collect()
+    got = ordered_row_ids(df, "k", total_out="n").collect()
     assert len(got) == 5 and sorted(r.row_id for r in got) == [0, 1, 2, 3, 4]
     assert sorted(r.row_id for r in got if r.k is None) == [0, 1]
     assert [r.k for r in sorted(got, key=lambda r: r.row_id)][2:] == [1, 3, 5]

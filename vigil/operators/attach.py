@@ -2,8 +2,8 @@
 
 Inside a model pipeline predictions stay on their rows (``model.transform``), so no
 join is needed.  When they arrive as a separate table they are attached by key: an
-equi-join, broadcast only when the prediction table's row count has been checked,
-otherwise a shuffle (sort-merge) join on the key, which AQE splits when a key is hot.
+equi-join that Spark broadcasts by measured bytes, or else shuffles on the key and splits
+where a key is hot.
 """
 
 from __future__ import annotations
@@ -11,9 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: prediction tables up to this many rows are broadcast
-BROADCAST_ROWS = 1_000_000
-
 
 def attach_predictions(df: DataFrame, preds: DataFrame, left_keys: list[str], right_keys: list[str],
                        how: str = "left") -> DataFrame:
@@ -21,8 +18,6 @@ def attach_predictions(df: DataFrame, preds: DataFrame, left_keys: list[str], ri
     (``right_keys`` must be unique in ``preds``; a row without a match keeps nulls)."""
     renamed = preds.select(*[F.col(r).alias(f"__k{i}") for i, r in enumerate(right_keys)],
                            *[c for c in preds.columns if c not in right_keys])
-    if renamed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        renamed = F.broadcast(renamed)
     cond = None
     for i, l in enumerate(left_keys):
         c = F.col(l) == F.col(f"__k{i}")

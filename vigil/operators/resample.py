@@ -17,12 +17,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.scalar import keyed_u32, keyed_uniform
 from vigil.operators.neighbors import knn_within_class
-from vigil.operators.ranking import hash_rank
+from vigil.operators.ranking import hash_cuts
 
 
 class ClassTooSmall(ValueError):
@@ -64,11 +64,11 @@ def smote(df: DataFrame, id_col: str, class_col: str, vec_col: str, k: int = 5,
               .agg(F.sort_array(F.collect_list(F.struct("rank", "nvec"))).alias("nbrs")))
 
     need_map = F.create_map(*[x for c, v in need.items() for x in (F.lit(c), F.lit(v))])
-    ranked = hash_rank(grow, ["source_id"], seed, partition_cols=["cls"], out="__r", total_out="__n")
     need_c = F.element_at(need_map, F.col("cls")).cast("bigint")
-    quota = (F.floor(need_c / F.col("__n")) +
-             F.when(F.col("__r") < need_c % F.col("__n"), 1).otherwise(0)).cast("bigint")
-    based = ranked.select("source_id", "cls", "vec", quota.alias("quota")).where(F.col("quota") > 0)
+    cut = hash_cuts(grow, ["source_id"], lambda n: [need_c % n], seed, partition_cols=["cls"], out="__p",
+                    total_out="__n")
+    quota = (F.floor(need_c / F.col("__n")) + F.when(F.col("__p") == 0, 1).otherwise(0)).cast("bigint")
+    based = cut.select("source_id", "cls", "vec", quota.alias("quota")).where(F.col("quota") > 0)
     based = based.join(nbrs, "source_id")
 
     max_quota = max(-(-need[c] // sizes[c]) for c in need)
@@ -119,13 +119,17 @@ def resample_to_counts(df: DataFrame, key_cols: list[str], label_col: str, targe
     order; with ``t > n`` every row appears ``t // n`` times plus once more for the
     first ``t % n`` rows (``out`` numbers the copies from 1).  Classes without a target
     keep every row once."""
-    ranked = hash_rank(df, key_cols, seed, partition_cols=[label_col], out="__r", total_out="__n")
     tmap = F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(int(v)))])
-    t = F.coalesce(F.try_element_at(tmap, F.col(label_col)).cast("bigint"), F.col("__n"))
-    extra = F.when(F.col("__r") < t % F.col("__n"), 1).otherwise(0)
-    copies = F.when(t <= F.col("__n"), F.when(F.col("__r") < t, 1).otherwise(0)) \
-              .otherwise(F.floor(t / F.col("__n")) + extra).cast("bigint")
-    kept = ranked.withColumn("__copies", copies).drop("__r", "__n").where(F.col("__copies") > 0)
+
+    def target(n: Column) -> Column:
+        return F.coalesce(F.try_element_at(tmap, F.col(label_col)).cast("bigint"), n)
+
+    # below the cut: rows that are kept, or that are copied once more
+    cut = hash_cuts(df, key_cols, lambda n: [F.when(target(n) <= n, target(n)).otherwise(target(n) % n)],
+                    seed, partition_cols=[label_col], out="__p", total_out="__n")
+    t, extra = target(F.col("__n")), F.when(F.col("__p") == 0, 1).otherwise(0)
+    copies = F.when(t <= F.col("__n"), extra).otherwise(F.floor(t / F.col("__n")) + extra).cast("bigint")
+    kept = cut.withColumn("__copies", copies).drop("__p", "__n").where(F.col("__copies") > 0)
     sizes = class_sizes(df, label_col)
     worst = max([-(-int(v) // max(1, sizes.get(k, 1))) for k, v in targets.items()] or [1])
     return explode_counts(kept, "__copies", out, chunk_rows, spread=worst > chunk_rows)

@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.scalar import TWO_32, keyed_u32
-from vigil.operators.ranking import hash_rank, ordered_row_ids
+from vigil.operators.ranking import hash_cuts, value_at_rank
+
+#: labels whose counts a total-first split may bring to the driver
+MAX_LABELS = 10_000
 
 
 def hash_threshold(fraction: float) -> int:
@@ -26,13 +29,12 @@ def hash_split(df: DataFrame, key_cols: list[str], test_fraction: float = 0.2, s
 
     ``exact=False``: a row is test when its keyed hash is below ``fraction·2^32`` (one
     pass, no shuffle, expected size).  ``exact=True``: the ``ceil(fraction·n)`` rows
-    first in hash order are test (the library size rule); costs one rank."""
+    first in hash order are test (the library size rule), by comparison with one bound."""
     if not exact:
         is_test = keyed_u32(seed, *key_cols) < F.lit(hash_threshold(test_fraction))
         return df.withColumn(out, F.when(is_test, "test").otherwise("train"))
-    ranked = hash_rank(df, key_cols, seed, out="__r", total_out="__n")
-    n_test = F.ceil(F.lit(test_fraction) * F.col("__n"))
-    return ranked.withColumn(out, F.when(F.col("__r") < n_test, "test").otherwise("train")).drop("__r", "__n")
+    cut = hash_cuts(df, key_cols, lambda n: [F.ceil(F.lit(test_fraction) * n)], seed, out="__p")
+    return cut.withColumn(out, F.when(F.col("__p") == 0, "test").otherwise("train")).drop("__p")
 
 
 def stratified_split(df: DataFrame, key_cols: list[str], label_col: str,
@@ -44,12 +46,16 @@ def stratified_split(df: DataFrame, key_cols: list[str], label_col: str,
     ``apportion="total"``: the total is fixed first (``n_test = ceil(fraction·n)``) and
     the training rows are apportioned by largest remainder, ``floor(n_train·n_label/n)``
     plus one for the labels with the largest remainders (ties by label order, not at
-    random); each label's test part is the rest.  Needs one row per label on the driver."""
-    ranked = hash_rank(df, key_cols, seed, partition_cols=[label_col], out="__r", total_out="__n")
+    random); each label's test part is the rest.  Needs one row per label on the driver (at
+    most ``MAX_LABELS``)."""
     if apportion == "per_label":
-        n_test = F.ceil(F.lit(test_fraction) * F.col("__n"))
+        def cuts(n: Column) -> list[Column]:
+            return [F.ceil(F.lit(test_fraction) * n)]
     elif apportion == "total":
-        sizes = sorted(((r[0], r[1]) for r in df.groupBy(label_col).count().collect()),
+        sizes = df.groupBy(label_col).count().limit(MAX_LABELS + 1).collect()
+        if len(sizes) > MAX_LABELS:
+            raise ValueError(f"more than {MAX_LABELS} labels")
+        sizes = sorted(((r[0], r[1]) for r in sizes),
                        key=lambda kv: (kv[0] is not None, kv[0]))
         n = sum(c for _, c in sizes)
         n_train = n - math.ceil(test_fraction * n)
@@ -62,37 +68,44 @@ def stratified_split(df: DataFrame, key_cols: list[str], label_col: str,
         pairs = [x for lab, t in tests.items() if lab is not None for x in (F.lit(lab), F.lit(t))]
         lookup = F.try_element_at(F.create_map(*pairs), F.col(label_col)) if pairs else F.lit(None)
         n_test = F.coalesce(lookup, F.lit(tests.get(None, 0))) if None in tests else lookup
+
+        def cuts(n: Column) -> list[Column]:
+            return [n_test]
     else:
         raise ValueError(apportion)
-    return ranked.withColumn(out, F.when(F.col("__r") < n_test, "test").otherwise("train")).drop("__r", "__n")
+    cut = hash_cuts(df, key_cols, cuts, seed, partition_cols=[label_col], out="__p")
+    return cut.withColumn(out, F.when(F.col("__p") == 0, "test").otherwise("train")).drop("__p")
+
+
+def _fold_starts(k: int):
+    """Ranks at which folds 1..k-1 start; the first ``n % k`` folds get one extra row."""
+    def cuts(n: Column) -> list[Column]:
+        q = F.floor(n / F.lit(k))
+        return [q * i + F.least(n % F.lit(k), F.lit(i)) for i in range(1, k)]
+    return cuts
 
 
 def kfold(df: DataFrame, key_cols: list[str], k: int = 5, seed=42, out: str = "fold") -> DataFrame:
     """Shuffled k-fold.  Rows in hash order are cut into k contiguous folds; the
     first ``n % k`` folds get one extra row (sizes differ by at most one)."""
-    ranked = hash_rank(df, key_cols, seed, out="__r", total_out="__n")
-    q = F.floor(F.col("__n") / k)
-    r = F.col("__n") - q * k
-    big = r * (q + 1)
-    fold = F.when(F.col("__r") < big, F.floor(F.col("__r") / (q + 1))) \
-            .otherwise(r + F.floor((F.col("__r") - big) / q))
-    return ranked.withColumn(out, fold.cast("int")).drop("__r", "__n")
+    return hash_cuts(df, key_cols, _fold_starts(k), seed, out=out)
 
 
 def stratified_kfold(df: DataFrame, key_cols: list[str], label_col: str, k: int = 5, seed=42,
-                     out: str = "fold") -> DataFrame:
-    """Folds dealt round-robin inside each label in hash order, so every fold holds
-    ``floor`` or ``ceil`` of ``n_label / k`` rows of each label."""
-    ranked = hash_rank(df, key_cols, seed, partition_cols=[label_col], out="__r")
-    return ranked.withColumn(out, (F.col("__r") % k).cast("int")).drop("__r")
+                     out: str = "fold", keys_from: DataFrame | None = None) -> DataFrame:
+    """Each label's rows in hash order are cut into k contiguous folds, so every fold
+    holds ``floor`` or ``ceil`` of ``n_label / k`` rows of each label."""
+    return hash_cuts(df, key_cols, _fold_starts(k), seed, partition_cols=[label_col], out=out,
+                     keys_from=keys_from)
 
 
 def tail_holdout(df: DataFrame, order_col: str, fraction: float = 0.2, out: str = "split") -> DataFrame:
-    """The last ``fraction`` of rows in ``order_col`` order is ``val``; the cut is
-    ``floor(n·(1-fraction))`` as in a training loop's validation split."""
-    ranked = ordered_row_ids(df, order_col, out="__r", total_out="__n")
-    cut = F.floor(F.col("__n") * F.lit(1.0 - fraction))
-    return ranked.withColumn(out, F.when(F.col("__r") >= cut, "val").otherwise("train")).drop("__r", "__n")
+    """The last ``fraction`` of rows in ``order_col`` order (unique; nulls first) is
+    ``val``; the cut is ``floor(n·(1-fraction))`` as in a training loop's validation split.
+    One bound is found by counting; rows are labelled in place."""
+    bound, _ = value_at_rank(df, order_col, lambda n: math.floor(n * (1.0 - fraction)))
+    val = F.lit(False) if bound is None else F.coalesce(F.col(order_col) >= F.lit(bound), F.lit(False))
+    return df.withColumn(out, F.when(val, "val").otherwise("train"))
 
 
 def flip_labels(df: DataFrame, col: str, key_cols: list[str], fraction: float, seed=0,
@@ -100,10 +113,10 @@ def flip_labels(df: DataFrame, col: str, key_cols: list[str], fraction: float, s
     """Flip exactly ``floor(n·fraction)`` rows of a 0/1 column (``1 - x``), chosen
     without replacement in keyed-hash order.  With ``partition_cols`` the count is per
     stratum (the balanced variant)."""
-    ranked = hash_rank(df, key_cols, seed, partition_cols=list(partition_cols), out="__r", total_out="__n")
-    n_flip = F.floor(F.col("__n") * F.lit(fraction))
-    flipped = F.when(F.col("__r") < n_flip, F.lit(1) - F.col(col)).otherwise(F.col(col)).cast("int")
-    return ranked.withColumn(out or col, flipped).drop("__r", "__n")
+    cut = hash_cuts(df, key_cols, lambda n: [F.floor(n * F.lit(fraction))], seed,
+                    partition_cols=list(partition_cols), out="__p")
+    flipped = F.when(F.col("__p") == 0, F.lit(1) - F.col(col)).otherwise(F.col(col)).cast("int")
+    return cut.withColumn(out or col, flipped).drop("__p")
 
 
 def by_row_range(row_id: str | Column, first_n, inside: Column, outside: Column) -> Column:

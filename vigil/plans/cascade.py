@@ -125,7 +125,7 @@ def run_cascade(train: DataFrame, test: DataFrame, *, flip_fraction: float = 0.2
                                 maxIter=max_iter).fit(assemble2.transform(train))
     scored = stage2.transform(assemble2.transform(test.withColumn("stage1_pred",
                                                                   F.col("stage1_pred").cast("double"))))
-    labels = [r["value"] for r in cats.labels().collect()]          # k class names
+    labels = cats.label_list()
     scored = scored.withColumn("cat_pred", L.decode(L.argmax(vector_to_array("probability")), labels))
     multi_rates = M.class_rates(scored, "cat", "cat_pred")
     multi_report = M.classification_report(scored, "cat", "cat_pred")

@@ -170,6 +170,21 @@ SELECT o.o_orderkey, pd.code AS priority_code, o.split, sd.code AS status_code,
 FROM o LEFT JOIN pd ON o.o_orderpriority = pd.value
        LEFT JOIN sd ON o.split = sd.split AND o.o_orderstatus = sd.value"""
 
+ENCODE_CUSTOMER_NAMES = """
+SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS INTEGER) AS name_code FROM customer"""
+
+ENCODE_SPLIT_ORDERS = f"""
+WITH o AS (SELECT o_orderkey, o_orderdate,
+             CASE WHEN {H(42, 'o_orderkey')} < {T20} THEN 'test' ELSE 'train' END AS split FROM orders)
+SELECT o_orderkey, split,
+  CAST(dense_rank() OVER (PARTITION BY split ORDER BY o_orderkey) - 1 AS INTEGER) AS key_code,
+  CAST(dense_rank() OVER (ORDER BY o_orderdate) - 1 AS INTEGER) AS date_code FROM o"""
+
+LINE_IDS = """
+SELECT l_orderkey, l_linenumber, min(l_shipdate) AS l_shipdate,
+  CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS BIGINT) AS row_id
+FROM lineitem GROUP BY l_orderkey, l_linenumber"""
+
 UNKNOWN_ENCODE = f"""
 WITH s AS (SELECT event_id, event_type,
                   CASE WHEN {H(42, 'event_id')} < {T20} THEN 'test' ELSE 'train' END AS split FROM events),
@@ -260,15 +275,17 @@ SELECT run_id, CAST(count(*) AS BIGINT) AS n_epochs, round(avg(accuracy), 6) AS
                      max(CASE WHEN improving THEN epoch END)) AS BIGINT) AS best_epoch
 FROM f4 GROUP BY run_id"""
 
-_FOLD = """CASE WHEN r < (n % 5) * (n // 5 + 1) THEN r // (n // 5 + 1)
-                ELSE (n % 5) + (r - (n % 5) * (n // 5 + 1)) // (n // 5) END"""
+def _fold(r: str, n: str) -> str:
+    return (f"CASE WHEN {r} < ({n} % 5) * ({n} // 5 + 1) THEN {r} // ({n} // 5 + 1) "
+            f"ELSE ({n} % 5) + ({r} - ({n} % 5) * ({n} // 5 + 1)) // ({n} // 5) END")
+
 
 SELECTORS = f"""
 WITH p AS (SELECT p_partkey, p_size, p_brand, p_retailprice,
                   CASE WHEN p_retailprice > 1500.0::DOUBLE THEN 1.0 ELSE 0.0 END::DOUBLE AS hit,
                   row_number() OVER (ORDER BY {H(42, 'p_partkey')}, p_partkey) - 1 AS r,
                   count(*) OVER () AS n FROM part),
-f AS (SELECT *, {_FOLD} AS fold FROM p),
+f AS (SELECT *, {_fold('r', 'n')} AS fold FROM p),
 w6 AS (SELECT p_size AS grid_pos,
               list_reduce(list_sort(list(score)), lambda x, y: x + y) / count(score) AS score
        FROM (SELECT p_size, fold, avg(hit) AS score FROM f GROUP BY p_size, fold) GROUP BY p_size),
@@ -301,10 +318,10 @@ FROM events"""
 KFOLD = f"""
 WITH p AS (SELECT o_orderkey, o_orderpriority,
                   row_number() OVER (ORDER BY {H(42, 'o_orderkey')}, o_orderkey) - 1 AS r,
-                  count(*) OVER () AS n,
+                  count(*) OVER () AS n, count(*) OVER (PARTITION BY o_orderpriority) AS ns,
                   row_number() OVER (PARTITION BY o_orderpriority ORDER BY {H(42, 'o_orderkey')}, o_orderkey) - 1 AS rs
            FROM orders)
-SELECT o_orderkey, CAST({_FOLD} AS INTEGER) AS fold, CAST(rs % 5 AS INTEGER) AS strat_fold FROM p"""
+SELECT o_orderkey, CAST({_fold('r', 'n')} AS INTEGER) AS fold, CAST({_fold('rs', 'ns')} AS INTEGER) AS strat_fold FROM p"""
 
 TAIL_HOLDOUT = """
 SELECT o_orderkey,
@@ -471,6 +488,9 @@ ORACLES = {
     "feature_projection": FEATURE_PROJECTION,
     "argmax_decode": ARGMAX_DECODE,
     "ordinal_encode": ORDINAL_ENCODE,
+    "encode_customer_names": ENCODE_CUSTOMER_NAMES,
+    "encode_split_orders": ENCODE_SPLIT_ORDERS,
+    "line_ids": LINE_IDS,
     "unknown_encode": UNKNOWN_ENCODE,
     "one_hot": ONE_HOT,
     "l2_normalize": L2_NORMALIZE,

@@ -180,6 +180,29 @@ def ordinal_encode(spark: SparkSession, sf: str) -> DataFrame:
                             F.lit(d.size).cast("bigint").alias("n_classes"))
 
 
+def encode_customer_names(spark: SparkSession, sf: str) -> DataFrame:
+    """E1 on a column of long values with a common head."""
+    c = table(spark, sf, "customer").select("c_custkey", F.concat(
+        F.lit("https://example.org/customers/by-name/"), F.col("c_name")).alias("name"))
+    return E.ordinal_encode(c, "name", "name_code").select("c_custkey", "name_code")
+
+
+def encode_split_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """E2 per split on a key of more than 10,000 values, and E1 on dates."""
+    li = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    split = SP.hash_split(li, ["o_orderkey"], 0.2, SEED)
+    coded = E.ordinal_encode(split, "o_orderkey", "key_code", strata=["split"])
+    coded = E.ordinal_encode(coded, "o_orderdate", "date_code")
+    return coded.select("o_orderkey", "split", "key_code", "date_code")
+
+
+def line_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """W4 on line items, ordered by key, line number and ship date."""
+    li = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.min("l_shipdate").alias("l_shipdate"))
+    return ordered_row_ids(li, ["l_orderkey", "l_linenumber"], out="row_id")
+
+
 # --- E3, E4, J4, U1: encode with an unknown class --------------------------------
 
 def unknown_encode(spark: SparkSession, sf: str) -> DataFrame:
@@ -195,8 +218,8 @@ def unknown_encode(spark: SparkSession, sf: str) -> DataFrame:
 
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    flags = [r["value"] for r in E.fit_dictionary(li, "l_returnflag").labels().collect()]
-    status = [r["value"] for r in E.fit_dictionary(li, "l_linestatus").labels().collect()]
+    flags = E.fit_dictionary(li, "l_returnflag").label_list()
+    status = E.fit_dictionary(li, "l_linestatus").label_list()
     out = E.one_hot_columns(li, "l_returnflag", flags, prefix="rf")
     out = E.one_hot_columns(out, "l_linestatus", status, prefix="ls")
     return out.drop("l_returnflag", "l_linestatus")
@@ -283,7 +306,7 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
 def kfold(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     a = SP.kfold(o, ["o_orderkey"], 5, SEED, out="fold")
-    b = SP.stratified_kfold(a, ["o_orderkey"], "o_orderpriority", 5, SEED, out="strat_fold")
+    b = SP.stratified_kfold(a, ["o_orderkey"], "o_orderpriority", 5, SEED, out="strat_fold", keys_from=o)
     return b.select("o_orderkey", "fold", "strat_fold")
 
 
