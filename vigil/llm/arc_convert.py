@@ -19,6 +19,7 @@ import hashlib
 import io
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 
@@ -195,8 +196,8 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 4 << 20
         yield made()
 
 
-def _arc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows():
+def _arc_records(packed: bool):
+    def rows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for content in batch.column(0):
                 for name, at, version, own, body in parse_arc(_stream(content.as_py())):
@@ -207,14 +208,19 @@ def _arc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                            f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{name}#{at}#{url}')}>",
                            url, own.get("ip-address", ""), iso_date(own.get("archive-date", "")),
                            own.get("content-type", ""), version,
-                           hashlib.sha1(payload).hexdigest(), len(payload), head, payload)
-    return _batches(rows(), RECORD_SCHEMA)
+                           hashlib.sha1(payload).hexdigest(), len(payload), head,
+                           zlib.compress(payload) if packed else payload)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batches(rows(batches), RECORD_SCHEMA)
+    return run
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all ARC files under ``path``."""
+def read_arc(spark: SparkSession, path: str, *, packed: bool = False) -> DataFrame:
+    """The records of all ARC files under ``path``; with ``packed`` their payloads are
+    compressed (zlib), for a shuffle."""
     return (spark.read.format("binaryFile").load(path).select("content")
-            .mapInArrow(_arc_records, _ddl(RECORD_SCHEMA)))
+            .mapInArrow(_arc_records(packed), _ddl(RECORD_SCHEMA)))
 
 
 # --- WARC ----------------------------------------------------------------------------
@@ -256,11 +262,9 @@ def warc_record(fields: list[tuple[str, str | None]], block: bytes) -> bytes:
                        ).encode() + block
 
 
-def _warc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part = TaskContext.get().partitionId()
-
-    def records() -> Iterator[bytes]:
-        started = False
+def _warc_rows(packed: bool):
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+        part, started = TaskContext.get().partitionId(), False
         for batch in batches:
             names = batch.schema.names
             for values in zip(*(c.to_pylist() for c in batch.columns)):
@@ -274,7 +278,8 @@ def _warc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                          ("Content-Type", "application/warc-fields")], info)
                     started = True
                 http, revisit = bool(r["head"]), r["record_type"] == "revisit"
-                block = r["head"] if revisit else r["head"] + r["payload"]
+                body = b"" if revisit else r["payload"]
+                block = r["head"] + (zlib.decompress(body) if packed and body else body)
                 yield warc_record([
                     ("WARC-Type", "revisit" if revisit else "response" if http else "resource"),
                     ("WARC-Record-ID", r["record_id"]), ("WARC-Date", r["date"]),
@@ -289,14 +294,17 @@ def _warc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ("WARC-Block-Digest", _sha1_32(block)),
                     ("Content-Type", "application/http; msgtype=response" if http
                      else r["mime"] or "application/octet-stream")], block)
-    return _text_rows(records())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _text_rows(records(batches))
+    return run
 
 
-def write_warc(typed: DataFrame, path: str) -> None:
+def write_warc(typed: DataFrame, path: str, *, packed: bool = False) -> None:
     """Records with their types as WARC files, one per partition, each opened by a
     ``warcinfo`` record."""
     (typed.withColumn("payload", F.when(F.col("record_type") != "revisit", F.col("payload")))
-     .mapInArrow(_warc_rows, "value binary").select(F.col("value").cast("string"))
+     .mapInArrow(_warc_rows(packed), "value binary").select(F.col("value").cast("string"))
      .write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
      .option("zlib.compress.level", "BEST_SPEED").text(path))
 
@@ -354,11 +362,12 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, *,
     """All ARC files under one path to WARC files under another.
 
     The archives are read twice: for the digests alone, and with bodies, which are shuffled
-    once (by digest).  Archives without records give an empty folder of WARC files.
+    once (by digest), compressed.  Archives without records give an empty folder of WARC files.
     """
     light = read_arc(spark, arc_path).select("page_id", "record_id", "url", "date",
                                              "payload_sha1", "payload_bytes")
-    write_warc(assign_types(read_arc(spark, arc_path), light, min_bytes=min_bytes), warc_path)
+    records = read_arc(spark, arc_path, packed=True)
+    write_warc(assign_types(records, light, min_bytes=min_bytes), warc_path, packed=True)
 
 
 def refers_to_page(read_back: DataFrame, name: Column | str = "refers_to") -> DataFrame:
