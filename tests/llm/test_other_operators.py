@@ -5,6 +5,7 @@ import hashlib
 import io
 import random
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -74,11 +75,11 @@ def near_copies(seed, groups=25, copies=6):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_jaccard_join_equals_brute_force(spark, seed):
+@pytest.mark.parametrize("seed, small_group", [(1, 16), (2, 2), (3, 5)])
+def test_jaccard_join_equals_brute_force(spark, seed, small_group):
     rows = near_copies(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("cls", F.lit("clash"))
-    got = sorted(tuple(r) for r in jaccard_join.join(df).collect())
+    got = sorted(tuple(r) for r in jaccard_join.join(df, small_group=small_group).collect())
     assert got == brute_components(rows)
 
 
@@ -126,8 +127,14 @@ def test_signatures_meet(size, rng):
     hot = np.array([rng.choice([0, 0, 5, 90]) for _ in small])
     ask = jaccard_join.signatures(small, jaccard_join.mix(small), hot, limits, 75, 1)
     have = jaccard_join.signatures(large, jaccard_join.mix(large), None, limits, 75, 1)
-    asked = ask[0][ask[1] & jaccard_join.PROBE > 0]
-    assert len(np.intersect1d(asked, have[0][have[1] & jaccard_join.INDEX > 0]))
+    asked = {int(k): int(f) for k, f in zip(ask[0], ask[1]) if f & jaccard_join.PROBE}
+    index = have[0][have[1] & jaccard_join.INDEX > 0]
+    meets = sum(2 if asked[k] & jaccard_join.TWICE else 1 for k in set(index.tolist()) & set(asked))
+    assert meets
+    own = bisect_right(limits.first, len(small)) == bisect_right(limits.first, len(large))
+    least = jaccard_join.least_meetings(np.array([len(small)]), np.array([len(large)]),
+                                        np.array([ask[2][0 if own else 1]]), 75, limits)
+    assert meets >= least[0]
 
 
 def test_components(spark):
