@@ -3,10 +3,12 @@
 from vigil.plans import queries as _q
 from vigil.plans.oracle import ORACLES
 
-QUERIES = {name: getattr(_q, name) for name in ORACLES}
+MODEL_NAMES = ("tree_cascade", "weighted_logreg", "mlp_embeddings", "tree_grid_search", "forest_elimination",
+               "mlp_search", "two_targets", "warm_start", "cascade_full")
+QUERIES = {name: getattr(_q, name) for name in ORACLES if name not in MODEL_NAMES}
 
 
 def all_queries():
-    """Every registered query: the oracle-checked ones plus the rows-only ones."""
-    from vigil.plans.rows_only import ROWS_ONLY
-    return {**QUERIES, **ROWS_ONLY}
+    """Every registered query: the relational ones and the model queries (Spark ML)."""
+    from vigil.plans.models import MODEL_QUERIES
+    return {**QUERIES, **MODEL_QUERIES}

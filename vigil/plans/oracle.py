@@ -474,7 +474,84 @@ SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag, p.predicted
 FROM lineitem l LEFT JOIN p ON l.l_orderkey = p.o_orderkey"""
 
 
+# --- models: what is exact around the fitted numbers --------------------------------------
+
+_LINE_TEST = f"{H(42, 'l_orderkey', 'l_linenumber')} < {T20}"
+_DOC_TEST = f"{H(42, 'doc_id')} < {T20}"
+
+TREE_CASCADE = f"""
+WITH t AS (SELECT l_returnflag AS class FROM lineitem WHERE {_LINE_TEST})
+SELECT class, count(*) AS support, (SELECT count(*) FROM t) AS n_test, TRUE AS sums_ok FROM t GROUP BY class"""
+
+WEIGHTED_LOGREG = f"""
+WITH d AS (SELECT CAST(l.quality AS INTEGER) AS class, {_DOC_TEST.replace('doc_id', 'l.doc_id')} AS test
+           FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+w AS (SELECT class, count(*) AS train_n, CAST(sum(count(*)) OVER () AS DOUBLE)
+        / CAST(count(*) OVER () * count(*) AS DOUBLE) AS weight FROM d WHERE NOT test GROUP BY class),
+t AS (SELECT class, count(*) AS support, CAST(sum(count(*)) OVER () AS BIGINT) AS n_test
+      FROM d WHERE test GROUP BY class)
+SELECT class, support, n_test, TRUE AS sums_ok, TRUE AS loss_ok, train_n,
+  floor(weight * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE AS weight FROM t JOIN w USING (class)"""
+
+_EMB = f"""e AS (SELECT vec_id, CAST(label AS INTEGER) AS class,
+    row_number() OVER (PARTITION BY label ORDER BY {H(42, 'vec_id')}, vec_id) - 1
+      < ceil(0.2::DOUBLE * count(*) OVER (PARTITION BY label)) AS test FROM embeddings)"""
+
+MLP_EMBEDDINGS = f"""
+WITH {_EMB}
+SELECT class, count(*) FILTER (test) AS support, CAST(sum(count(*) FILTER (test)) OVER () AS BIGINT) AS n_test,
+  TRUE AS sums_ok, TRUE AS loss_ok, count(*) FILTER (NOT test) AS train_n, TRUE AS reload_same
+FROM e GROUP BY class"""
+
+TREE_GRID_SEARCH = """
+WITH g AS (SELECT d.i AS di, d.depth, l.leaf
+  FROM (VALUES (0, 30), (1, 10), (2, 20), (3, 25)) d(i, depth), (VALUES (1), (2), (3), (4), (5)) l(leaf))
+SELECT CAST(di * 5 + leaf - 1 AS INTEGER) AS grid_pos, CAST(depth AS INTEGER) AS max_depth,
+  CAST(leaf AS INTEGER) AS min_leaf, TRUE AS score_ok, TRUE AS best_ok FROM g"""
+
+FOREST_ELIMINATION = """
+WITH f AS (SELECT ['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'l_linenumber', 'l_partkey',
+                   'l_suppkey', 'ship_day'] AS names)
+SELECT CAST(n AS INTEGER) AS n_features, array_to_string(names[:n], ',') AS features,
+  TRUE AS score_ok, TRUE AS best_ok FROM f, range(1, 9) r(n)"""
+
+MLP_SEARCH = """
+WITH h AS (SELECT * FROM (VALUES (0, '32'), (1, '512'), (2, '32,32'), (3, '128,64'), (4, '64,64,64')) t(i, layers)),
+r AS (SELECT * FROM (VALUES (0, 0.1::DOUBLE), (1, 0.01::DOUBLE), (2, 0.001::DOUBLE)) t(j, rate))
+SELECT CAST(i * 3 + j AS INTEGER) AS trial, layers, rate, TRUE AS score_ok, TRUE AS best_ok FROM h, r"""
+
+TWO_TARGETS = f"""
+WITH d AS (SELECT l.quality, l.toxic FROM labels l JOIN documents d ON l.doc_id = d.doc_id
+           WHERE {_DOC_TEST.replace('doc_id', 'l.doc_id')}),
+u AS (SELECT 'quality' AS target, CAST(quality AS INTEGER) AS class FROM d
+      UNION ALL SELECT 'toxic', CAST(toxic AS INTEGER) FROM d)
+SELECT target, class, count(*) AS support, (SELECT count(*) FROM d) AS n_test, TRUE AS sums_ok, TRUE AS loss_ok
+FROM u GROUP BY target, class"""
+
+WARM_START = f"""
+WITH {_EMB}
+SELECT CASE WHEN test THEN 'test' ELSE 'train' END AS split, count(*) AS n, TRUE AS loss_falls
+FROM e GROUP BY 1"""
+
+CASCADE_FULL = f"""
+WITH c AS (SELECT c_mktsegment AS class, {H(42, 'c_custkey')} < {T20} AS test,
+             {H('42v', 'c_custkey')} < {T20} AS held FROM customer),
+t AS (SELECT class, count(*) FILTER (test) AS support, count(*) FILTER (NOT test AND NOT held) AS n
+      FROM c GROUP BY class)
+SELECT class, support, CAST(sum(support) OVER () AS BIGINT) AS n_test, TRUE AS sums_ok,
+  max(n) OVER () AS resampled_n, max(n) OVER () - n AS n_synthetic, TRUE AS losses_ok FROM t"""
+
+
 ORACLES = {
+    "cascade_full": CASCADE_FULL,
+    "tree_cascade": TREE_CASCADE,
+    "weighted_logreg": WEIGHTED_LOGREG,
+    "mlp_embeddings": MLP_EMBEDDINGS,
+    "tree_grid_search": TREE_GRID_SEARCH,
+    "forest_elimination": FOREST_ELIMINATION,
+    "mlp_search": MLP_SEARCH,
+    "two_targets": TWO_TARGETS,
+    "warm_start": WARM_START,
     "confusion_rates": CONFUSION_RATES,
     "confusion_matrix": CONFUSION_MATRIX,
     "class_report": CLASS_REPORT,

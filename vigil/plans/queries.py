@@ -19,7 +19,6 @@ from vigil.operators import resample as RS
 from vigil.operators import select as SEL
 from vigil.operators import split as SP
 from vigil.operators.ranking import ordered_row_ids
-from vigil.session import checkpoint_dir
 from vigil.sources import connections as CSV
 from vigil.sources import sinks as SK
 from vigil.sources.tables import table
@@ -366,14 +365,9 @@ def smote(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- S1/S4, S5/S8: sinks read back ------------------------------------------------
 
-def _scratch(spark: SparkSession, what: str) -> str:
-    import uuid
-    return f"{checkpoint_dir(spark).rstrip('/')}/vigil-out/{what}-{uuid.uuid4().hex}"
-
-
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
-    path = _scratch(spark, "orders-csv")
+    path = SK.scratch_path(spark, "orders-csv")
     SK.write_csv(orders, path)
     return CSV.read_csv_typed(spark, path, orders.schema)
 
@@ -382,7 +376,7 @@ def csv_headerless(spark: SparkSession, sf: str) -> DataFrame:
     """S1/S2 read path: a headerless CSV read back with declared names and types
     (FAILFAST), as the connection records are read."""
     li = table(spark, sf, "lineitem")
-    path = _scratch(spark, "lineitem-csv")
+    path = SK.scratch_path(spark, "lineitem-csv")
     SK.write_csv(li, path, header=False)
     return CSV.read_csv_typed(spark, path, li.schema, header=False)
 
@@ -393,7 +387,7 @@ RUN_ID = SK.run_id(0.25, (0.001, 0.001), 100)
 def metrics_sink(spark: SparkSession, sf: str) -> DataFrame:
     rates = confusion_rates(spark, sf)
     long = SK.metrics_long(rates, "class", ["tp", "fp", "fn", "tn", "fpr", "fnr"], RUN_ID, "binary")
-    path = _scratch(spark, "metrics")
+    path = SK.scratch_path(spark, "metrics")
     SK.append_metrics(long, path)
     schema = "stage string, class string, metric string, value double, run_id string"
     return spark.read.schema(schema).parquet(path).select("run_id", "stage", "class", "metric", "value")
@@ -459,9 +453,9 @@ def stream_confusion(spark: SparkSession, sf: str) -> DataFrame:
     schema = table(spark, sf, "events").schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
                    .parquet(sf.rstrip("/")))
-    out = _scratch(spark, "stream-result")
+    out = SK.scratch_path(spark, "stream-result")
     q = start_to_path(running_confusion(_event_rule(stream), "actual", "predicted"),
-                      _scratch(spark, "stream-checkpoint"), out)
+                      SK.scratch_path(spark, "stream-checkpoint"), out)
     q.awaitTermination()   # ends when all available input is read; raises if the stream fails
     return spark.read.schema("actual string, predicted string, n bigint").parquet(out)
 

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.session import checkpoint_dir
+
+
+def scratch_path(spark: SparkSession, what: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/vigil-out/{what}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, what: str = "kept") -> DataFrame:
+    """``df`` written to the shared folder and read again."""
+    path = scratch_path(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
     """CSV with a header line (optional) and no index column, one file per partition."""
@@ -23,12 +38,6 @@ def run_id(*parts) -> str:
     return "-".join(one(p) for p in parts)
 
 
-def run_id_col(*cols: str | Column) -> Column:
-    """S8 as a column expression over parameter columns."""
-    return F.concat_ws("-", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
-                              for c in cols])
-
-
 def metrics_long(df: DataFrame, key: str, metrics: Sequence[str], run: str, stage: str) -> DataFrame:
     """A wide metrics table → ``(run_id, stage, class, metric, value)`` (``unpivot``)."""
     cast = df.select(F.col(key).cast("string").alias("class"),
