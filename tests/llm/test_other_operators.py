@@ -291,6 +291,31 @@ def test_chat_tree_shape(spark, conversations):
     assert max(paths.values()) == 1
 
 
+def test_chat_shares_long_prefixes_across_tasks(spark):
+    prefix = [(("user", "assistant")[k % 2], f"shared {k}") for k in range(80)]
+    rows = [(c, k, r, t) for c in range(40) for k, (r, t) in enumerate(
+        [*prefix[:80 - c % 3], ("user", f"own {c % 20}"), ("assistant", f"end {c % 20}")])]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    merged = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several tasks
+    try:
+        out = turn_tree.format_conversations(df, RANKS, max_tokens=10**9).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
+    assert len({r.sequence_id for r in out}) > 1
+    enc, nodes, unmarked, marked = turn_tree.codec(RANKS), {}, Counter(), Counter()
+    for r in sorted((r for r in out if r.kind == "node"), key=lambda r: (r.sequence_id, r.row_no)):
+        path = (*nodes.get((r.sequence_id, r.parent), ()), enc.text(r.ids))
+        nodes[(r.sequence_id, r.node)] = path
+        (marked if r.repeated else unmarked)[path] += 1
+    assert max(unmarked.values()) == 1  # a turn is under the loss mask once in all sequences
+    assert marked and set(marked) <= set(unmarked)
+    turns = defaultdict(list)
+    for c, k, role, text in rows:
+        turns[c].append((role, text))
+    assert len(unmarked) == len({tuple(v[:n]) for v in turns.values() for n in range(1, len(v) + 1)})
+
+
 # --- archives ------------------------------------------------------------------------
 
 

@@ -1,11 +1,13 @@
 """Chat formatting as a prefix tree of turns.
 
-Conversations are range-sorted by the hashes of their first turns, so those that share
-initial turns lie next to each other, and a hot first turn is split among tasks by the
-turns after it and the conversation id.  Each task walks its conversations with a stack:
-turns equal to the stack's are shared, others are emitted once, depth first, with position
-ids that continue their ancestors' and the intervals of ancestor tokens they attend to.
-Everything streams: memory is the stack of at most ``MERGE_DEPTH`` turns and one turn.
+Conversations are numbered in the order of the hashes of all their turns, so those that
+share initial turns, however many, lie next to each other, and each knows how many it shares
+with the one before.  A hot prefix is split among tasks by the turns after it and the
+conversation id.  Each task walks its conversations with a stack: turns equal to the stack's
+are shared, others are emitted once, depth first, with position ids that continue their
+ancestors' and the intervals of ancestor tokens they attend to.  Rows stream: memory is a
+digest for each turn of the current conversation, and one turn.  In between a conversation
+is one row of 8 bytes a turn.
 
 The template marks a turn as ``<|turn|>role<|text|>text<|end|>``.  Control strings inside
 roles and texts get one more backslash after their first character, which reading takes
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -23,12 +26,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from vigil.operators.ranking import ordered_row_ids
+
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: strings that must not appear in a formatted text other than as marks
 CONTROL = (TURN, TEXT, END, "<|startoftext|>", "<|endoftext|>", "<s>", "</s>", "[INST]",
            "[/INST]", "<<SYS>>", "<</SYS>>")
-#: turns up to which conversations are merged; later ones are each conversation's own
-MERGE_DEPTH = 32
+#: turns up to which conversations are merged: all
+MERGE_DEPTH = math.inf
 #: tokens after which a new sequence starts (at the next conversation)
 SEQUENCE_TOKENS = 4096
 LOSS_ROLE = "assistant"
@@ -92,14 +97,18 @@ DDL = ("sequence_id long, row_no long, kind string, conv_id long, node long, par
        "repeated boolean")
 
 
+def _digest(role: str, text: str) -> bytes:
+    return hashlib.sha256(f"{len(role)} {role}{text}".encode()).digest()
+
+
 def _emit(path: str, max_tokens: int, loss_role: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = codec(path)
         sequence = (TaskContext.get().partitionId() << 32) - 1
         used = row = nodes = 0
-        # a node: role, text, number, end of its positions, intervals with its own tokens
+        # a node: digest, number, end of its positions, intervals with its own tokens
         stack: list[tuple] = []
-        ghost: list[tuple] = []  # the stack as it was before a new sequence began
+        known = 0  # turns at the start of a sequence that the one before it has emitted
         top: tuple | None = None
         shared = False
         current: tuple | None = None  # conversation id, as a 1-tuple
@@ -117,49 +126,46 @@ def _emit(path: str, max_tokens: int, loss_role: str):
 
         def leaf() -> None:
             nonlocal row
-            out.append((sequence, row, "leaf", current[0], top[2], None, depth, None, None, None,
+            out.append((sequence, row, "leaf", current[0], top[1], None, depth, None, None, None,
                         None, None, None, None, None))
             row += 1
             del stack[depth:]
 
         for batch in batches:
-            for conv, k, role, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for conv, k, role, text, common in zip(*(c.to_pylist() for c in batch.columns)):
                 if k == 1:
                     if current is not None:
                         leaf()
-                    current, shared, depth = (conv,), True, 0
+                    current, shared, depth, known = (conv,), True, 0, 0
                     if sequence < 0 or sequence & 0xFFFFFFFF == 0xFFFFFFFF or used >= max_tokens:
                         sequence, used, row, nodes = sequence + 1, 0, 0, 0
-                        ghost, stack = stack, []
+                        known, stack = common, []
                 depth += 1
                 at = depth - 1
-                if shared and at < len(stack) and stack[at][:2] == (role, text):
+                turn = _digest(role, text)
+                if shared and at < len(stack) and stack[at][0] == turn:
                     top = stack[at]
                     continue
-                repeated = shared and at < len(ghost) and ghost[at][:2] == (role, text)
-                if not repeated:
-                    shared = False
-                    ghost = []
+                shared = False
                 del stack[at:]
                 parent = top if at else None
                 head = enc.ids(f"{TURN}{escape(role)}{TEXT}")
                 body = enc.ids(escape(text))
                 ids = head + body + enc.ids(END)
-                position = parent[3] if parent else 0
-                attend = parent[4] if parent else []
+                position = parent[2] if parent else 0
+                attend = parent[3] if parent else []
                 own = [*attend]
                 if own and own[-1][1] == used:
                     own[-1] = (own[-1][0], used + len(ids))
                 else:
                     own.append((used, used + len(ids)))
                 loss = role == loss_role
-                out.append((sequence, row, "node", None, nodes, parent[2] if parent else -1,
+                out.append((sequence, row, "node", None, nodes, parent[1] if parent else -1,
                             depth, role, used, ids, range(position, position + len(ids)),
                             [{"start": a, "end": b} for a, b in attend],
-                            len(head) if loss else 0, len(body) if loss else 0, repeated))
-                top = (role, text, nodes, position + len(ids), own)
-                if at < MERGE_DEPTH:
-                    stack.append(top)
+                            len(head) if loss else 0, len(body) if loss else 0, depth <= known))
+                top = (turn, nodes, position + len(ids), own)
+                stack.append(top)
                 used, row, nodes, held = used + len(ids), row + 1, nodes + 1, held + len(ids)
                 if held >= 500_000 or len(out) >= 5_000:
                     yield flush()
@@ -172,6 +178,22 @@ def _emit(path: str, max_tokens: int, loss_role: str):
     return run
 
 
+def _places(rows: DataFrame) -> DataFrame:
+    """``conv, place, common``: the number of every conversation of ``rows`` (conv_id, k,
+    role, text) in the order of its turns' hashes, and how many initial turns it shares with
+    the one before."""
+    turns = F.array_sort(F.collect_list(F.struct("k", F.xxhash64("role", "text").alias("h"))))
+    paths = rows.groupBy(F.col("conv_id").alias("conv")).agg(turns["h"].alias("path"))
+    placed = ordered_row_ids(paths, ["path", "conv"], out="place")
+    before = placed.select((F.col("place") + 1).alias("place"), F.col("path").alias("before"))
+    differs = F.zip_with("path", "before", lambda a, b: a.isNull() | b.isNull() | (a != b))
+    first = F.array_position(differs, True)
+    common = (F.when(F.col("before").isNull(), 0).when(first == 0, F.size("path"))
+              .otherwise(first - 1))
+    return (placed.join(before, "place", "left")
+            .select("conv", "place", common.cast("long").alias("common")))
+
+
 def format_conversations(df: DataFrame, ranks_path: str, *, max_tokens: int = SEQUENCE_TOKENS,
                          loss_role: str = LOSS_ROLE) -> DataFrame:
     """Conversations (``conv_id, turn, role, text``) as sequences of tree nodes.
@@ -182,8 +204,10 @@ def format_conversations(df: DataFrame, ranks_path: str, *, max_tokens: int = SE
     sequence, ``position_ids``, ``attend`` (intervals of ancestors' tokens in the sequence;
     besides, a token attends to its own node's earlier ones), and the body's tokens
     ``loss_start, loss_length`` under the loss mask (length 0 for other roles).  A new
-    sequence starts at the first conversation after ``max_tokens`` and repeats the turns it
-    shares with the one before, marked ``repeated`` (a trainer masks their loss).
+    sequence starts at the first conversation after ``max_tokens``, and at that of a task, and
+    repeats the turns it shares with the conversation before, of whichever task, marked
+    ``repeated`` (a trainer masks their loss).  Conversations are ordered, and compared for
+    ``repeated``, by 64-bit hashes of their turns.
 
     Edge cases: turns are ordered by ``turn`` (null first), then role and text, so ties and
     repeated rows have one order; a null role or text is empty; rows with a null conversation
@@ -194,12 +218,9 @@ def format_conversations(df: DataFrame, ranks_path: str, *, max_tokens: int = SE
                      F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     conv = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = rows.withColumn("k", F.row_number().over(conv))
-    first = F.when(F.col("k") <= MERGE_DEPTH, F.xxhash64("role", "text"))
-    whole = conv.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = rows.withColumn("path", F.collect_list(first).over(whole))
-    order = ["path", "conv_id", "k"]
-    return (rows.repartitionByRange("path", "conv_id").sortWithinPartitions(*order)
-            .select("conv_id", F.col("k").cast("long").alias("k"), "role", "text")
+    placed = rows.join(_places(rows), F.col("conv_id").eqNullSafe(F.col("conv")))
+    return (placed.repartitionByRange("place").sortWithinPartitions("place", "k")
+            .select("conv_id", F.col("k").cast("long").alias("k"), "role", "text", "common")
             .mapInArrow(_emit(ranks_path, max_tokens, loss_role), DDL))
 
 
@@ -223,21 +244,20 @@ def _read(path: str):
         dec = codec(path)
         # digests after each turn of the current path; a child's continue its parent's
         stack: dict[int, tuple] = {}
-        sequence, last = None, None
+        sequence = None
         for batch in batches:
             out = []
             for seq, kind, conv, depth, ids, a, n in zip(*(c.to_pylist() for c in batch.columns)):
                 if seq != sequence:
                     sequence, stack = seq, {}
                 if kind == "leaf":
-                    turns, loss, n_loss, chars = stack[depth] if depth <= MERGE_DEPTH else last
+                    turns, loss, n_loss, chars = stack[depth]
                     out.append((conv, depth, turns.hexdigest(), n_loss, loss.hexdigest(), chars))
                     continue
                 if depth == 1:
                     turns, loss, n_loss, chars = hashlib.sha256(), hashlib.sha256(), 0, 0
                 else:
-                    turns, loss, n_loss, chars = (stack[depth - 1] if depth - 1 <= MERGE_DEPTH
-                                                  else last)
+                    turns, loss, n_loss, chars = stack[depth - 1]
                     turns, loss = turns.copy(), loss.copy()
                 formatted = dec.text(ids)
                 role, text = parse_turn(formatted)
@@ -246,9 +266,7 @@ def _read(path: str):
                     said = unescape(dec.text(ids[a:a + n]))
                     loss.update(said.encode())
                     n_loss += len(said)
-                last = (turns, loss, n_loss, chars + len(formatted))
-                if depth <= MERGE_DEPTH:
-                    stack[depth] = last
+                stack[depth] = (turns, loss, n_loss, chars + len(formatted))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*out), READ_SCHEMA)],
