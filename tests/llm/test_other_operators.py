@@ -144,6 +144,62 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 9: 1, 7: 7, 8: 7, **{100 + i: 100 for i in range(41)}}
 
 
+def test_jaccard_groups_travel_in_bounded_rows(spark):
+    """A signature of 10,000 classes is found by one task and leaves it in bounded rows."""
+    n = 10_000
+    block = b"".join((np.uint32(n).tobytes(), np.arange(n, dtype=np.uint64).tobytes(),
+                      np.full(n, 50, np.uint32).tobytes(), np.zeros(2 * n, np.uint16).tobytes(),
+                      np.arange(2 * n, dtype=np.uint32).tobytes(), np.ones(n, np.uint32).tobytes(),
+                      np.full(n, 7, np.uint32).tobytes(), np.full(n, 3, np.uint8).tobytes()))
+    found = spark.createDataFrame([(0, None, None, None, block)], jaccard_join.BLOCKS_DDL).mapInArrow(
+        jaccard_join._match(75, 16), jaccard_join.FOUND_DDL)
+    rows = found.where(F.col("kind") == jaccard_join.GROUP).select("other", "members").collect()
+    assert max(len(r.members) for r in rows) <= 4096 and len({r.other for r in rows}) == 1
+    assert sorted(m.cls for r in rows for m in r.members) == list(range(n))
+
+
+def test_jaccard_tiles_are_bounded_and_complete(spark):
+    """Every two classes of a group that are of like size meet in exactly one tile, and no
+    tile holds much more than two slabs."""
+    rng, rows = random.Random(6), []
+    for g in range(4):
+        for c in rng.sample(range(600), 400):
+            rows.append((1, g, g + 1, c, 40 + c % 90, 3, 3, 3, c // 2))
+    rows += [(2, 9, 1, c, 60, 3, 3, 3, c) for c in range(700, 708)]
+    members = spark.createDataFrame(rows, "x long, g long, meets long, cls long, size long, own int, "
+                                    "next int, flag int, root long")
+    known = members.select("cls", F.lit(b"").alias("frequent")).distinct()
+    tile = defaultdict(list)
+    for r in jaccard_join.tiles(members, known, 75, 32).collect():
+        tile[r[:5]].append(r)
+    assert max(sum(r.g is None for r in t) for t in tile.values()) <= 32 * 4  # hashing is uneven
+    assert len([k for k in tile if k[0] == 2]) == 1
+    met = Counter((r.a, r.b) for r in jaccard_join.between_components(members, known, 75, 32).collect())
+    by, want = defaultdict(list), set()
+    for r in rows:
+        by[r[1]].append(r)
+    for group in by.values():
+        want |= {(a[3], b[3]) for a in group for b in group
+                 if a[8] != b[8] and a[4] <= b[4] and 100 * a[4] >= 75 * b[4]}
+    assert set(met) == want and max(met.values()) == 1
+    sums = {(r.a, r.b): r.meets for r in jaccard_join.between_components(members, known, 75, 32).collect()}
+    times = Counter()
+    for group in by.values():
+        for a in group:
+            for b in group:
+                if (a[3], b[3]) in want:
+                    times[(a[3], b[3])] += a[2]
+    assert sums == dict(times)
+
+
+@pytest.mark.parametrize("seed", [0, 3])
+def test_jaccard_join_by_small_tiles(spark, seed):
+    rows = near_copies(seed)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard_join.join(df, small_group=2, slab=4).collect())
+    assert got == brute_components(rows)
+
+
 # --- vector search -------------------------------------------------------------------
 
 
