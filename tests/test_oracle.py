@@ -23,6 +23,14 @@ def test_query_matches_oracle(spark, con, name):
     assert res["exact"], res
 
 
+def test_line_queries_keep_every_row(spark):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    n = li.count()
+    ids = all_queries()["line_ids_all"](spark, SF01)
+    assert n == ids.count() == ids.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").distinct().count()
+    assert all_queries()["knn_close_all"](spark, SF01).select("row_key").distinct().count() == n
+
+
 def test_every_query_has_a_registered_callable():
     import __spark_entry__ as entry
     q, o = entry.queries(), entry.oracle_sql()

@@ -185,6 +185,11 @@ SELECT l_orderkey, l_linenumber, min(l_shipdate) AS l_shipdate,
   CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS BIGINT) AS row_id
 FROM lineitem GROUP BY l_orderkey, l_linenumber"""
 
+LINE_IDS_ALL = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
+  CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS BIGINT) AS row_id
+FROM lineitem"""
+
 UNKNOWN_ENCODE = f"""
 WITH s AS (SELECT event_id, event_type,
                   CASE WHEN {H(42, 'event_id')} < {T20} THEN 'test' ELSE 'train' END AS split FROM events),
@@ -372,6 +377,19 @@ r AS (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY d2, nbr_id) AS
 SELECT CAST(row_key AS BIGINT) AS row_key, l_suppkey, CAST(rank AS INTEGER) AS rank,
   CAST(nbr_id AS BIGINT) AS nbr_id, d2 FROM r WHERE rank <= 5"""
 
+KNN_CLOSE_ALL = f"""
+WITH u AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS row_key,
+             l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem),
+q AS (SELECT *, sqrt(l_quantity * l_quantity + l_extendedprice * l_extendedprice
+                  + l_discount * l_discount + l_tax * l_tax) AS nrm FROM u),
+e AS (SELECT row_key, l_suppkey, [l_quantity / nz, l_extendedprice / nz, l_discount / nz, l_tax / nz] AS v
+      FROM (SELECT *, CASE WHEN nrm = 0 THEN 1.0::DOUBLE ELSE nrm END AS nz FROM q)),
+pairs AS (SELECT a.row_key, a.l_suppkey, b.row_key AS nbr_id, {_D2} AS d2
+          FROM e a JOIN e b ON a.l_suppkey = b.l_suppkey AND a.row_key <> b.row_key),
+r AS (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY d2, nbr_id) AS rank FROM pairs)
+SELECT CAST(row_key AS BIGINT) AS row_key, l_suppkey, CAST(rank AS INTEGER) AS rank,
+  CAST(nbr_id AS BIGINT) AS nbr_id, d2 FROM r WHERE rank <= 5"""
+
 SMOTE = f"""
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 sz AS (SELECT label, count(*) AS n FROM e GROUP BY label),
@@ -442,6 +460,14 @@ SELECT f.grp AS class, CAST(coalesce(a.total, 0) AS BIGINT) AS total,
        round({_div('coalesce(a.correct, 0)', 'coalesce(a.total, 0)')}, 6) AS accuracy
 FROM f LEFT JOIN a ON f.grp = a.grp"""
 
+LABEL_SETS_TEST = f"""
+WITH d AS (SELECT value, CAST(dense_rank() OVER (ORDER BY value) - 1 AS BIGINT) AS code
+           FROM (SELECT DISTINCT c_mktsegment AS value FROM customer WHERE c_mktsegment IS NOT NULL))
+SELECT 'all' AS kind, value AS label, code AS value FROM d
+UNION ALL
+SELECT 'present', value, code FROM d
+WHERE value IN (SELECT c_mktsegment FROM customer WHERE {H(42, 'c_custkey')} < {T20})"""
+
 LABEL_SETS = f"""
 WITH s AS ({FLAG_RULE}),
 u AS (SELECT DISTINCT label FROM (SELECT actual AS label FROM s UNION ALL SELECT predicted FROM s)
@@ -568,6 +594,7 @@ ORACLES = {
     "encode_customer_names": ENCODE_CUSTOMER_NAMES,
     "encode_split_orders": ENCODE_SPLIT_ORDERS,
     "line_ids": LINE_IDS,
+    "line_ids_all": LINE_IDS_ALL,
     "unknown_encode": UNKNOWN_ENCODE,
     "one_hot": ONE_HOT,
     "l2_normalize": L2_NORMALIZE,
@@ -585,6 +612,7 @@ ORACLES = {
     "scalar_formats": SCALAR_FORMATS,
     "knn": KNN,
     "knn_close": KNN_CLOSE,
+    "knn_close_all": KNN_CLOSE_ALL,
     "smote": SMOTE,
     "csv_roundtrip": CSV_ROUNDTRIP,
     "csv_headerless": CSV_HEADERLESS,
@@ -592,6 +620,7 @@ ORACLES = {
     "resample_counts": RESAMPLE_COUNTS,
     "grouped_accuracy": GROUPED_ACCURACY,
     "label_sets": LABEL_SETS,
+    "label_sets_test": LABEL_SETS_TEST,
     "stream_confusion": STREAM_CONFUSION,
     "attach_order_predictions": ATTACH_ORDER_PREDICTIONS,
 }

@@ -202,6 +202,16 @@ def line_ids(spark: SparkSession, sf: str) -> DataFrame:
     return ordered_row_ids(li, ["l_orderkey", "l_linenumber"], out="row_id")
 
 
+#: these identify a line item
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def line_ids_all(spark: SparkSession, sf: str) -> DataFrame:
+    """W4 on every line item (``line_ids`` has a row for each order and line number)."""
+    li = table(spark, sf, "lineitem").select(*LINE_KEYS, "l_shipdate")
+    return ordered_row_ids(li, LINE_KEYS, out="row_id")
+
+
 # --- E3, E4, J4, U1: encode with an unknown class --------------------------------
 
 def unknown_encode(spark: SparkSession, sf: str) -> DataFrame:
@@ -344,7 +354,8 @@ def knn(spark: SparkSession, sf: str) -> DataFrame:
 
 def knn_close(spark: SparkSession, sf: str) -> DataFrame:
     """Neighbours of L2-normalised line items within a supplier: distances far below 1e-9.
-    Lines are keyed by order and line number (the few that share a key count as one)."""
+    Lines that share order and line number (24 % of them) count as one, of the least values;
+    ``knn_close_all`` has every line."""
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("row_key")
     li = table(spark, sf, "lineitem").groupBy(key).agg(*[F.min(c).alias(c) for c in ["l_suppkey", *cols]])
@@ -353,6 +364,15 @@ def knn_close(spark: SparkSession, sf: str) -> DataFrame:
     return NB.knn_within_class(n, "row_key", "l_suppkey", "v", k=5)
 
 
+def knn_close_all(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``knn_close``, over every line item, by its row id in key order."""
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = ordered_row_ids(table(spark, sf, "lineitem").select(*LINE_KEYS, *cols), LINE_KEYS, out="row_key")
+    n = E.l2_normalize(li, cols, prefix="n_").select(
+        "row_key", "l_suppkey", F.array(*[F.col(f"n_{c}") for c in cols]).alias("v"))
+    return NB.knn_within_class(n, "row_key", "l_suppkey", "v", k=5)
+
+
 # --- R1, U3: SMOTE ----------------------------------------------------------------
 
 def smote(spark: SparkSession, sf: str) -> DataFrame:
@@ -446,6 +466,17 @@ def label_sets(spark: SparkSession, sf: str) -> DataFrame:
                                        F.col("n_fraction").alias("value"))))
 
 
+def label_sets_test(spark: SparkSession, sf: str) -> DataFrame:
+    """J6 on a keyed split: the segments of all customers and those present in the test part."""
+    cust = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    d = E.fit_dictionary(cust, "c_mktsegment")
+    test = SP.hash_split(cust, ["c_custkey"], 0.2, SEED).where(F.col("split") == "test")
+    present = E.present_classes(d, E.encode(test, "c_mktsegment", d, "code"), "code")
+    row = lambda kind: (F.lit(kind).alias("kind"), F.col("value").alias("label"),
+                        F.col("code").cast("bigint").alias("value"))
+    return d.table.select(*row("all")).unionByName(present.select(*row("present")))
+
+
 # --- streaming: running confusion counts over the events file ---------------------------
 
 def stream_confusion(spark: SparkSession, sf: str) -> DataFrame:
