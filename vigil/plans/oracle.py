@@ -377,6 +377,13 @@ r AS (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY d2, nbr_id) AS
 SELECT CAST(row_key AS BIGINT) AS row_key, l_suppkey, CAST(rank AS INTEGER) AS rank,
   CAST(nbr_id AS BIGINT) AS nbr_id, d2 FROM r WHERE rank <= 5"""
 
+LABEL_SLICES = """
+WITH o AS (SELECT o_orderkey, o_orderpriority AS last, o_orderdate AS last_but_one, o_orderdate AS third,
+             CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS row_id FROM orders)
+SELECT *, 'closed' AS part FROM o WHERE row_id BETWEEN 1000 AND 1999
+UNION ALL
+SELECT *, 'open' FROM o WHERE row_id >= 5000"""
+
 KNN_CLOSE_ALL = f"""
 WITH u AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS row_key,
              l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem),
@@ -609,6 +616,7 @@ ORACLES = {
     "kfold": KFOLD,
     "tail_holdout": TAIL_HOLDOUT,
     "label_flip": LABEL_FLIP,
+    "label_slices": LABEL_SLICES,
     "scalar_formats": SCALAR_FORMATS,
     "knn": KNN,
     "knn_close": KNN_CLOSE,

@@ -334,6 +334,19 @@ def label_flip(spark: SparkSession, sf: str) -> DataFrame:
     return staged.select("event_id", "is_view", "flipped", "staged")
 
 
+def label_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels by position (the last and last but one; the third from the end after
+    a column is appended) of an inclusive slice of rows and of an open one."""
+    o = table(spark, sf, "orders")
+    labels = o.select("o_orderkey", F.col(o.columns[-1]).alias("last"), F.col(o.columns[-2]).alias("last_but_one"))
+    more = o.withColumn("is_open", F.col("o_orderstatus") == "O")
+    third = more.select(F.col("o_orderkey").alias("key"), F.col(more.columns[-3]).alias("third"))
+    ided = ordered_row_ids(labels.join(third, F.col("o_orderkey") == F.col("key")).drop("key"),
+                           "o_orderkey", out="row_id")
+    a = SP.row_range(ided, "row_id", 1000, 1999).withColumn("part", F.lit("closed"))
+    return a.unionByName(SP.row_range(ided, "row_id", 5000).withColumn("part", F.lit("open")))
+
+
 # --- F2-F5: scalar formatting ----------------------------------------------------
 
 def scalar_formats(spark: SparkSession, sf: str) -> DataFrame:
