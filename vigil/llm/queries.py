@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from vigil.llm import (arc_convert, byte_convnet, compression_bands, curriculum, jaccard_join,
-                       packing, prefix_forest, secret_scan, slot_table, turn_tree)
+                       packing, prefix_forest, secret_scan, slot_table, toivonen, turn_tree)
 from vigil.llm.store import keep, shared_folder
 from vigil.sources.tables import table
 
@@ -103,9 +103,15 @@ def op10_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of each language in all documents."""
+    mined = toivonen.mine(table(spark, sf_dir, "documents"))
+    return toivonen.ranked(mined).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 LLM_QUERIES = {q.__name__: q for q in (
     op1_pack, op2_quality, op3_jaccard, op4_language, op5_secrets, op6_nearest, op7_shard,
-    op8_chat, op9_mix, op10_archive)}
+    op8_chat, op9_mix, op10_archive, op11_phrases)}
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 
 
@@ -146,7 +152,34 @@ def _control_sql() -> str:
     return "|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in turn_tree.CONTROL)
 
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 LLM_ORACLES = {
+    "op11_phrases": f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i
+  FROM w, (SELECT unnest(range(1, {toivonen.MOST_WORDS + 1})) AS k)),
+f AS (SELECT lang, CAST(k AS INTEGER) AS k, array_to_string(ws[i:i + k - 1], ' ') AS phrase,
+    count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= {toivonen.LEAST}),
+c AS (SELECT lang, phrase, a, ws, unnest(range(1, len(ws))) AS j
+  FROM (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1) x
+  WHERE NOT EXISTS (SELECT 1 FROM f AS o WHERE o.lang = x.lang AND o.k > x.k
+    AND 100 * o.a >= 100 * x.a AND contains(' ' || o.phrase || ' ', ' ' || x.phrase || ' '))),
+s AS (SELECT c.lang, c.phrase, c.a, c.j, l.a AS l, r.a AS r, n.n,
+    (1000 * CAST(c.a AS HUGEINT) * CAST(n.n AS HUGEINT)) // (CAST(l.a AS HUGEINT) * CAST(r.a AS HUGEINT))
+      AS score
+  FROM c JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:j], ' ')
+  JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[j + 1:], ' ')
+  JOIN n ON n.lang = c.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS cut FROM s),
+x AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM b WHERE cut = 1)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+  CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM x WHERE rank <= {toivonen.TOP}""",
     "op5_secrets": _secrets_sql(),
     "op7_shard": f"""
 WITH t AS (SELECT string_split('{_slots_sql()}', ',') AS slots),
