@@ -4,9 +4,14 @@ A sample of the documents is mined level by level with a lowered threshold; what
 the set of proposed phrases.  A full pass then counts, exactly, all words, the proposed
 phrases and their negative border: phrases that were not proposed, but whose first and last
 ``k - 1`` words were.  If a phrase of the border is frequent, the proposal was too small: it
-grows by the phrases missed, and a further pass counts what that adds to the border, until
-no frequent phrase lies outside.  As a phrase is never more frequent than a part of it,
-nothing is missed then.
+grows by the phrases missed, and a further pass counts what that adds to the border.  As a
+phrase is never more frequent than a part of it, nothing is missed once a pass misses nothing.
+
+While many phrases are missed, a pass counts the next border only.  Once few are, the last
+pass takes all that this border admits for frequent and so admits longer phrases over them
+at once: every frequent phrase has parts that are known or admitted, and by induction over
+its length is admitted itself, which closes the search.  The last pass also spells the
+phrases; up to there they are known by keys only.
 
 The border is not written out (it has a pair for any two frequent words); a pass admits a
 window of the text if both parts of it pass a bit filter over the proposed phrases.  The
@@ -30,6 +35,8 @@ from vigil.llm.words import (CHUNK_BYTES, STOP, BitFilter, WordHashes, bit_filte
 LEAST, MOST_WORDS, TOP = 100, 5, 2000
 #: share of the documents in the sample, and of the scaled threshold that is asked there
 SAMPLE, LOWERED = 1 / 8, 0.3
+#: share of phrases missed up to which the last pass may follow
+FEW = 1 / 16
 #: (key, count) pairs held before equal ones are merged, and merged ones before they go out
 HELD, MERGED = 2_000_000, 1_000_000
 UNKNOWN = "und"
@@ -87,10 +94,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]):
 
 
 def _windows(h: np.ndarray, valid: np.ndarray, salt: np.ndarray, most: int, new: BitFilter,
-             old: BitFilter | None):
+             old: BitFilter | None, deep: bool = False):
     """(length, starts, keys, admitted before) of the windows that the filter ``new`` admits:
     all words, and longer windows whose first and last part it has.  ``admitted before`` says
-    which of them the filter ``old`` admits."""
+    which of them the filter ``old`` admits.  ``deep``: a part not admitted before will do."""
     roll, at = h.copy(), np.flatnonzero(valid)
     before = np.full(len(at), old is not None)
     for k in range(1, most + 1):
@@ -103,111 +110,141 @@ def _windows(h: np.ndarray, valid: np.ndarray, salt: np.ndarray, most: int, new:
         if k == most:
             return
         mark, was = np.zeros(len(h) + 1, bool), np.zeros(len(h) + 1, bool)
-        mark[at] = new.has(key)
+        mark[at] = new.has(key) | ~before if deep else new.has(key)
         if old is not None:
             was[at[before]] = old.has(key[before])
 
 
+class _Tally:
+    """Counts of keys, of which only some are held."""
+
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray) -> None:
+        keys, times = np.unique(keys, return_counts=True)
+        self.held.append((keys, times))
+        self.size += len(keys)
+
+    def take(self, last: bool = False) -> tuple[np.ndarray, np.ndarray] | None:
+        """What has to go out now, merged."""
+        if not self.held or not last and self.size < HELD:
+            return None
+        keys, back = np.unique(np.concatenate([x[0] for x in self.held]), return_inverse=True)
+        times = np.bincount(back, weights=np.concatenate([x[1] for x in self.held]),
+                            minlength=len(keys)).astype(np.int64)
+        out = last or len(keys) >= MERGED
+        self.held = [] if out else [(keys, times)]
+        self.size = 0 if out else len(keys)
+        return (keys, times) if out else None
+
+
 def _count(most: int, new, old):
     """Texts -> keys of windows that ``new`` admits and ``old`` does not, with partial counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        n = 0
+        tally = _Tally()
 
-        def merge() -> None:
-            keys, back = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
-            times = np.bincount(back, weights=np.concatenate([x[1] for x in held]),
-                                minlength=len(keys)).astype(np.int64)
-            held[:] = [(keys, times)]
-
-        def out() -> pa.RecordBatch:
-            (keys, times), = held
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(times)],
-                                              names=["h", "n"])
+        def out(last: bool = False) -> Iterator[pa.RecordBatch]:
+            if (done := tally.take(last)) is not None:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(done[0].view(np.int64)), pa.array(done[1])], names=["h", "n"])
 
         for _, h, valid, salt, _ in _chunks(batches):
             for _, _, key, before in _windows(h, valid, salt, most, new.value,
                                               old.value if old else None):
-                key, times = np.unique(key[~before], return_counts=True)
-                held.append((key, times))
-                n += len(key)
-            if n >= HELD:
-                merge()
-                n = len(held[0][0])
-                if n >= MERGED:
-                    yield out()
-                    n = 0
-        if held:
-            merge()
-            yield out()
+                tally.add(key[~before])
+            yield from out()
+        yield from out(last=True)
     return run
 
 
-def expand(docs: DataFrame, start: DataFrame | None, least: int, most: int, bits: int) -> DataFrame:
-    """``h, n`` of every phrase with ``n >= least`` in ``docs`` (text, lang): passes that count
-    what the phrases known so far admit, from ``start`` (none: from words on), until a pass
-    brings no frequent phrase that was not known."""
-    spark = docs.sparkSession
-    known, old, found = start, None, None
-    for _ in range(most):  # what is first admitted in pass r has r words or more
-        new = spark.sparkContext.broadcast(
-            bit_filter(known, "h", bits) if known is not None else BitFilter(bits))
-        counted = (docs.mapInArrow(_count(most, new, old), "h long, n long")
-                   .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
-        if start is not None:
-            counted = counted.join(start.withColumn("was", F.lit(True)), "h", "left")
-        else:
-            counted = counted.withColumn("was", F.lit(None).cast("boolean"))
-        counted = keep(counted.select("h", "n", "was"), "counts")
-        found = counted.select("h", "n") if found is None else found.unionByName(counted.select("h", "n"))
-        missed = counted.where("was IS NULL").select("h")
-        if old is not None:
-            old.unpersist()
-        old = new
-        if missed.isEmpty():
-            break
-        known = missed if known is None else known.unionByName(missed)
-    new.unpersist()
-    return found
+def _count_last(most: int, new, old):
+    """Texts -> the last pass: (null, key, null, partial count) of windows not admitted before,
+    (language, key, phrase, null) once a task for those and the ones of two words or more that
+    are known, and (language, null, null, number of words)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally, seen, total = _Tally(), set(), {}
 
+        def rows(lang, h, phrase, n, size: int) -> pa.RecordBatch:
+            kinds = {"lang": pa.string(), "h": pa.int64(), "phrase": pa.string(), "n": pa.int64()}
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(size, kind) if x is None else pa.array(x, kind)
+                 for x, kind in zip((lang, h, phrase, n), kinds.values())], names=list(kinds))
+
+        def counts(last: bool = False) -> Iterator[pa.RecordBatch]:
+            if (done := tally.take(last)) is not None:
+                yield rows(None, done[0].view(np.int64), None, done[1], len(done[0]))
 
-def _spell(most: int, frequent):
-    """Texts -> (language, null, null, number of words), and each task's frequent phrases of two
-    words or more: (language, key, phrase, null)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        total: dict[str, int] = {}
         for tokens, h, valid, salt, count in _chunks(batches):
             for lang, n in count.items():
                 total[lang] = total.get(lang, 0) + n
-            rows = []
-            lang_of = {_salt(x): x for x in count}
-            for k, at, key, _ in _windows(h, valid, salt, most, frequent.value, None):
-                if k == 1:
-                    continue
-                hit = frequent.value.has(key)
-                for i, x in zip(at[hit].tolist(), key[hit].tolist()):
-                    if x not in seen:
-                        seen.add(x)
-                        rows.append((lang_of[int(salt[i])], x - (1 << 64) if x >> 63 else x,
-                                     b" ".join(tokens[i:i + k]).decode()))
+            lang_of, spelt = {_salt(x): x for x in count}, []
+            for k, at, key, before in _windows(h, valid, salt, most, new.value, old.value, deep=True):
+                tally.add(key[~before])
+                if k > 1:
+                    wanted = np.flatnonzero(new.value.has(key) | ~before)
+                    once, first = np.unique(key[wanted], return_index=True)
+                    for x, i in zip(once.tolist(), at[wanted[first]].tolist()):
+                        if x not in seen:
+                            seen.add(x)
+                            spelt.append((lang_of[int(salt[i])], x - (1 << 64) if x >> 63 else x,
+                                          b" ".join(tokens[i:i + k]).decode()))
+            if spelt:
+                yield rows(*zip(*spelt), None, len(spelt))
             if len(seen) > HELD:
                 seen.clear()
-            if rows:
-                lang, key, phrase = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang, pa.string()), pa.array(key, pa.int64()),
-                     pa.array(phrase, pa.string()), pa.nulls(len(rows), pa.int64())],
-                    names=["lang", "h", "phrase", "words"])
+            yield from counts()
+        yield from counts(last=True)
         if total:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.string()), pa.nulls(len(total), pa.int64()),
-                 pa.nulls(len(total), pa.string()), pa.array(list(total.values()), pa.int64())],
-                names=["lang", "h", "phrase", "words"])
+            yield rows(list(total), None, None, list(total.values()), len(total))
     return run
 
 
+def propose(docs: DataFrame, least: int, most: int, bits: int) -> DataFrame:
+    """``h`` of every phrase that occurs ``least`` times in ``docs`` (text, lang), level by level."""
+    sc = docs.sparkSession.sparkContext
+    known, old = None, None
+    for _ in range(most):
+        new = sc.broadcast(bit_filter(known, "h", bits) if known is not None else BitFilter(bits))
+        found = keep(_frequent(docs.mapInArrow(_count(most, new, old), "h long, n long"), least)
+                     .select("h"), "proposed")
+        if found.isEmpty():
+            break
+        known = found if known is None else known.unionByName(found)
+        old = new
+    return found if known is None else known
+
+
+def _frequent(partial: DataFrame, least: int) -> DataFrame:
+    return partial.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def count(docs: DataFrame, proposed: DataFrame, least: int, most: int, bits: int,
+          few: float = FEW) -> tuple[DataFrame, DataFrame]:
+    """(``h, n`` of every phrase with ``n >= least`` in ``docs`` (text, lang); the last pass's
+    rows, which spell them), in two passes and as many more as it takes until the phrases
+    missed are at most a share ``few`` of those known."""
+    sc = docs.sparkSession.sparkContext
+    known, old, found = proposed, None, None
+    while True:
+        new = sc.broadcast(bit_filter(known, "h", bits))
+        counted = _frequent(docs.mapInArrow(_count(most, new, old), "h long, n long"), least)
+        counted = keep(counted.join(known.withColumn("was", F.lit(True)), "h", "left"), "counts")
+        found = counted.select("h", "n") if found is None else found.unionByName(counted.select("h", "n"))
+        missed = counted.where("was IS NULL").select("h")
+        known, old = known.unionByName(missed), new
+        if missed.count() <= few * found.count():
+            break
+    new = sc.broadcast(bit_filter(known, "h", bits))
+    last = keep(docs.mapInArrow(_count_last(most, new, old), SPELT), "last")
+    more = _frequent(last.where("n IS NOT NULL AND h IS NOT NULL"), least)
+    return keep(found.unionByName(more), "frequent"), last
+
+
+SPELT = "lang string, h long, phrase string, n long"
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phrases -> a row for each cut after the first k words, with the keys of both parts."""
     for batch in batches:
@@ -246,7 +283,6 @@ def mine(df: DataFrame, *, least: int = LEAST, most: int = MOST_WORDS, sample: f
     language; repeated rows and ids count as often as they stand there; an empty table, or
     one without frequent phrases, gives no rows; other columns are not read.
     """
-    spark = df.sparkSession
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(UNKNOWN)).alias("lang")
     text = F.col(f"`{text_col}`").cast("string").alias("text")
     docs = df.select(text, lang)
@@ -254,15 +290,10 @@ def mine(df: DataFrame, *, least: int = LEAST, most: int = MOST_WORDS, sample: f
     size = df.select(F.sum(F.octet_length(text))).first()[0] or 0
     bits = filter_bits(size / 64)  # bounded; a phrase for every 64 bytes is plenty
     some = _sampled(df, [text, *id_cols], sample).select(text, lang)
-    proposed = expand(some, None, max(2, int(least * sample * lowered)), most, bits)
-    frequent = keep(expand(docs, proposed.select("h"), least, most, bits), "frequent")
-
-    spelt = spark.sparkContext.broadcast(bit_filter(frequent, "h", bits))
-    found = keep(docs.mapInArrow(_spell(most, spelt), "lang string, h long, phrase string, words long"),
-                 "phrases")
-    spelt.unpersist()
-    total = found.where("h IS NULL").groupBy("lang").agg(F.sum("words").alias("n"))
-    named = (found.where("h IS NOT NULL").select("lang", "h", "phrase").dropDuplicates(["h"])
+    proposed = propose(some, max(2, int(least * sample * lowered)), most, bits)
+    frequent, last = count(docs, proposed, least, most, bits)
+    total = last.where("h IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    named = (last.where("phrase IS NOT NULL").select("lang", "h", "phrase").dropDuplicates(["h"])
              .join(frequent.withColumnRenamed("n", "a"), "h"))
     cuts = keep(named.select("lang", "phrase", "h", "a").mapInArrow(
         _cut, "lang string, phrase string, h long, a long, k long, size long, first long, rest long"),
