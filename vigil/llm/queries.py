@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from vigil.llm import (arc_convert, byte_convnet, compression_bands, curriculum, jaccard_join,
-                       packing, prefix_forest, secret_scan, slot_table, toivonen, turn_tree)
+                       packing, prefix_forest, secret_scan, slot_table,
+                       suffix_automaton, term_pipeline, toivonen, turn_tree)
 from vigil.llm.store import keep, shared_folder
 from vigil.sources.tables import table
 
@@ -109,9 +110,24 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toivonen.ranked(mined).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item, and the items hit."""
+    found = suffix_automaton.decontaminate(table(spark, sf_dir, "documents"),
+                                           table(spark, sf_dir, "benchmark"), columns=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        suffix_automaton.item_digest(F.col("item_ids")).alias("items_sha256"),
+                        "contaminated")
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 documents that match each benchmark item best."""
+    return term_pipeline.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES = {q.__name__: q for q in (
     op1_pack, op2_quality, op3_jaccard, op4_language, op5_secrets, op6_nearest, op7_shard,
-    op8_chat, op9_mix, op10_archive, op11_phrases)}
+    op8_chat, op9_mix, op10_archive, op11_phrases,
+    op12_decontaminate, op13_search)}
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 
 
@@ -155,6 +171,44 @@ def _control_sql() -> str:
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 LLM_ORACLES = {
+    "op13_search": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWER},
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (SELECT DISTINCT item_id, text FROM benchmark),
+q AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all({LOWER},
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i),
+g AS (SELECT count(*) FILTER (len(ws) > 0) AS docs, sum(len(ws)) AS words FROM d),
+t AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ws) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM f, g WHERE term IN (SELECT term FROM q)),
+s AS (SELECT q.item_id, q.text, t.rid, CAST(sum(w * ((1000000000 * tf) //
+    (1000 * tf + 8 * (10 + CAST((90 * len(d.ws) * g.docs) // g.words AS BIGINT))))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN t USING (term) JOIN d USING (rid), g GROUP BY ALL),
+r AS (SELECT s.item_id, row_number() OVER (PARTITION BY s.item_id, s.text
+    ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+  FROM s JOIN d USING (rid) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= {term_pipeline.TOP}""",
+    "op12_decontaminate": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all({LOWER},
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents),
+i AS (SELECT DISTINCT item_id, regexp_extract_all({LOWER},
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+l AS (SELECT item_id, ws, least(len(ws), {suffix_automaton.WINDOW}) AS m FROM i WHERE len(ws) > 0),
+w AS (SELECT DISTINCT item_id, m, array_to_string(ws[at:at + m - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(ws) - m + 2)) AS at FROM l)),
+x AS (SELECT rid, m, at, array_to_string(ws[at:at + m - 1], ' ') AS s
+  FROM (SELECT rid, ws, m, unnest(range(1, len(ws) - m + 2)) AS at
+    FROM d, (SELECT DISTINCT m FROM w))),
+h AS (SELECT DISTINCT rid, item_id, at, x.m FROM x JOIN w ON x.s = w.s AND x.m = w.m),
+c AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(at, at + m)) AS p FROM h)
+  GROUP BY rid),
+n AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN n USING (rid)""",
     "op11_phrases": f"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang,
     unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
