@@ -195,13 +195,13 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_a
 i AS (SELECT DISTINCT item_id, regexp_extract_all({LOWER},
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
 l AS (SELECT item_id, ws, least(len(ws), {suffix_automaton.WINDOW}) AS m FROM i WHERE len(ws) > 0),
-w AS (SELECT DISTINCT item_id, m, array_to_string(ws[at:at + m - 1], ' ') AS s
-  FROM (SELECT *, unnest(range(1, len(ws) - m + 2)) AS at FROM l)),
-x AS (SELECT rid, m, at, array_to_string(ws[at:at + m - 1], ' ') AS s
-  FROM (SELECT rid, ws, m, unnest(range(1, len(ws) - m + 2)) AS at
+w AS (SELECT DISTINCT item_id, m, array_to_string(ws[p:p + m - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(ws) - m + 2)) AS p FROM l)),
+x AS (SELECT rid, m, p, array_to_string(ws[p:p + m - 1], ' ') AS s
+  FROM (SELECT rid, ws, m, unnest(range(1, len(ws) - m + 2)) AS p
     FROM d, (SELECT DISTINCT m FROM w))),
-h AS (SELECT DISTINCT rid, item_id, at, x.m FROM x JOIN w ON x.s = w.s AND x.m = w.m),
-c AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(at, at + m)) AS p FROM h)
+h AS (SELECT DISTINCT rid, item_id, p, x.m FROM x JOIN w ON x.s = w.s AND x.m = w.m),
+c AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + m)) AS q FROM h)
   GROUP BY rid),
 n AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY rid)
