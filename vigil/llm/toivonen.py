@@ -1,7 +1,7 @@
 """Phrase collocations by sampling with a negative border (Toivonen).
 
-A sample of the documents is mined level by level with a lowered threshold; what it finds is
-the set of proposed phrases.  A full pass then counts, exactly, all words, the proposed
+A sample of the texts' pieces (so that repetition inside a document does not distort it) is
+mined level by level with a lowered threshold; what it finds is the set of proposed phrases.  A full pass then counts, exactly, all words, the proposed
 phrases and their negative border: phrases that were not proposed, but whose first and last
 ``k - 1`` words were.  If a phrase of the border is frequent, the proposal was too small: it
 grows by the phrases missed, and a further pass counts what that adds to the border.  As a
@@ -26,19 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from vigil.llm.store import keep
 from vigil.llm.words import (CHUNK_BYTES, STOP, BitFilter, WordHashes, bit_filter, filter_bits,
                              mix, splitter, texts)
 
 LEAST, MOST_WORDS, TOP = 100, 5, 2000
-#: share of the documents in the sample, and of the scaled threshold that is asked there
-SAMPLE, LOWERED = 1 / 8, 0.3
+#: share of the pieces in the sample, and of the scaled threshold that is asked there
+SAMPLE, LOWERED = 1 / 8, 0.4
 #: share of phrases missed up to which the last pass may follow
 FEW = 1 / 16
 #: (key, count) pairs held before equal ones are merged, and merged ones before they go out
-HELD, MERGED = 2_000_000, 1_000_000
+HELD, MERGED = 1_000_000, 500_000
 UNKNOWN = "und"
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -262,9 +262,22 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["lang", "phrase", "h", "a", "k", "size", "first", "rest"])
 
 
-def _sampled(df: DataFrame, columns: list[Column], share: float) -> DataFrame:
-    part = F.pmod(F.xxhash64(*columns, F.lit(11)), F.lit(1 << 30))
-    return df.where(part < int(share * (1 << 30)))
+def _pieces(share: float):
+    """Texts -> a share of the pieces of each, chosen by a hash of the row's seed and the
+    piece's place, one to a line."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang, out = [], []
+            for text, own, seed in zip(texts(batch.column(0)), *(c.to_pylist() for c in batch.columns[1:])):
+                cut = words.cut(text)
+                drawn = mix(np.arange(len(cut), dtype=np.uint64) * _STEP + np.uint64(seed & (1 << 63) - 1))
+                at = np.flatnonzero(drawn < np.uint64(int(share * (1 << 63)) * 2))
+                if len(at):
+                    lang.append(own)
+                    out.append(b"\n".join([cut[i] for i in at.tolist()]).decode())
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(lang, pa.string())],
+                                             names=["text", "lang"])
+    return run
 
 
 def mine(df: DataFrame, *, least: int = LEAST, most: int = MOST_WORDS, sample: float = SAMPLE,
@@ -276,7 +289,7 @@ def mine(df: DataFrame, *, least: int = LEAST, most: int = MOST_WORDS, sample: f
     ``k`` words), ``n`` all words; ``score`` is floor(1000 a n / (l r)).
 
     A-Z are lower-cased; pieces end at ``. , ; : ! ?`` and line breaks, words at blanks and
-    tabs.  ``sample`` is the share of documents that are mined first, with ``lowered`` of the
+    tabs.  ``sample`` is the share of pieces that are mined first, with ``lowered`` of the
     threshold that share implies; both steer costs, not results.
 
     Edge cases: a null text is empty; a null language is ``und``, also where that is a
@@ -286,10 +299,10 @@ def mine(df: DataFrame, *, least: int = LEAST, most: int = MOST_WORDS, sample: f
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(UNKNOWN)).alias("lang")
     text = F.col(f"`{text_col}`").cast("string").alias("text")
     docs = df.select(text, lang)
-    id_cols = [F.col(f"`{id_col}`")] if id_col else []
+    seed = F.xxhash64(F.col(f"`{id_col}`") if id_col else text, F.lit(11)).alias("seed")
     size = df.select(F.sum(F.octet_length(text))).first()[0] or 0
     bits = filter_bits(size / 64)  # bounded; a phrase for every 64 bytes is plenty
-    some = _sampled(df, [text, *id_cols], sample).select(text, lang)
+    some = keep(df.select(text, lang, seed).mapInArrow(_pieces(sample), "text string, lang string"), "sample")
     proposed = propose(some, max(2, int(least * sample * lowered)), most, bits)
     frequent, last = count(docs, proposed, least, most, bits)
     total = last.where("h IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))

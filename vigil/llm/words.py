@@ -65,6 +65,7 @@ def splitter(joined: bytes, stops: bytes = b""):
             yield text[at:end].replace(STOP, b" " + STOP + b" ").split()
             at = end
     words.pieces = pieces
+    words.cut = lambda text: text.translate(table).split(STOP)  # at stops only
     return words
 
 
