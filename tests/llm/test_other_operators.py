@@ -151,45 +151,64 @@ def test_jaccard_groups_travel_in_bounded_rows(spark):
                       np.full(n, 50, np.uint32).tobytes(), np.zeros(2 * n, np.uint16).tobytes(),
                       np.arange(2 * n, dtype=np.uint32).tobytes(), np.ones(n, np.uint32).tobytes(),
                       np.full(n, 7, np.uint32).tobytes(), np.full(n, 3, np.uint8).tobytes()))
-    found = spark.createDataFrame([(0, None, None, None, block)], jaccard_join.BLOCKS_DDL).mapInArrow(
+    found = spark.createDataFrame([(0, None, None, None, None, block)], jaccard_join.BLOCKS_DDL).mapInArrow(
         jaccard_join._match(75, 16), jaccard_join.FOUND_DDL)
     rows = found.where(F.col("kind") == jaccard_join.GROUP).select("other", "members").collect()
     assert max(len(r.members) for r in rows) <= 4096 and len({r.other for r in rows}) == 1
     assert sorted(m.cls for r in rows for m in r.members) == list(range(n))
 
 
-def test_jaccard_tiles_are_bounded_and_complete(spark):
-    """Every two classes of a group that are of like size meet in exactly one tile, and no
-    tile holds much more than two slabs."""
+def random_sets(rng, n, universe, base):
+    """Variants of a few bases, so that some are similar, as sorted hashes."""
+    kinds = [[rng.randrange(universe) for _ in range(base)] for _ in range(4)]
+    out = []
+    for _ in range(n):
+        own = set(rng.choice(kinds)[:rng.randrange(base // 2, base + 1)])
+        out.append(np.array(sorted(own | {rng.randrange(universe) for _ in range(rng.randrange(3))}), np.uint64))
+    return out
+
+
+def similar(a, b, percent=75):
+    both = len(np.intersect1d(a, b))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+@pytest.mark.parametrize("few, table", [(2, 40), (8, 8_000_000), (3, 700)])
+def test_intersections_equal_brute_force(monkeypatch, few, table):
+    monkeypatch.setattr(jaccard_join, "FEW_SETS", few)
+    monkeypatch.setattr(jaccard_join, "TABLE", table)
+    own = random_sets(random.Random(few), 40, 60, 25) + [np.empty(0, np.uint64)]
+    left, right = np.arange(0, 41, 2), np.arange(1, 41, 2)
+    for p, q in ((left, right), (np.arange(41), np.arange(41))):
+        got = jaccard_join.intersections(own, p, q)
+        for i, a in enumerate(p):
+            for j, b in enumerate(q):
+                assert a == b or got[i, j] == len(np.intersect1d(own[a], own[b]))
+
+
+def test_jaccard_tiles_are_bounded_and_join_all_components(spark):
+    """Any two classes of like size meet in a tile, none holds much more than two slabs, and
+    what tiles return joins the components that links join, in fewer rows than components."""
     rng, rows = random.Random(6), []
-    for g in range(4):
-        for c in rng.sample(range(600), 400):
-            rows.append((1, g, g + 1, c, 40 + c % 90, 3, 3, 3, c // 2))
-    rows += [(2, 9, 1, c, 60, 3, 3, 3, c) for c in range(700, 708)]
-    members = spark.createDataFrame(rows, "x long, g long, meets long, cls long, size long, own int, "
-                                    "next int, flag int, root long")
-    known = members.select("cls", F.lit(b"").alias("frequent")).distinct()
+    sets = random_sets(rng, 300, 400, 90)
+    for c, own in enumerate(sets):
+        rows.append((1, c, len(own), c // 2, own.tobytes()))
+    rows += [(2, 700 + c, len(sets[c]), 700 + c, sets[c].tobytes()) for c in range(8)]
+    classes = spark.createDataFrame(rows, "x long, cls long, size long, root long, own binary")
     tile = defaultdict(list)
-    for r in jaccard_join.tiles(members, known, 75, 32).collect():
+    for r in jaccard_join.tiles(classes, 75, 32).collect():
         tile[r[:5]].append(r)
-    assert max(sum(r.g is None for r in t) for t in tile.values()) <= 32 * 4  # hashing is uneven
+    assert max(map(len, tile.values())) <= 32 * 4  # hashing is uneven
     assert len([k for k in tile if k[0] == 2]) == 1
-    met = Counter((r.a, r.b) for r in jaccard_join.between_components(members, known, 75, 32).collect())
-    by, want = defaultdict(list), set()
-    for r in rows:
-        by[r[1]].append(r)
-    for group in by.values():
-        want |= {(a[3], b[3]) for a in group for b in group
-                 if a[8] != b[8] and a[4] <= b[4] and 100 * a[4] >= 75 * b[4]}
-    assert set(met) == want and max(met.values()) == 1
-    sums = {(r.a, r.b): r.meets for r in jaccard_join.between_components(members, known, 75, 32).collect()}
-    times = Counter()
-    for group in by.values():
-        for a in group:
-            for b in group:
-                if (a[3], b[3]) in want:
-                    times[(a[3], b[3])] += a[2]
-    assert sums == dict(times)
+    edges = [(r.a, r.b) for r in jaccard_join.between_components(classes, 75, 32).collect()]
+    want = [(a[3], b[3]) for a in rows for b in rows if a[0] == b[0] and a[3] < b[3]
+            and similar(np.frombuffer(a[4], np.uint64), np.frombuffer(b[4], np.uint64))]
+    whole = jaccard_join.spanning(want)
+    assert len(edges) <= len(whole) * len(tile)
+    assert len(jaccard_join.spanning(edges)) == len(whole) == len(jaccard_join.spanning(edges + want))
+    assert len(want) > 2 * len(whole)  # there was something to save
+    for t in tile.values():
+        assert len(jaccard_join.joined_roots([(r.side, r.root, r.own) for r in t], 75)) < len({r.root for r in t})
 
 
 @pytest.mark.parametrize("seed", [0, 3])
