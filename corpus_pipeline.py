@@ -20,23 +20,31 @@ LEAST_SCORE = 0.3
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that have a language: not ``und``, nor torn between several.  The
-    given ``lang`` stays; where it is null, the predicted one is filled in."""
-    scored = byte_convnet.predict(docs, byte_convnet.fit(docs))
+    given ``lang`` stays; where it is null, the predicted one is filled in.  Without labelled
+    rows there is no model to judge by, and all documents stay."""
+    model = byte_convnet.fit(docs)
+    if model is None:
+        return docs
+    scored = byte_convnet.predict(docs, model)
     return (scored.where((F.col("lang_pred") != byte_convnet.UNKNOWN)
                          & (F.col("score") >= LEAST_SCORE))
             .withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies, that with the smallest id; of equal
-    rows with one id, one row.  Documents without an id are all kept."""
-    groups = jaccard_join.join(docs)
-    stays = (groups.where(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component_id")))
-             .select(F.col("doc_id").alias("__id")).distinct())
-    kept = (docs.join(stays, F.col("doc_id") == F.col("__id"), "left_semi")
-            .withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"])
-            .drop("__text"))
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    """Keeps one row of each group of near copies: that with the smallest id (null last), then
+    the smallest hash of its text.  Rows without words are no copies of anything and stay."""
+    docs = docs.withColumn("__text", F.xxhash64("text"))
+    groups = jaccard_join.join(docs, tag=F.col("__text"))
+    first = (groups.where("root IS NOT NULL").groupBy("root")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("r"))
+             .select(F.col("r.doc_id").alias("__id"), F.col("r.tag").alias("__tag"), F.lit(True).alias("__one")))
+    bare = (groups.where("root IS NULL").select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"))
+            .distinct().withColumn("__one", F.lit(False)))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__tag"))
+    kept = docs.join(first.unionByName(bare), same)
+    once = kept.where("__one").dropDuplicates(["doc_id", "__text"])
+    return once.unionByName(kept.where("NOT __one")).select(*[c for c in docs.columns if c != "__text"])
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
