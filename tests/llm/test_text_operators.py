@@ -206,6 +206,47 @@ def test_language_edges(spark, odd_docs):
     assert byte_convnet.predict(odd_docs.limit(0), model).count() == 0
 
 
+def test_language_letters_and_languages(spark):
+    """Superscripts, fractions, circled and Roman numerals are no letters; every labelled
+    language is learnt."""
+    docs = spark.createDataFrame(
+        [(i, t, None) for i, t in enumerate(["½ ² ① Ⅷ 12", "_9", "x²", "ß", "中"])]
+        + [(100 + 70 * j + i, f"{chr(97 + i % 26) * 3}{chr(97 + i // 26)} " * 60, f"l{i:02}")
+           for i in range(70) for j in range(3)], "doc_id long, text string, lang string")
+    model = byte_convnet.fit(docs)
+    learnt = {r.lang for r in docs.where(~byte_convnet.held_out(F.col("doc_id"))).collect()} - {None}
+    assert set(model.langs) == learnt and len(learnt) > 64
+    got = {r.doc_id: r.lang_pred for r in byte_convnet.predict(docs.where("lang IS NULL"), model).collect()}
+    assert [got[i] == "und" for i in range(5)] == [True, True, False, False, False]
+
+
+def test_convolution_equals_positions_one_by_one():
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 256, (5, byte_convnet.WINDOW)).astype(np.uint8)
+    model = byte_convnet.train(x, np.array([0, 1, 2, 0, 1]), ["a", "b", "c"])
+    for i, row in enumerate(x):
+        pooled = []
+        for k, width in enumerate(byte_convnet.WIDTHS):
+            for f in range(byte_convnet.FILTERS):
+                most = max(sum(model.taps[k][t][row[p + t], f] for t in range(width))
+                           for p in range(len(row) - width + 1))
+                pooled.append(max(0.0, most + model.bias[k][f]))
+        z = np.array(pooled) @ model.dense + model.dense_bias
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert np.allclose(byte_convnet.probabilities(model, x)[i], p, atol=1e-4)
+
+
+def test_private_key_goes_as_a_whole(spark):
+    key = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n" + "\n".join(
+        ["aB3+/" * 12] * 20) + "\n-----END RSA PRIVATE KEY-----"
+    texts = [f"see {key} there, {key}", "-----BEGIN PRIVATE KEY----- (gone)", key[:200]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = secret_scan.scan(df).select("doc_id", secret_scan.redact(F.col("text"), F.col("spans")).alias("out"))
+    out = {r.doc_id: r.out for r in rows.collect()}
+    assert out[0] == "see [private_key] there, [private_key]"
+    assert out[1] == "[private_key] (gone)" and out[2].startswith("[private_key]\n")
+
+
 def test_language_learns_from_no_held_out_document(spark):
     """Labels of held-out documents don't matter."""
     docs = spark.read.parquet(f"{SF001}/documents.parquet")

@@ -107,39 +107,52 @@ def _stream(content: bytes) -> io.BufferedReader:
     return gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw
 
 
-def parse_arc(stream) -> Iterator[tuple[str, int, int, dict, bytes]]:
-    """Archive name, offset, version, header fields and body of each record.
+def parse_arc(stream) -> Iterator[tuple[str, int, int, dict | None, bytes, str | None]]:
+    """Archive name, offset, version, header fields, body and damage of each record.
 
     Header lines follow the field names of the last version block (version 1's until one
-    is seen).  Lines that are no header (blank separators, damage) are skipped.
+    is seen).  Damage is None, or ``truncated`` if the archive ends before the declared
+    length, or ``skipped`` for lines that are no header (a damaged header and what followed
+    it up to the next one, or bytes beyond a declared length): a row without fields whose
+    body is all of them.  Blank lines between records are separators.
     """
     name, version, fields = "", 1, ARC_FIELDS[1].lower().split(" ")
-    offset = 0
+    offset, lost, lost_at = 0, [], 0
+
+    def skipped():
+        body = b"".join(lost)
+        lost.clear()
+        return name, lost_at, version, None, body, "skipped"
+
     while line := stream.readline():
         at, offset = offset, offset + len(line)
         head = line.rstrip(b"\r\n")
         if not head:
+            if lost:
+                lost.append(line)
             continue
-        if head.startswith(b"filedesc://"):
-            parts = head.decode("utf-8", "replace").split(" ")
-            if not parts[-1].isdigit():
-                continue
-            name = parts[0].removeprefix("filedesc://")
-            block = stream.read(int(parts[-1]))
-            offset += len(block)
-            lines = block.decode("utf-8", "replace").split("\n")
-            version = int(lines[0].split(" ")[0]) if lines[0][:1].isdigit() else 1
-            fields = (lines[1] if len(lines) > 1 and lines[1].strip() else
-                      ARC_FIELDS.get(version, ARC_FIELDS[1])).strip().lower().split(" ")
-            continue
+        first = head.startswith(b"filedesc://")
         # a legacy URL may hold blanks: split from the right
-        parts = head.decode("utf-8", "replace").rsplit(" ", len(fields) - 1)
-        if len(parts) != len(fields) or not parts[-1].isdigit():
+        parts = head.decode("utf-8", "replace").rsplit(" ", 1 if first else len(fields) - 1)
+        if not (first and len(parts) == 2 or len(parts) == len(fields)) or not parts[-1].isdigit():
+            lost_at = lost_at if lost else at
+            lost.append(line)
             continue
-        own = dict(zip(fields, parts))
+        if lost:
+            yield skipped()
         body = stream.read(int(parts[-1]))
         offset += len(body)
-        yield name, at, version, own, body
+        if first:
+            name = head.decode("utf-8", "replace").split(" ")[0].removeprefix("filedesc://")
+            lines = body.decode("utf-8", "replace").split("\n")
+            version = int(lines[0].split(" ")[0]) if lines[0][:1].isdigit() else 1
+            fields = (lines[1] if len(lines) > 1 and lines[1].strip() else
+                      ARC_FIELDS.get(version, ARC_FIELDS[1])).strip().lower().split(" ")
+            continue
+        yield (name, at, version, dict(zip(fields, parts)), body,
+               "truncated" if len(body) < int(parts[-1]) else None)
+    if lost:
+        yield skipped()
 
 
 def split_http(body: bytes) -> tuple[bytes, bytes]:
@@ -170,7 +183,8 @@ RECORD_SCHEMA = pa.schema([
     ("page_id", pa.int64()), ("record_id", pa.string()), ("url", pa.string()),
     ("ip", pa.string()), ("date", pa.string()), ("mime", pa.string()),
     ("arc_version", pa.int32()), ("payload_sha1", pa.string()), ("payload_bytes", pa.int64()),
-    ("head", pa.binary()), ("payload", pa.binary())])
+    ("head", pa.binary()), ("payload", pa.binary()), ("archive", pa.string()),
+    ("offset", pa.int64()), ("damage", pa.string())])
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -200,7 +214,8 @@ def _arc_records(packed: bool):
     def rows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for content in batch.column(0):
-                for name, at, version, own, body in parse_arc(_stream(content.as_py())):
+                for name, at, version, own, body, damage in parse_arc(_stream(content.as_py())):
+                    own = own or {"url": None}
                     head, payload = split_http(body)
                     page = http_field(head, "X-Page-Id") or ""
                     url = own["url"]
@@ -209,7 +224,7 @@ def _arc_records(packed: bool):
                            url, own.get("ip-address", ""), iso_date(own.get("archive-date", "")),
                            own.get("content-type", ""), version,
                            hashlib.sha1(payload).hexdigest(), len(payload), head,
-                           zlib.compress(payload) if packed else payload)
+                           zlib.compress(payload) if packed else payload, name, at, damage)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _batches(rows(batches), RECORD_SCHEMA)
@@ -218,7 +233,10 @@ def _arc_records(packed: bool):
 
 def read_arc(spark: SparkSession, path: str, *, packed: bool = False) -> DataFrame:
     """The records of all ARC files under ``path``; with ``packed`` their payloads are
-    compressed (zlib), for a shuffle."""
+    compressed (zlib), for a shuffle.  ``damage`` (with ``archive`` and ``offset``) says what is
+    wrong with a row: ``truncated`` bodies are shorter than declared, ``skipped`` rows have no
+    url and hold the bytes that belong to no readable record.  An archive is read as one
+    ``content`` cell, so it has at most 2 GB."""
     return (spark.read.format("binaryFile").load(path).select("content")
             .mapInArrow(_arc_records(packed), _ddl(RECORD_SCHEMA)))
 
@@ -291,6 +309,7 @@ def _warc_rows(packed: bool):
                     ("WARC-Payload-Digest", "sha1:" + base64.b32encode(
                         bytes.fromhex(r["payload_sha1"])).decode()),
                     ("WARC-Payload-Length", str(r["payload_bytes"])),
+                    ("WARC-Truncated", "unspecified" if r["damage"] else None),
                     ("WARC-Block-Digest", _sha1_32(block)),
                     ("Content-Type", "application/http; msgtype=response" if http
                      else r["mime"] or "application/octet-stream")], block)
@@ -346,30 +365,42 @@ def _warc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     yield (int(page) if page.lstrip("-").isdigit() else None,
                            own["warc-record-id"], kind, own.get("warc-target-uri"),
                            own.get("warc-date"), n, said, own.get("warc-refers-to"),
-                           ok and own["warc-block-digest"] == _sha1_32(block))
+                           ok and own["warc-block-digest"] == _sha1_32(block)
+                           and "warc-truncated" not in own)
     return _batches(rows(), WARC_SCHEMA)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The records of all WARC files under ``path``, without bodies; ``intact``: digests of
-    block and stored payload agree with the header."""
+    block and stored payload agree with the header, and the record was not truncated."""
     return (spark.read.format("binaryFile").load(path).select("content")
             .mapInArrow(_warc_records, _ddl(WARC_SCHEMA)))
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, *,
             min_bytes: int = MIN_REVISIT_BYTES) -> None:
-    """All ARC files under one path to WARC files under another.
+    """All ARC files under one path to WARC files under another.  Truncated records are
+    converted with ``WARC-Truncated``; skipped bytes are not (``damages`` lists both).
 
     The archives are read twice: for the digests alone, and with bodies, which are shuffled
     once (by digest), compressed.  Archives without records give an empty folder of WARC files.
     """
-    light = read_arc(spark, arc_path).select("page_id", "record_id", "url", "date",
+    light = read_arc(spark, arc_path).where(READABLE).select("page_id", "record_id", "url", "date",
                                              "payload_sha1", "payload_bytes")
-    records = read_arc(spark, arc_path, packed=True)
+    records = read_arc(spark, arc_path, packed=True).where(READABLE)
     write_warc(assign_types(records, light, min_bytes=min_bytes), warc_path, packed=True)
 
 
+READABLE = "damage IS NULL OR damage = 'truncated'"
+
+
+def damages(spark: SparkSession, arc_path: str) -> DataFrame:
+    """``archive, offset, damage, url, bytes`` of every damaged place in ARC files."""
+    found = read_arc(spark, arc_path).where("damage IS NOT NULL")
+    return found.select("archive", "offset", "damage", "url", F.coalesce(
+        F.octet_length("head") + F.octet_length("payload"), F.lit(0)).cast("long").alias("bytes"))
+
+
 def refers_to_page(read_back: DataFrame, name: Column | str = "refers_to") -> DataFrame:
     """Read-back records with the page id of the response that a revisit refers to, found
     by its record id.  The responses referred to are one row per repeated payload."""

@@ -16,25 +16,31 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from vigil.llm.store import boxed
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
-#: bounds of the training sample: documents of a language, windows of a document, languages
-DOCS_PER_LANG, WINDOWS_PER_DOC, MAX_LANGS = 400, 3, 64
+#: bounds of the training sample: documents of a language, windows of a document
+DOCS_PER_LANG, WINDOWS_PER_DOC = 400, 3
 EPOCHS, BATCH, RATE, SEED = 10, 64, 0.02, 7
 #: windows scored at once
 BLOCK = 512
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
 #: bytes that make up letters: ASCII letters and all bytes of longer UTF-8 sequences
 _IS_LETTER = np.array([chr(b).isalpha() and b < 128 or b >= 128 for b in range(256)])
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter (Unicode category L; superscripts, circled and Roman
+    numerals are none)."""
+    return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
+
+
 class Model(NamedTuple):
     langs: list[str]
     taps: list[list[np.ndarray]]  # by width, by tap: 256 x FILTERS
@@ -147,25 +153,24 @@ def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """Model learnt from text and language of rows that are not held out; None if there are
     none.
 
-    The sample is bounded: about ``DOCS_PER_LANG`` documents (at most twice that) of the
-    ``MAX_LANGS`` most frequent languages, chosen by a hash of the id, ``WINDOWS_PER_DOC``
-    windows each.
+    All labelled languages are learnt.  The sample of each is bounded: about
+    ``DOCS_PER_LANG`` documents, chosen by a hash of the id, ``WINDOWS_PER_DOC`` windows each,
+    and at most twice as many windows, those of the smallest hashes (a repeated id may stand
+    for many rows).
     """
-    key, lang, text = F.col(f"`{id_col}`"), F.col(f"`{lang_col}`"), F.col(f"`{text_col}`")
-    known = df.where(key.isNotNull() & lang.isNotNull() & ~held_out(key))
-    counts = [(r["lang"], r["n"]) for r in known.groupBy(lang.cast("string").alias("lang"))
-              .agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
-    if not counts:
-        return None
-    spot = F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(1 << 40))
-    limit = F.lit(None).cast("long")
-    for name, n in counts:
-        limit = F.when(lang == name, F.lit(int(min(1.0, 1.3 * DOCS_PER_LANG / n) * (1 << 40)))
-                       ).otherwise(limit)
-    rows = (known.where(text.isNotNull() & (F.trim(text) != "") & (spot < limit))
-            .select(lang.cast("string").alias("lang"), spot.alias("spot"), text.alias("text"))
-            .mapInArrow(_sample_windows, "lang string, spot long, raw binary")
-            .limit(2 * len(counts) * DOCS_PER_LANG * WINDOWS_PER_DOC).collect())
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    lang = F.col(f"`{lang_col}`").cast("string")
+    known = df.where(key.isNotNull() & lang.isNotNull() & ~held_out(key)).select(
+        lang.alias("lang"), F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(1 << 40)).alias("spot"),
+        text.cast("string").alias("text"))
+    share = F.least(F.lit(1.0), 1.3 * DOCS_PER_LANG / F.count(F.lit(1)))
+    limits = known.groupBy("lang").agg((share * (1 << 40)).cast("long").alias("limit"))
+    windows = (known.join(limits, "lang").where("spot < limit AND trim(text) != ''")
+               .select("lang", "spot", "text")
+               .mapInArrow(_sample_windows, "lang string, spot long, raw binary"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("spot", "raw"))
+    rows = (windows.withColumn("first", first)
+            .where(F.col("first") <= 2 * DOCS_PER_LANG * WINDOWS_PER_DOC).drop("first").collect())
     rows = sorted((r["lang"], r["spot"], bytes(r["raw"])) for r in rows)
     langs = sorted({r[0] for r in rows})
     if not langs:
@@ -200,7 +205,7 @@ def _predict(model: Model | None, inside: str | None):
                 texts = batch.column(0).field(inside) if inside else batch.column(1)
                 for i, value in enumerate(texts):
                     text = value.as_py()
-                    if text and _LETTER.search(text):
+                    if text and has_letter(text):
                         owners.append(i)
                         block.append(windows_of(text.encode()))
                         if sum(map(len, block)) >= BLOCK:

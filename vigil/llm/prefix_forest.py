@@ -2,38 +2,51 @@
 
 Every tree hashes a vector to a long bit string (signs of random projections) and keeps
 the strings of a block of vectors in a sorted array.  A query descends to its
-longest-prefix match in each tree; then all trees ascend together, one bit at a time, until
-the vectors that share the query's prefix in some tree are enough candidates.  These are
-scored exactly.
-
-Vectors are dealt over blocks of bounded size by a hash of their id; the stated query set
-is streamed past each block, and the blocks' best are merged.  Inner products are searched
-as angles: vectors get one more component that gives all of them the length of the longest.
+longest-prefix match in each tree; then all trees ascend together, one bit at a time, and
+score the vectors that share the query's prefix in some tree, until half as many candidates
+again bring no vector among the best any more (and a multiple of ``k`` has been seen).  Where
+neighbours are much nearer than the rest this ends early; where they are not it looks at most
+of a block, as any search that is to find nine tenths of them must.
+
+Vectors are dealt over blocks by bands of like length, so that a band's scale fits its
+vectors, and within a band by a hash of the id.  Inner products are searched as angles: vectors
+get one more component that gives all of a band the length of its longest.  The stated query
+set is streamed past the blocks of the longest vectors first; what a query finds there is a
+bound that a shorter band has to beat (query length times the band's longest), else the query
+does not travel there.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from vigil.llm.store import keep
+
 TREES, BITS, SEED = 48, 32, 11
 #: rows that a block holds on average
 BLOCK_ROWS = 8192
-#: part of a block that a query takes as candidates at least (all if the block is small)
-SHARE, LEAST = 0.55, 512
+#: candidates that a query scores in a block at least, as a multiple of k; by how much they
+#: grow until the next look at the best
+LEAST, GROWTH = 8, 1.5
+#: lengths within a band differ by this factor at most (the last band holds all shorter ones)
+BAND, BANDS = 1.2, 40
+#: rows of the bands, from the longest on, that every query looks at
+FIRST_ROWS = 1024
 
 
 class Forest:
     """The sorted arrays over one block."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float,
-                 trees: int = TREES, share: float = SHARE, least: int = LEAST):
+                 trees: int = TREES, least: int = LEAST, growth: float = GROWTH):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.need = min(len(ids), max(least, int(np.ceil(share * len(ids)))))
+        self.least, self.growth, self.scored = least, growth, 0
         rng = np.random.default_rng(SEED)
         self.planes = rng.standard_normal((trees * BITS, vectors.shape[1] + 1))
         scaled = self.vectors / longest
@@ -61,19 +74,29 @@ class Forest:
             hi[:, t] = np.searchsorted(array, low[:, t] + free)
         return lo, hi
 
-    def candidates(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Rows that share a prefix with the query in some tree, longest prefixes first,
-        until there are enough; a whole prefix level at a time."""
-        if self.need >= len(self.ids):
-            return np.arange(len(self.ids))
+    def candidates(self, query: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: int) -> np.ndarray:
+        """Rows that share a prefix with the query in some tree, longest prefixes first, a whole
+        level at a time, until the last part of them had none of the ``k`` best."""
+        n = len(self.ids)
+        enough = min(n, self.least * k)
         reach = (hi - lo).sum(axis=0)  # with repeats: an upper bound of the union
-        marked = np.zeros(len(self.ids), dtype=bool)
-        for level in range(int(np.argmax(reach >= self.need)), BITS + 1):
+        marked, seen = np.zeros(n, bool), np.zeros(n, bool)
+        best = np.empty(0)
+        for level in range(int(np.argmax(reach >= enough)), BITS + 1):
             marked[np.concatenate([rows[a:b] for rows, a, b in zip(
                 self.order, lo[:, level].tolist(), hi[:, level].tolist())])] = True
-            if np.count_nonzero(marked) >= self.need:
+            if np.count_nonzero(marked) < enough:
+                continue
+            new = self.vectors[marked & ~seen] @ query
+            before = best[0] if len(best) == k else -np.inf
+            best = np.sort(np.concatenate((best, new)))[-k:]
+            seen |= marked
+            done = int(np.count_nonzero(seen))
+            if done == n or before > -np.inf and not (new > before).any():
                 break
-        return np.flatnonzero(marked)
+            enough = min(n, int(self.growth * done) + 1)
+        self.scored += int(np.count_nonzero(seen))
+        return np.flatnonzero(seen)
 
     def best(self, own: int, query: np.ndarray, rows: np.ndarray, k: int
              ) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +117,7 @@ class Forest:
     def nearest(self, own: np.ndarray, queries: np.ndarray, k: int):
         """``best`` of each query's candidates."""
         lo, hi = self.ranges(queries)
-        return [self.best(own[i], queries[i], self.candidates(lo[i], hi[i]), k)
+        return [self.best(own[i], queries[i], self.candidates(queries[i], lo[i], hi[i], k + 1), k)
                 for i in range(len(own))]
 
 
@@ -104,7 +127,7 @@ QUERY_BLOCK = 64
 OUT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
-def _search(k: int, dim: int, longest: float, trees: int, share: float, least: int):
+def _search(k: int, dim: int, trees: int, least: int, growth: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, forest = None, None
         ids: list[np.ndarray] = []
@@ -114,6 +137,7 @@ def _search(k: int, dim: int, longest: float, trees: int, share: float, least: i
             asks = batch.column(1).to_numpy(zero_copy_only=False)
             own = batch.column(2).to_numpy()
             flat = batch.column(3).flatten().to_numpy().reshape(-1, dim)
+            scale = batch.column(4).to_numpy()
             # runs of one block, its vectors before its queries
             cuts = np.flatnonzero((np.diff(keys) != 0) | (asks[1:] != asks[:-1])) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
@@ -126,8 +150,8 @@ def _search(k: int, dim: int, longest: float, trees: int, share: float, least: i
                 if forest is None:
                     if not ids:
                         continue
-                    forest = Forest(np.concatenate(ids), np.concatenate(vectors), longest,
-                                    trees, share, least)
+                    forest = Forest(np.concatenate(ids), np.concatenate(vectors), scale[a],
+                                    trees, least, growth)
                     ids, vectors = [], []
                 found = [x for i in range(a, b, QUERY_BLOCK) for x in forest.nearest(
                     own[i:min(b, i + QUERY_BLOCK)], flat[i:min(b, i + QUERY_BLOCK)], k)]
@@ -148,7 +172,8 @@ def usable(vector: Column) -> Column:
 
 def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_id",
            vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, trees: int = TREES,
-           share: float = SHARE, least: int = LEAST) -> DataFrame:
+           least: int = LEAST, growth: float = GROWTH, band: float = BAND,
+           first_rows: int = FIRST_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score``: for every row that ``is_query`` (a condition on the
     id), the ``k`` nearest found among all rows with another id, by inner product in double
     precision, nearest first, ties to the smaller id.
@@ -156,9 +181,10 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
     Rows without an id, and vectors that are null, empty, zero or not finite, take no part,
     neither do vectors of another length than most.  Repeated rows of an id count as one
     (the smallest vector).  With fewer than ``k`` others, all are returned; an empty table
-    gives no rows.  Other columns are not read.  Blocks grow in number, not in size;
-    ``share`` sets recall against work.
+    gives no rows.  Other columns are not read.  Blocks grow in number, not in size; ``least``
+    and ``growth`` set recall against work.
     """
+    spark = df.sparkSession
     rows = (df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"),
                       F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
             .where(F.col("vec_id").isNotNull() & usable(F.col("v"))))
@@ -166,21 +192,53 @@ def search(df: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_i
     stats = (rows.groupBy(F.size("v").alias("dim"))
              .agg(F.count("*").alias("n"), F.max(length).alias("longest"))
              .orderBy(F.desc("n"), "dim").limit(1).collect())
+    none = "query_id long, rank int, vec_id long, score double"
     if not stats:
-        return rows.sparkSession.createDataFrame(
-            [], "query_id long, rank int, vec_id long, score double")
-    dim, n, longest = stats[0]
-    blocks = max(1, -(-n // block_rows))
-    points = (rows.where(F.size("v") == dim).groupBy("vec_id").agg(F.min("v").alias("v")))
-    data = points.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"),
-                         F.lit(False).alias("asks"), "vec_id", "v")
-    queries = points.where(is_query).select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
-        F.lit(True).alias("asks"), "vec_id", "v")
-    best = (data.unionByName(queries).repartition("block")
-            .sortWithinPartitions("block", "asks", "vec_id")
-            .mapInArrow(_search(k, dim, longest, trees, share, least),
-                        "query_id long, vec_id long, score double"))
+        return spark.createDataFrame([], none)
+    dim, _, longest = stats[0]
+    number = F.least(F.floor(F.log(F.lit(longest) / F.col("len")) / math.log(band)), F.lit(BANDS - 1))
+    points = (rows.where(F.size("v") == dim).groupBy("vec_id").agg(F.min("v").alias("v"))
+              .withColumn("len", length).withColumn("band", F.greatest(number, F.lit(0)).cast("int")))
+    points = keep(points, "points")
+    bands = points.groupBy("band").agg(F.count("*").alias("n"), F.max("len").alias("longest")).orderBy("band").collect()
+    # a band's blocks are numbered after those of the longer ones
+    blocks, at, seen, first = [], 0, 0, 0
+    for r in bands:
+        many = max(1, -(-r["n"] // block_rows))
+        blocks.append((r["band"], at, many, r["longest"]))
+        first = first if seen >= first_rows else at + many
+        at, seen = at + many, seen + r["n"]
+    table = F.broadcast(spark.createDataFrame(blocks, "band int, at long, many long, longest double"))
+    struct = lambda r: F.struct(F.lit(r[1]).cast("long").alias("at"), F.lit(r[2]).cast("long").alias("many"),
+                                F.lit(r[3]).alias("longest"))
+    data = points.join(table, "band").select(
+        (F.col("at") + F.pmod(F.xxhash64("vec_id"), F.col("many"))).alias("block"),
+        F.lit(False).alias("asks"), "vec_id", "v", "longest")
+    asked = points.where(is_query).select("vec_id", "v", "len")
+
+    def visit(queries: DataFrame, blocks: Column) -> DataFrame:
+        """Best of the blocks for queries (block, vec_id, v)."""
+        queries = queries.select("block", F.lit(True).alias("asks"), "vec_id", "v", "longest")
+        return (data.where(blocks).unionByName(queries).repartition("block")
+                .sortWithinPartitions("block", "asks", "vec_id")
+                .mapInArrow(_search(k, dim, trees, least, growth), "query_id long, vec_id long, score double"))
+
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    ranked = lambda found: (found.withColumn("rank", F.row_number().over(order))
+                            .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+    def each(queries: DataFrame, wanted: Column) -> DataFrame:
+        """Queries once for every block of the bands wanted."""
+        to = queries.select("vec_id", "v", F.explode(wanted).alias("b")).select("vec_id", "v", "b.*")
+        return to.select(F.explode(F.sequence("at", F.col("at") + F.col("many") - 1)).alias("block"),
+                         "vec_id", "v", "longest")
+
+    found = visit(each(asked, F.array(*[struct(r) for r in blocks if r[1] < first])), F.col("block") < first)
+    if first == at:
+        return ranked(found)
+    found = keep(ranked(found), "leading")
+    bound = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "score")
+    rest = F.array(*[struct(r) for r in blocks if r[1] >= first])
+    can_win = F.filter(rest, lambda b: F.col("score").isNull()
+                       | (F.col("len") * b["longest"] * (1 + 1e-9) >= F.col("score")))
+    more = each(asked.join(bound, "vec_id", "left"), can_win)
+    return ranked(found.drop("rank").unionByName(visit(more, F.col("block") >= first)))

@@ -41,7 +41,9 @@ RULES = BASE + (
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"),
+    # the key itself, through its END line; the BEGIN line alone if there is none
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"
+                        r"(?:[A-Za-z0-9+/=,:.\x20\x09\x0A\x0D-]*?-----END [A-Z ]{0,24}PRIVATE KEY-----)?"),
 )
 
 #: strings a literal run may stand for, characters a class may stand for, trigrams of one

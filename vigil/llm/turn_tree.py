@@ -37,8 +37,10 @@ MERGE_DEPTH = math.inf
 #: tokens after which a new sequence starts (at the next conversation)
 SEQUENCE_TOKENS = 4096
 LOSS_ROLE = "assistant"
-#: characters encoded at once
+#: characters after which a text is encoded in a further call, from the next place at which
+#: the encoding splits it anyway
 ENCODE_CHARS = 1 << 16
+_SPLIT = re.compile(r"(?<=\S) (?=\S)")
 
 _ANY = "|".join(rf"{re.escape(c[0])}(?=\\*{re.escape(c[1:])})" for c in CONTROL)
 _ESCAPE = re.compile(f"(?:{_ANY})")
@@ -66,10 +68,11 @@ class Codec:
                                           mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
-        if len(text) <= ENCODE_CHARS:
-            return self.encoding.encode_ordinary(text)
-        return [i for at in range(0, len(text), ENCODE_CHARS)
-                for i in self.encoding.encode_ordinary(text[at:at + ENCODE_CHARS])]
+        out, at = [], 0
+        while len(text) - at > ENCODE_CHARS and (cut := _SPLIT.search(text, at + ENCODE_CHARS)):
+            out += self.encoding.encode_ordinary(text[at:cut.start()])
+            at = cut.start()
+        return out + self.encoding.encode_ordinary(text[at:])
 
     def text(self, ids) -> str:
         return self.encoding.decode_bytes(ids).decode("utf-8")
