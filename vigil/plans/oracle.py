@@ -575,7 +575,54 @@ SELECT class, support, CAST(sum(support) OVER () AS BIGINT) AS n_test, TRUE AS s
   max(n) OVER () AS resampled_n, max(n) OVER () - n AS n_synthetic, TRUE AS losses_ok FROM t"""
 
 
+_PARTS = f"""d AS (SELECT d.doc_id, lang, CASE WHEN {H(42, 'd.doc_id')} < {T20} THEN 'test'
+    WHEN {H('42v', 'd.doc_id')} < 1073741824 THEN 'check' ELSE 'train' END AS part FROM documents d),
+l AS (SELECT d.part, CAST(quality AS INTEGER) AS quality, CAST(toxic AS INTEGER) AS toxic
+  FROM d JOIN labels USING (doc_id))"""
+_LANGS = "lang IN ('de', 'en', 'es', 'fr')"
+_MAJORITY = f"""m AS (SELECT CAST(sum(n) AS BIGINT) AS n_test, max(n) AS n_majority, TRUE AS above_majority
+  FROM (SELECT lang, count(*) AS n FROM d WHERE part = 'test' AND {_LANGS} GROUP BY lang))"""
+
+TREE_GRID_PRUNED = f"""
+WITH {_PARTS}, {_MAJORITY},
+g AS (SELECT a.i, depth, leaf, b.j, split
+  FROM (VALUES (0, 30), (1, 10), (2, 20), (3, 25)) a(i, depth), (VALUES (1), (2), (3), (4), (5)) l(leaf),
+       (VALUES (0, 2), (1, 3), (2, 4), (3, 5), (4, 10)) b(j, split)),
+f AS (SELECT CAST(least(5, max(n)) AS INTEGER) AS folds FROM (SELECT count(*) AS n FROM d
+      WHERE part != 'test' AND {_LANGS} GROUP BY lang))
+SELECT CAST(i * 25 + (leaf - 1) * 5 + j AS INTEGER) AS grid_pos, CAST(depth AS INTEGER) AS max_depth,
+  CAST(leaf AS INTEGER) AS min_leaf, CAST(split AS INTEGER) AS min_split, folds, n_test, n_majority, above_majority
+FROM g, f, m"""
+
+NETWORK_BINARY = f"""
+WITH {_PARTS},
+t AS (SELECT quality, count(*) AS n FROM l WHERE part = 'train' AND quality IS NOT NULL GROUP BY quality),
+s AS (SELECT quality AS class, count(*) AS support FROM l WHERE part = 'test' AND quality IS NOT NULL GROUP BY quality)
+SELECT class, support, n AS train_n, CASE class WHEN 0 THEN 1.5::DOUBLE ELSE 0.8::DOUBLE END AS weight,
+  TRUE AS history_agrees, CAST(sum(support) OVER () AS BIGINT) AS n_test, max(support) OVER () AS n_majority,
+  TRUE AS above_majority FROM s JOIN t ON t.quality = s.class"""
+
+NETWORK_HEADS = f"""
+WITH {_PARTS},
+u AS (SELECT 'quality' AS target, quality AS class FROM l WHERE part = 'test'
+      UNION ALL SELECT 'toxic', toxic FROM l WHERE part = 'test'),
+c AS (SELECT target, class, count(*) AS n FROM u GROUP BY ALL)
+SELECT target, CAST(sum(n) AS BIGINT) AS n_test, max(n) AS n_majority, TRUE AS above_majority, TRUE AS loss_falls
+FROM c GROUP BY target"""
+
+BANDIT_SEARCH = f"""
+WITH {_PARTS}, {_MAJORITY},
+r AS (SELECT * FROM (VALUES (0, 0, 2, 9, 3), (0, 1, 4, 3, 1), (0, 2, 10, 1, 0), (1, 0, 4, 5, 2), (1, 1, 10, 2, 0),
+      (2, 0, 10, 3, 0)) t(bracket, rung, epochs, trials, survivors))
+SELECT CAST(bracket AS INTEGER) AS bracket, CAST(rung AS INTEGER) AS rung, CAST(epochs AS INTEGER) AS epochs,
+  CAST(trials AS BIGINT) AS trials, CAST(survivors AS BIGINT) AS survivors, TRUE AS best_survive, n_test, n_majority,
+  above_majority FROM r, m"""
+
 ORACLES = {
+    "tree_grid_pruned": TREE_GRID_PRUNED,
+    "network_binary": NETWORK_BINARY,
+    "network_heads": NETWORK_HEADS,
+    "bandit_search": BANDIT_SEARCH,
     "cascade_full": CASCADE_FULL,
     "tree_cascade": TREE_CASCADE,
     "weighted_logreg": WEIGHTED_LOGREG,
