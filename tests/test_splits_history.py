@@ -1,5 +1,8 @@
 """Ranks, splits, folds, flips (R2-R8, W4) and history / selector analytics."""
 
+import os
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -200,3 +203,29 @@ def test_stratified_split_total_first_apportioning(spark):
     # per label instead: ceil(1.4) + ceil(1.0) + ceil(0.6) = 4
     per_label = SP.stratified_split(df, ["k"], "lab", 0.2)
     assert per_label.where("split = 'test'").count() == 2 + 1 + 1
+
+
+def test_positions_across_differently_parted_files(spark, scratch):
+    from vigil.operators.attach import attach_by_position, tail_by_position
+    (spark.range(1000).withColumn("a", F.col("id") * 3).repartition(5).write.parquet(f"{scratch}/a"))
+    (spark.range(700).select((F.col("id") * 7).alias("b")).repartition(3).write.parquet(f"{scratch}/b"))
+    a, b = spark.read.parquet(f"{scratch}/a"), spark.read.parquet(f"{scratch}/b")
+    in_order = lambda path, c: [v for f in sorted(os.listdir(path)) if f.endswith(".parquet")
+                                for v in pq.read_table(f"{path}/{f}").column(c).to_pylist()]
+    left, right = in_order(f"{scratch}/a", "a"), in_order(f"{scratch}/b", "b")
+    got = sorted((r.position, r.a, r.b) for r in attach_by_position(a, b).collect())
+    assert got == [(i, x, right[i] if i < 700 else None) for i, x in enumerate(left)]
+    held = {r.a for r in tail_by_position(a, 0.2).where("split = 'val'").collect()}
+    assert held == set(left[800:])
+
+
+def test_run_clock_counts_what_its_actions_read(spark):
+    from vigil.operators.clock import RunClock
+    clock = RunClock(spark, "run")
+    assert clock.stage("count", spark.range(50), lambda df: df.count()) == 50
+    clock.stage("none", spark.range(0), lambda df: df.collect())
+    rows = clock.table().orderBy("place").collect()
+    assert [(r.stage, r.rows) for r in rows] == [("count", 50), ("none", 0)]
+    assert all(r.elapsed.total_seconds() >= 0 and r.ended >= r.began for r in rows)
+    assert dict(clock.table().dtypes)["elapsed"] == "interval day to second"
+    assert clock.metrics().where("metric = 'rows'").agg(F.sum("value")).first()[0] == 50

@@ -8,15 +8,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.scalar import TWO_32, keyed_u32
 from vigil.operators.ranking import hash_cuts, value_at_rank
 
-#: labels whose counts a total-first split may bring to the driver
-MAX_LABELS = 10_000
-
 
 def hash_threshold(fraction: float) -> int:
     """The u32 cut-off for an expected fraction, e.g. 0.2 -> 858993459."""
@@ -46,37 +43,41 @@ def stratified_split(df: DataFrame, key_cols: list[str], label_col: str,
     ``apportion="total"``: the total is fixed first (``n_test = ceil(fraction·n)``) and
     the training rows are apportioned by largest remainder, ``floor(n_train·n_label/n)``
     plus one for the labels with the largest remainders (ties by label order, not at
-    random); each label's test part is the rest.  Needs one row per label on the driver (at
-    most ``MAX_LABELS``)."""
+    random); each label's test part is the rest."""
     if apportion == "per_label":
         def cuts(n: Column) -> list[Column]:
             return [F.ceil(F.lit(test_fraction) * n)]
     elif apportion == "total":
-        sizes = df.groupBy(label_col).count().limit(MAX_LABELS + 1).collect()
-        if len(sizes) > MAX_LABELS:
-            raise ValueError(f"more than {MAX_LABELS} labels")
-        sizes = sorted(((r[0], r[1]) for r in sizes),
-                       key=lambda kv: (kv[0] is not None, kv[0]))
-        n = sum(c for _, c in sizes)
-        n_train = n - math.ceil(test_fraction * n)
-        base = {lab: (n_train * c) // n for lab, c in sizes}
-        rest = n_train - sum(base.values())
-        by_remainder = sorted(sizes, key=lambda kv: -((n_train * kv[1]) % n))
-        for lab, _ in by_remainder[:rest]:
-            base[lab] += 1
-        tests = {lab: c - base[lab] for lab, c in sizes}
-        pairs = [x for lab, t in tests.items() if lab is not None for x in (F.lit(lab), F.lit(t))]
-        lookup = F.try_element_at(F.create_map(*pairs), F.col(label_col)) if pairs else F.lit(None)
-        n_test = F.coalesce(lookup, F.lit(tests.get(None, 0))) if None in tests else lookup
-
-        def cuts(n: Column) -> list[Column]:
-            return [n_test]
+        tests = total_first(df, label_col, test_fraction)
+        df = (df.join(tests, F.col(label_col).eqNullSafe(F.col("__label")), "left").drop("__label"))
+        cut = hash_cuts(df, key_cols, lambda n: [F.col("__tests")], seed, partition_cols=[label_col, "__tests"], out="__p")
+        return cut.withColumn(out, F.when(F.col("__p") == 0, "test").otherwise("train")).drop("__p", "__tests")
     else:
         raise ValueError(apportion)
     cut = hash_cuts(df, key_cols, cuts, seed, partition_cols=[label_col], out="__p")
     return cut.withColumn(out, F.when(F.col("__p") == 0, "test").otherwise("train")).drop("__p")
 
 
+def total_first(df: DataFrame, label_col: str, test_fraction: float) -> DataFrame:
+    """``__label, __tests``: test rows of each label by largest remainder of its training rows.
+    Windows over the table of labels only."""
+    sizes = df.groupBy(F.col(label_col).alias("__label")).agg(F.count(F.lit(1)).alias("__c"))
+    every = Window.partitionBy()
+    n = F.sum("__c").over(every)
+    sizes = sizes.withColumn("__n", n).withColumn(
+        "__train", F.col("__n") - F.ceil(F.lit(test_fraction) * F.col("__n")))
+    # products of counts may pass 64 bits
+    share = F.col("__train").cast("decimal(19,0)") * F.col("__c").cast("decimal(19,0)")
+    sizes = sizes.withColumn("__base", F.expr(
+        "cast(__train as decimal(19,0)) * cast(__c as decimal(19,0)) div cast(__n as decimal(19,0))"))
+    sizes = sizes.withColumn("__rem", share - F.col("__base").cast("decimal(19,0)") * F.col("__n").cast("decimal(19,0)"))
+    place = F.row_number().over(Window.orderBy(F.desc("__rem"), F.col("__label").asc_nulls_first()))
+    rest = F.col("__train") - F.sum("__base").over(every)
+    return sizes.select("__label", "__c", "__base", place.alias("__i"), rest.alias("__rest")).select(
+        "__label", (F.col("__c") - F.col("__base") - F.when(F.col("__i") <= F.col("__rest"), 1).otherwise(0))
+        .cast("long").alias("__tests"))
+
+
 def _fold_starts(k: int):
     """Ranks at which folds 1..k-1 start; the first ``n % k`` folds get one extra row."""
     def cuts(n: Column) -> list[Column]:

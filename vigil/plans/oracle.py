@@ -180,11 +180,6 @@ SELECT o_orderkey, split,
   CAST(dense_rank() OVER (PARTITION BY split ORDER BY o_orderkey) - 1 AS INTEGER) AS key_code,
   CAST(dense_rank() OVER (ORDER BY o_orderdate) - 1 AS INTEGER) AS date_code FROM o"""
 
-LINE_IDS = """
-SELECT l_orderkey, l_linenumber, min(l_shipdate) AS l_shipdate,
-  CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS BIGINT) AS row_id
-FROM lineitem GROUP BY l_orderkey, l_linenumber"""
-
 LINE_IDS_ALL = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
   CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS BIGINT) AS row_id
@@ -363,20 +358,6 @@ pairs AS (SELECT a.vec_id, a.label, b.vec_id AS nbr_id, {_D2} AS d2
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, nbr_id) AS rank FROM pairs)
 SELECT vec_id, label, CAST(rank AS INTEGER) AS rank, nbr_id, round(d2, 6) AS d2 FROM r WHERE rank <= 5"""
 
-KNN_CLOSE = f"""
-WITH u AS (SELECT l_orderkey * 10 + l_linenumber AS row_key, min(l_suppkey) AS l_suppkey, min(l_quantity) AS l_quantity,
-             min(l_extendedprice) AS l_extendedprice, min(l_discount) AS l_discount, min(l_tax) AS l_tax
-           FROM lineitem GROUP BY 1),
-q AS (SELECT *, sqrt(l_quantity * l_quantity + l_extendedprice * l_extendedprice
-                  + l_discount * l_discount + l_tax * l_tax) AS nrm FROM u),
-e AS (SELECT row_key, l_suppkey, [l_quantity / nz, l_extendedprice / nz, l_discount / nz, l_tax / nz] AS v
-      FROM (SELECT *, CASE WHEN nrm = 0 THEN 1.0::DOUBLE ELSE nrm END AS nz FROM q)),
-pairs AS (SELECT a.row_key, a.l_suppkey, b.row_key AS nbr_id, {_D2} AS d2
-          FROM e a JOIN e b ON a.l_suppkey = b.l_suppkey AND a.row_key <> b.row_key),
-r AS (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY d2, nbr_id) AS rank FROM pairs)
-SELECT CAST(row_key AS BIGINT) AS row_key, l_suppkey, CAST(rank AS INTEGER) AS rank,
-  CAST(nbr_id AS BIGINT) AS nbr_id, d2 FROM r WHERE rank <= 5"""
-
 LABEL_SLICES = """
 WITH o AS (SELECT o_orderkey, o_orderpriority AS last, o_orderdate AS last_but_one, o_orderdate AS third,
              CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS row_id FROM orders)
@@ -484,7 +465,6 @@ d AS (SELECT value, CAST(dense_rank() OVER (ORDER BY value) - 1 AS BIGINT) AS co
 SELECT 'union' AS kind, label, CAST(NULL AS BIGINT) AS value FROM u
 UNION ALL
 SELECT 'present', value, code FROM d
-WHERE value IN (SELECT c_mktsegment FROM customer WHERE c_acctbal > 9990.0::DOUBLE)
 UNION ALL
 SELECT 'n_classes', NULL, CAST(count(DISTINCT l_returnflag) AS BIGINT) FROM lineitem
 UNION ALL
@@ -618,7 +598,46 @@ SELECT CAST(bracket AS INTEGER) AS bracket, CAST(rung AS INTEGER) AS rung, CAST(
   CAST(trials AS BIGINT) AS trials, CAST(survivors AS BIGINT) AS survivors, TRUE AS best_survive, n_test, n_majority,
   above_majority FROM r, m"""
 
+POSITIONAL_ATTACH = """
+WITH o AS (SELECT row_number() OVER () - 1 AS position, count(*) OVER () AS n, o_orderkey, o_orderstatus FROM orders),
+l AS (SELECT row_number() OVER () - 1 AS place, l_orderkey, l_linenumber FROM lineitem)
+SELECT CAST(position AS BIGINT) AS position, o_orderkey, l_orderkey, l_linenumber,
+  CAST(CASE WHEN position < 1000 THEN l_linenumber % 2 WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS INTEGER) AS value,
+  CASE WHEN position >= floor(n * (1.0::DOUBLE - 0.2::DOUBLE)) THEN 'val' ELSE 'train' END AS split
+FROM o LEFT JOIN l ON place = position"""
+
+STRATIFIED_SPLIT_TOTAL = f"""
+WITH s AS (SELECT o_orderpriority AS lab, count(*) AS c FROM orders GROUP BY 1),
+t AS (SELECT sum(c) AS n, sum(c) - CAST(ceil(0.2::DOUBLE * sum(c)) AS BIGINT) AS n_train FROM s),
+b AS (SELECT lab, c, n_train, (n_train * c) // n AS base, (n_train * c) % n AS rem FROM s, t),
+r AS (SELECT *, row_number() OVER (ORDER BY rem DESC, lab NULLS FIRST) AS k, n_train - sum(base) OVER () AS rest FROM b),
+x AS (SELECT lab, c - base - CASE WHEN k <= rest THEN 1 ELSE 0 END AS n_test FROM r),
+o AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY {H(42, 'o_orderkey')}, o_orderkey) AS i FROM orders)
+SELECT o_orderkey, o_orderpriority, CASE WHEN i <= n_test THEN 'test' ELSE 'train' END AS split
+FROM o JOIN x ON lab IS NOT DISTINCT FROM o_orderpriority"""
+
+
+def _connections_42() -> str:
+    from vigil.plans.queries import connection_fields
+    return "SELECT " + ", ".join(f"{e} AS {c}" for c, e in connection_fields().items()) + " FROM lineitem"
+
+
+CSV_INFERRED = """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer"""
+
+RUN_CLOCK = f"""
+WITH t AS (SELECT 0 AS place, 'scan' AS stage, count(*) AS n_rows FROM orders
+  UNION ALL SELECT 1, 'split', count(*) FROM orders
+  UNION ALL SELECT 2, 'priorities', count(DISTINCT o_orderpriority) FROM orders WHERE {H(42, 'o_orderkey')} < {T20})
+SELECT '0.25-0.001_0.001-100' AS run_id, CAST(place AS INTEGER) AS place, stage, n_rows, TRUE AS in_sink,
+  TRUE AS elapsed_ok FROM t"""
+
 ORACLES = {
+    "positional_attach": POSITIONAL_ATTACH,
+    "stratified_split_total": STRATIFIED_SPLIT_TOTAL,
+    "connections_42": _connections_42(),
+    "csv_inferred": CSV_INFERRED,
+    "run_clock": RUN_CLOCK,
     "tree_grid_pruned": TREE_GRID_PRUNED,
     "network_binary": NETWORK_BINARY,
     "network_heads": NETWORK_HEADS,
@@ -647,7 +666,6 @@ ORACLES = {
     "ordinal_encode": ORDINAL_ENCODE,
     "encode_customer_names": ENCODE_CUSTOMER_NAMES,
     "encode_split_orders": ENCODE_SPLIT_ORDERS,
-    "line_ids": LINE_IDS,
     "line_ids_all": LINE_IDS_ALL,
     "unknown_encode": UNKNOWN_ENCODE,
     "one_hot": ONE_HOT,
@@ -666,7 +684,6 @@ ORACLES = {
     "label_slices": LABEL_SLICES,
     "scalar_formats": SCALAR_FORMATS,
     "knn": KNN,
-    "knn_close": KNN_CLOSE,
     "knn_close_all": KNN_CLOSE_ALL,
     "smote": SMOTE,
     "csv_roundtrip": CSV_ROUNDTRIP,

@@ -18,6 +18,7 @@ from vigil.operators import neighbors as NB
 from vigil.operators import resample as RS
 from vigil.operators import select as SEL
 from vigil.operators import split as SP
+from vigil.operators.clock import RunClock
 from vigil.operators.ranking import ordered_row_ids
 from vigil.sources import connections as CSV
 from vigil.sources import sinks as SK
@@ -195,19 +196,12 @@ def encode_split_orders(spark: SparkSession, sf: str) -> DataFrame:
     return coded.select("o_orderkey", "split", "key_code", "date_code")
 
 
-def line_ids(spark: SparkSession, sf: str) -> DataFrame:
-    """W4 on line items, ordered by key, line number and ship date."""
-    li = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_shipdate").alias("l_shipdate"))
-    return ordered_row_ids(li, ["l_orderkey", "l_linenumber"], out="row_id")
-
-
 #: these identify a line item
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def line_ids_all(spark: SparkSession, sf: str) -> DataFrame:
-    """W4 on every line item (``line_ids`` has a row for each order and line number)."""
+    """W4 on every line item."""
     li = table(spark, sf, "lineitem").select(*LINE_KEYS, "l_shipdate")
     return ordered_row_ids(li, LINE_KEYS, out="row_id")
 
@@ -365,20 +359,9 @@ def knn(spark: SparkSession, sf: str) -> DataFrame:
     return nn.select("vec_id", "label", "rank", "nbr_id", _r(F.col("d2")).alias("d2"))
 
 
-def knn_close(spark: SparkSession, sf: str) -> DataFrame:
-    """Neighbours of L2-normalised line items within a supplier: distances far below 1e-9.
-    Lines that share order and line number (24 % of them) count as one, of the least values;
-    ``knn_close_all`` has every line."""
-    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("row_key")
-    li = table(spark, sf, "lineitem").groupBy(key).agg(*[F.min(c).alias(c) for c in ["l_suppkey", *cols]])
-    n = E.l2_normalize(li, cols, prefix="n_").select(
-        "row_key", "l_suppkey", F.array(*[F.col(f"n_{c}") for c in cols]).alias("v"))
-    return NB.knn_within_class(n, "row_key", "l_suppkey", "v", k=5)
-
-
 def knn_close_all(spark: SparkSession, sf: str) -> DataFrame:
-    """As ``knn_close``, over every line item, by its row id in key order."""
+    """Neighbours of L2-normalised line items within a supplier, by row id in key order:
+    distances far below 1e-9."""
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     li = ordered_row_ids(table(spark, sf, "lineitem").select(*LINE_KEYS, *cols), LINE_KEYS, out="row_key")
     n = E.l2_normalize(li, cols, prefix="n_").select(
@@ -456,16 +439,12 @@ def grouped_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return acc.select("class", "total", "correct", _r(F.col("accuracy")).alias("accuracy"))
 
 
-RICH_BALANCE = 9990.0
-
-
 def label_sets(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_returnflag", "l_discount")
     union = E.label_union(_flag_rule(li), "actual", "predicted", out="label")              # U2
-    cust = table(spark, sf, "customer").select("c_mktsegment", "c_acctbal")
+    cust = table(spark, sf, "customer").select("c_mktsegment")
     d = E.fit_dictionary(cust, "c_mktsegment")
-    rich = E.encode(cust.where(F.col("c_acctbal") > RICH_BALANCE), "c_mktsegment", d, "code")
-    present = E.present_classes(d, rich, "code")                                           # J6
+    present = E.present_classes(d, E.encode(cust, "c_mktsegment", d, "code"), "code")                                           # J6
     n_classes = li.agg(E.class_count(li, "l_returnflag").cast("bigint").alias("value"))   # E9
     counts = M.count_fraction(li, 0.25)                                                   # A14
     none = F.lit(None).cast("string")
@@ -520,3 +499,66 @@ def attach_order_predictions(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
     out = AT.attach_predictions(li, preds, ["l_orderkey"], ["o_orderkey"])
     return out.select("l_orderkey", "l_linenumber", "l_returnflag", "predicted")
+
+
+def positional_attach(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 + P8 + R7 by position: every order with the line item at the same place of its file, a
+    column that is the line's parity for the first 1,000 rows and the order's flag after them, and
+    the last fifth of the rows held out."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    held = AT.tail_by_position(orders, 0.2).select("o_orderkey", "split")
+    zipped = AT.attach_by_position(orders, lines)
+    value = SP.by_row_range("position", 1000, F.col("l_linenumber") % 2, L.indicator("o_orderstatus", "F"))
+    return (zipped.withColumn("value", value.cast("int")).join(held, "o_orderkey")
+            .select("position", "o_orderkey", "l_orderkey", "l_linenumber", "value", "split"))
+
+
+def stratified_split_total(spark: SparkSession, sf: str) -> DataFrame:
+    """R3 as the library does it: the test total is fixed first, then apportioned by largest
+    remainder."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return SP.stratified_split(orders, ["o_orderkey"], "o_orderpriority", 0.2, SEED, apportion="total")
+
+
+def connections_42(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items written as headerless records of 42 fields and read with their declared names
+    and types."""
+    li = table(spark, sf, "lineitem")
+    path = SK.scratch_path(spark, "connections")
+    SK.write_csv(li.select(*[F.expr(e).alias(c) for c, e in connection_fields().items()]), path, header=False)
+    return CSV.read_connections(spark, path, with_difficulty=False)
+
+
+def connection_fields() -> dict[str, str]:
+    """A line-item expression of the declared type for each of the 42 fields."""
+    kinds = {"string": "l_returnflag || l_linestatus", "int": "l_linenumber % 2", "double": "l_discount",
+             "bigint": "l_partkey + {i}"}
+    fields = CSV.connection_schema(with_difficulty=False).fields
+    return {f.name: kinds[f.dataType.simpleString()].format(i=i) for i, f in enumerate(fields)}
+
+
+def csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: names from the first record of each file, types inferred."""
+    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    path = SK.scratch_path(spark, "customers")
+    SK.write_csv(cust, path)
+    return CSV.read_with_header(spark, path)
+
+
+def run_clock(spark: SparkSession, sf: str) -> DataFrame:
+    """F3 + S5: rows and a day-time interval of three stages of a run, from observed actions; seconds
+    go to the metrics sink."""
+    clock = RunClock(spark, RUN_ID)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    noop = lambda df: df.write.format("noop").mode("overwrite").save()
+    clock.stage("scan", orders, noop)
+    split = clock.stage("split", SP.hash_split(orders, ["o_orderkey"], 0.2, SEED), lambda df: SK.kept(df, "split"))
+    clock.stage("priorities", split.where("split = 'test'").groupBy("o_orderpriority").count(), noop)
+    path = SK.scratch_path(spark, "clock")
+    SK.append_metrics(clock.metrics(), path)
+    seconds = (spark.read.parquet(path).where("metric = 'seconds'")
+               .select("stage", (F.col("value") >= 0).alias("in_sink")))
+    return (clock.table().join(seconds, "stage").select(
+        F.col("run_id"), F.col("place"), "stage", F.col("rows").alias("n_rows"), "in_sink",
+        (F.col("elapsed") >= F.expr("INTERVAL '0' SECOND")).alias("elapsed_ok")))
