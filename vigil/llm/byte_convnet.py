@@ -18,13 +18,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from vigil.llm.store import boxed
+from vigil.llm.store import boxed, keep
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 #: bounds of the training sample: documents of a language, windows of a document
 DOCS_PER_LANG, WINDOWS_PER_DOC = 400, 3
+#: languages up to which their list is broadcast, else joined by a shuffle
+FEW_LANGS = 100_000
 EPOCHS, BATCH, RATE, SEED = 10, 64, 0.02, 7
 #: windows scored at once
 BLOCK = 512
@@ -164,7 +166,9 @@ def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         lang.alias("lang"), F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(1 << 40)).alias("spot"),
         text.cast("string").alias("text"))
     share = F.least(F.lit(1.0), 1.3 * DOCS_PER_LANG / F.count(F.lit(1)))
-    limits = known.groupBy("lang").agg((share * (1 << 40)).cast("long").alias("limit"))
+    limits = keep(known.groupBy("lang").agg((share * (1 << 40)).cast("long").alias("limit")), "languages")
+    if limits.count() <= FEW_LANGS:
+        limits = F.broadcast(limits)
     windows = (known.join(limits, "lang").where("spot < limit AND trim(text) != ''")
                .select("lang", "spot", "text")
                .mapInArrow(_sample_windows, "lang string, spot long, raw binary"))

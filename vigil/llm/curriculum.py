@@ -104,8 +104,9 @@ def demand_time(share: str, turn: str, schedules) -> str:
 def curriculum(df: DataFrame, *, schedules=SCHEDULES, budget: float = 1.5,
                max_epochs: int = 2, seed: str = "mix", size: Column | None = None,
                key_col: str = "doc_id", source_col: str = "source",
-               text_col: str = "text") -> DataFrame:
-    """``df`` with what the mix takes of each document and when, sorted by position.
+               text_col: str = "text", ordered: bool = True) -> DataFrame:
+    """``df`` with what the mix takes of each document and when, sorted by position (unless
+    ``emit``, which sorts copies, follows: then ``ordered=False`` saves a sort of all rows).
 
     Adds ``size`` (words, or the given column), ``source_size``, ``target`` (of the
     source), ``taken`` (words the mix takes of the document, repeats counted), ``copies``
@@ -162,10 +163,11 @@ def curriculum(df: DataFrame, *, schedules=SCHEDULES, budget: float = 1.5,
         "if(k < __passes, size, __more) / 2.0D) / __goal AS share)), c -> c.words > 0)")
     timed = F.expr("transform(__made, c -> struct(c.copy AS copy, c.words AS words, "
                    + demand_time("c.share", "__turn", schedules) + " AS position))")
-    return (out.withColumn("__made", made).withColumn("copies", timed)
-            .withColumn("position", F.expr("get(copies, 0).position"))
-            .orderBy(F.col("position").asc_nulls_last(), "__key", "size")
-            .select(*own, "size", "source_size", "target", "taken", "copies", "position"))
+    out = (out.withColumn("__made", made).withColumn("copies", timed)
+           .withColumn("position", F.expr("get(copies, 0).position")))
+    if ordered:
+        out = out.orderBy(F.col("position").asc_nulls_last(), "__key", "size")
+    return (out.select(*own, "size", "source_size", "target", "taken", "copies", "position"))
 
 
 def first_words(text: Column, n: Column) -> Column:
