@@ -61,7 +61,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order; a copy taken in part has
     its first words."""
-    mixed = curriculum.emit(curriculum.curriculum(docs))
+    mixed = curriculum.emit(curriculum.curriculum(docs, ordered=False))
     return (mixed.withColumn("n_chars", F.when(F.col("words") > 0, F.length("text").cast("long")))
             .select(*docs.columns))
 
