@@ -10,8 +10,8 @@ phrase is never more frequent than a part of it, nothing is missed once a pass m
 While many phrases are missed, a pass counts the next border only.  Once few are, the last
 pass takes all that this border admits for frequent and so admits longer phrases over them
 at once: every frequent phrase has parts that are known or admitted, and by induction over
-its length is admitted itself, which closes the search.  The last pass also spells the
-phrases; up to there they are known by keys only.
+its length is admitted itself, which closes the search.  Up to there phrases are known by
+keys only; the sample spells those it proposed, the last pass the others.
 
 The border is not written out (it has a pair for any two frequent words); a pass admits a
 window of the text if both parts of it pass a bit filter over the proposed phrases.  The
@@ -159,10 +159,42 @@ def _count(most: int, new, old):
     return run
 
 
-def _count_last(most: int, new, old):
+def _spell(tokens: list[bytes], at: np.ndarray, key: np.ndarray, k: int, salt: np.ndarray,
+           lang_of: dict[int, str], seen: set[int]) -> list[tuple[str, int, str]]:
+    """(language, key, phrase) of the windows that were not seen before."""
+    once, first = np.unique(key, return_index=True)
+    out = []
+    for x, i in zip(once.tolist(), at[first].tolist()):
+        if x not in seen:
+            seen.add(x)
+            out.append((lang_of[int(salt[i])], x - (1 << 64) if x >> 63 else x,
+                        b" ".join(tokens[i:i + k]).decode()))
+    return out
+
+
+def _spell_known(most: int, frequent):
+    """Texts -> (language, key, phrase) of frequent phrases of two words or more, once a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for tokens, h, valid, salt, count in _chunks(batches):
+            lang_of, spelt = {_salt(x): x for x in count}, []
+            for k, at, key, _ in _windows(h, valid, salt, most, frequent.value, None):
+                if k > 1:
+                    hit = np.flatnonzero(frequent.value.has(key))
+                    spelt += _spell(tokens, at[hit], key[hit], k, salt, lang_of, seen)
+            if len(seen) > HELD:
+                seen.clear()
+            if spelt:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*spelt), (pa.string(), pa.int64(), pa.string()))],
+                    names=["lang", "h", "phrase"])
+    return run
+
+
+def _count_last(most: int, new, old, missed):
     """Texts -> the last pass: (null, key, null, partial count) of windows not admitted before,
-    (language, key, phrase, null) once a task for those and the ones of two words or more that
-    are known, and (language, null, null, number of words)."""
+    (language, key, phrase, null) once a task for those and the missed ones, of two words or
+    more, and (language, null, null, number of words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally, seen, total = _Tally(), set(), {}
 
@@ -183,13 +215,8 @@ def _count_last(most: int, new, old):
             for k, at, key, before in _windows(h, valid, salt, most, new.value, old.value, deep=True):
                 tally.add(key[~before])
                 if k > 1:
-                    wanted = np.flatnonzero(new.value.has(key) | ~before)
-                    once, first = np.unique(key[wanted], return_index=True)
-                    for x, i in zip(once.tolist(), at[wanted[first]].tolist()):
-                        if x not in seen:
-                            seen.add(x)
-                            spelt.append((lang_of[int(salt[i])], x - (1 << 64) if x >> 63 else x,
-                                          b" ".join(tokens[i:i + k]).decode()))
+                    wanted = np.flatnonzero(missed.value.has(key) | ~before)
+                    spelt += _spell(tokens, at[wanted], key[wanted], k, salt, lang_of, seen)
             if spelt:
                 yield rows(*zip(*spelt), None, len(spelt))
             if len(seen) > HELD:
@@ -223,10 +250,10 @@ def _frequent(partial: DataFrame, least: int) -> DataFrame:
 def count(docs: DataFrame, proposed: DataFrame, least: int, most: int, bits: int,
           few: float = FEW) -> tuple[DataFrame, DataFrame]:
     """(``h, n`` of every phrase with ``n >= least`` in ``docs`` (text, lang); the last pass's
-    rows, which spell them), in two passes and as many more as it takes until the phrases
+    rows, which spell those that were not proposed), in two passes and as many more as it takes until the phrases
     missed are at most a share ``few`` of those known."""
     sc = docs.sparkSession.sparkContext
-    known, old, found = proposed, None, None
+    known, old, found, fresh = proposed, None, None, None
     while True:
         new = sc.broadcast(bit_filter(known, "h", bits))
         counted = _frequent(docs.mapInArrow(_count(most, new, old), "h long, n long"), least)
@@ -234,10 +261,12 @@ def count(docs: DataFrame, proposed: DataFrame, least: int, most: int, bits: int
         found = counted.select("h", "n") if found is None else found.unionByName(counted.select("h", "n"))
         missed = counted.where("was IS NULL").select("h")
         known, old = known.unionByName(missed), new
+        fresh = missed if fresh is None else fresh.unionByName(missed)
         if missed.count() <= few * found.count():
             break
     new = sc.broadcast(bit_filter(known, "h", bits))
-    last = keep(docs.mapInArrow(_count_last(most, new, old), SPELT), "last")
+    fresh = sc.broadcast(bit_filter(fresh, "h", bits))
+    last = keep(docs.mapInArrow(_count_last(most, new, old, fresh), SPELT), "last")
     more = _frequent(last.where("n IS NOT NULL AND h IS NOT NULL"), least)
     return keep(found.unionByName(more), "frequent"), last
 
@@ -306,8 +335,10 @@ def mine(df: DataFrame, *, least: int = LEAST, most: int = MOST_WORDS, sample: f
     proposed = propose(some, max(2, int(least * sample * lowered)), most, bits)
     frequent, last = count(docs, proposed, least, most, bits)
     total = last.where("h IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    named = (last.where("phrase IS NOT NULL").select("lang", "h", "phrase").dropDuplicates(["h"])
-             .join(frequent.withColumnRenamed("n", "a"), "h"))
+    spell = _spell_known(most, df.sparkSession.sparkContext.broadcast(bit_filter(frequent, "h", bits)))
+    spelt = keep(some.mapInArrow(spell, "lang string, h long, phrase string"), "spelt")
+    named = (last.where("phrase IS NOT NULL").select("lang", "h", "phrase").unionByName(spelt)
+             .dropDuplicates(["h"]).join(frequent.withColumnRenamed("n", "a"), "h"))
     cuts = keep(named.select("lang", "phrase", "h", "a").mapInArrow(
         _cut, "lang string, phrase string, h long, a long, k long, size long, first long, rest long"),
         "cuts")
