@@ -83,13 +83,16 @@ class Forest:
         marked, seen = np.zeros(n, bool), np.zeros(n, bool)
         best = np.empty(0)
         for level in range(int(np.argmax(reach >= enough)), BITS + 1):
+            if reach[level] < enough:  # cannot be enough: the next level has these too
+                continue
             marked[np.concatenate([rows[a:b] for rows, a, b in zip(
                 self.order, lo[:, level].tolist(), hi[:, level].tolist())])] = True
             if np.count_nonzero(marked) < enough:
                 continue
             new = self.vectors[marked & ~seen] @ query
             before = best[0] if len(best) == k else -np.inf
-            best = np.sort(np.concatenate((best, new)))[-k:]
+            best = np.concatenate((best, new))
+            best = np.sort(np.partition(best, -k)[-k:] if len(best) > k else best)
             seen |= marked
             done = int(np.count_nonzero(seen))
             if done == n or before > -np.inf and not (new > before).any():
