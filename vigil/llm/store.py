@@ -17,9 +17,29 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def keep(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: cuts lineage, and a
     lost executor re-reads the files instead of recomputing what led to them."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch().keep(df, name)
+
+
+class Scratch:
+    """Intermediate tables of one run, deleted once what they led to is written."""
+
+    def __init__(self):
+        self._paths: list[tuple[SparkSession, str]] = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """As ``keep``; the table goes with ``release``."""
+        path = shared_folder(df.sparkSession, name)
+        self._paths.append((df.sparkSession, path))
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        """Deletes the tables; no frame that still reads one may be used afterwards."""
+        for spark, path in self._paths:
+            sc = spark.sparkContext
+            at = sc._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+        self._paths.clear()
 
 
 def boxed(df: DataFrame, added: set[str]) -> tuple[Column, list[Column]]:
