@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from vigil.llm.store import keep
+from vigil.llm.store import Scratch, keep
 from vigil.llm.words import (CHUNK_BYTES, STOP, BitFilter, WordHashes, bit_filter, filter_bits,
                              mix, splitter, texts)
 
@@ -228,14 +228,14 @@ def _count_last(most: int, new, old, missed):
     return run
 
 
-def propose(docs: DataFrame, least: int, most: int, bits: int) -> DataFrame:
+def propose(docs: DataFrame, least: int, most: int, bits: int, write=keep) -> DataFrame:
     """``h`` of every phrase that occurs ``least`` times in ``docs`` (text, lang), level by level."""
     sc = docs.sparkSession.sparkContext
     known, old = None, None
     for _ in range(most):
         new = sc.broadcast(bit_filter(known, "h", bits) if known is not None else BitFilter(bits))
-        found = keep(_frequent(docs.mapInArrow(_count(most, new, old), "h long, n long"), least)
-                     .select("h"), "proposed")
+        found = write(_frequent(docs.mapInArrow(_count(most, new, old), "h long, n long"), least)
+                      .select("h"), "proposed")
         if found.isEmpty():
             break
         known = found if known is None else known.unionByName(found)
@@ -248,7 +248,7 @@ def _frequent(partial: DataFrame, least: int) -> DataFrame:
 
 
 def count(docs: DataFrame, proposed: DataFrame, least: int, most: int, bits: int,
-          few: float = FEW) -> tuple[DataFrame, DataFrame]:
+          few: float = FEW, write=keep) -> tuple[DataFrame, DataFrame]:
     """(``h, n`` of every phrase with ``n >= least`` in ``docs`` (text, lang); the last pass's
     rows, which spell those that were not proposed), in two passes and as many more as it takes until the phrases
     missed are at most a share ``few`` of those known."""
@@ -257,7 +257,7 @@ def count(docs: DataFrame, proposed: DataFrame, least: int, most: int, bits: int
     while True:
         new = sc.broadcast(bit_filter(known, "h", bits))
         counted = _frequent(docs.mapInArrow(_count(most, new, old), "h long, n long"), least)
-        counted = keep(counted.join(known.withColumn("was", F.lit(True)), "h", "left"), "counts")
+        counted = write(counted.join(known.withColumn("was", F.lit(True)), "h", "left"), "counts")
         found = counted.select("h", "n") if found is None else found.unionByName(counted.select("h", "n"))
         missed = counted.where("was IS NULL").select("h")
         known, old = known.unionByName(missed), new
@@ -266,7 +266,7 @@ def count(docs: DataFrame, proposed: DataFrame, least: int, most: int, bits: int
             break
     new = sc.broadcast(bit_filter(known, "h", bits))
     fresh = sc.broadcast(bit_filter(fresh, "h", bits))
-    last = keep(docs.mapInArrow(_count_last(most, new, old, fresh), SPELT), "last")
+    last = write(docs.mapInArrow(_count_last(most, new, old, fresh), SPELT), "last")
     more = _frequent(last.where("n IS NOT NULL AND h IS NOT NULL"), least)
     return keep(found.unionByName(more), "frequent"), last
 
@@ -325,23 +325,25 @@ def mine(df: DataFrame, *, least: int = LEAST, most: int = MOST_WORDS, sample: f
     language; repeated rows and ids count as often as they stand there; an empty table, or
     one without frequent phrases, gives no rows; other columns are not read.
     """
+    scratch = Scratch()
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(UNKNOWN)).alias("lang")
     text = F.col(f"`{text_col}`").cast("string").alias("text")
     docs = df.select(text, lang)
     seed = F.xxhash64(F.col(f"`{id_col}`") if id_col else text, F.lit(11)).alias("seed")
     size = df.select(F.sum(F.octet_length(text))).first()[0] or 0
     bits = filter_bits(size / 64)  # bounded; a phrase for every 64 bytes is plenty
-    some = keep(df.select(text, lang, seed).mapInArrow(_pieces(sample), "text string, lang string"), "sample")
-    proposed = propose(some, max(2, int(least * sample * lowered)), most, bits)
-    frequent, last = count(docs, proposed, least, most, bits)
-    total = last.where("h IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    some = scratch.keep(df.select(text, lang, seed).mapInArrow(_pieces(sample), "text string, lang string"), "sample")
+    proposed = propose(some, max(2, int(least * sample * lowered)), most, bits, scratch.keep)
+    frequent, last = count(docs, proposed, least, most, bits, write=scratch.keep)
+    total = keep(last.where("h IS NULL").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     spell = _spell_known(most, df.sparkSession.sparkContext.broadcast(bit_filter(frequent, "h", bits)))
-    spelt = keep(some.mapInArrow(spell, "lang string, h long, phrase string"), "spelt")
+    spelt = scratch.keep(some.mapInArrow(spell, "lang string, h long, phrase string"), "spelt")
     named = (last.where("phrase IS NOT NULL").select("lang", "h", "phrase").unionByName(spelt)
              .dropDuplicates(["h"]).join(frequent.withColumnRenamed("n", "a"), "h"))
     cuts = keep(named.select("lang", "phrase", "h", "a").mapInArrow(
         _cut, "lang string, phrase string, h long, a long, k long, size long, first long, rest long"),
         "cuts")
+    scratch.release()
     # a longer phrase as frequent is enough to know by one word more: parts are not rarer
     inside = (cuts.where("size > 2").where((F.col("k") == 1) | (F.col("k") == F.col("size") - 1))
               .select(F.explode(F.array(F.when(F.col("k") == 1, F.col("rest")),
