@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from conftest import FIXTURES, SF001
 from vigil.operators import models as ML
 from vigil.operators import metrics as M
-from vigil.operators.neighbors import knn_within_class
+from vigil.operators.neighbors import CELL_MOST, _Block, knn_within_class
 from vigil.operators.resample import ClassTooSmall, smote
 from vigil.sources import connections as C
 from vigil.sources import sinks as SK
@@ -45,6 +45,79 @@ def test_knn_matches_brute_force(spark, block_rows):
     assert got == want
 
 
+def plain_neighbours(vectors, k):
+    """Every pair, component by component; ties to the smaller id (the position)."""
+    d2 = np.zeros((len(vectors), len(vectors)))
+    for j in range(vectors.shape[1]):
+        d2 += (vectors[:, j, None] - vectors[None, :, j]) ** 2
+    np.fill_diagonal(d2, np.inf)
+    order = np.lexsort((np.broadcast_to(np.arange(len(vectors)), d2.shape), d2), axis=-1)[:, :k]
+    return order, np.take_along_axis(d2, order, axis=1)
+
+
+def block_neighbours(vectors, k, batch=700):
+    """The same by a block of all rows, candidates in batches; and the share of pairs compared."""
+    ids = np.arange(len(vectors))
+    block = _Block(ids, vectors, k)
+    for at in range(0, len(ids), batch):
+        block.offer(ids[at:at + batch], vectors[at:at + batch])
+    nbr, d2 = np.empty((len(ids), k), np.int64), np.empty((len(ids), k))
+    for _, best in block.cells:
+        assert len(best.ids) <= CELL_MOST
+        nbr[best.ids], d2[best.ids] = best.nbr, best.d2
+    return nbr, d2, block.compared / block.pairs
+
+
+@pytest.mark.parametrize("kind", ["curve", "clusters", "even", "grid", "equal", "tiny"])
+def test_pivot_bounds_leave_neighbours_exact(kind):
+    """Cells and bounds change which pairs are compared, never a neighbour, rank or distance."""
+    rng = np.random.default_rng(3)
+    n = 2000
+    t = rng.random(n)
+    vectors = {
+        "curve": np.stack((t, t * t, np.sin(9 * t)), axis=1),
+        "clusters": rng.normal(size=(40, 5))[rng.integers(0, 40, n)] + 0.01 * rng.normal(size=(n, 5)),
+        "even": rng.normal(size=(n, 16)),
+        "grid": rng.integers(0, 12, (n, 3)).astype(float),      # many ties and equal rows
+        "equal": np.ones((n, 2)),
+        "tiny": 1e-160 * rng.normal(size=(n, 2)),               # squares underflow
+    }[kind]
+    nbr, d2, share = block_neighbours(vectors, 5)
+    want_nbr, want_d2 = plain_neighbours(vectors, 5)
+    assert (nbr == want_nbr).all() and (d2 == want_d2).all()
+    if kind in ("curve", "clusters"):
+        assert share < 0.25
+
+
+def test_pivot_bounds_without_enough_or_finite_rows():
+    """Fewer candidates than ``k``, and components that are no numbers, bound nothing."""
+    few = np.array([[0.0], [3.0], [1.0]])
+    block = _Block(np.arange(3), few, 5)
+    block.offer(np.arange(3), few)
+    best = block.cells[0][1]
+    assert best.nbr[0].tolist()[:2] == [2, 1] and np.isinf(best.d2[:, 2]).all()
+    odd = np.concatenate((np.random.default_rng(1).random((200, 2)), [[np.nan, 1.0], [np.inf, 0.0]]))
+    block = _Block(np.arange(202), odd, 3)
+    with np.errstate(invalid="ignore"):
+        block.offer(np.arange(202), odd)
+    nbr = {i: b.nbr[at].tolist() for _, b in block.cells for at, i in enumerate(b.ids.tolist()) if i < 200}
+    want, _ = plain_neighbours(odd[:200], 3)
+    assert nbr == {i: want[i].tolist() for i in range(200)}
+
+
+def test_line_items_compare_a_small_share_of_pairs():
+    """Normalised line items lie near a curve: far fewer pairs than all are compared."""
+    import pyarrow.parquet as pq
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    t = pq.read_table("/root/testdata/sf0.01/lineitem.parquet", columns=cols)
+    v = np.stack([t.column(c).to_numpy().astype(float) for c in cols], axis=1)[:6000]
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    nbr, d2, share = block_neighbours(v, 5)
+    want_nbr, want_d2 = plain_neighbours(v, 5)
+    assert (nbr == want_nbr).all() and (d2 == want_d2).all()
+    assert share < 0.2
+
+
 def test_knn_close_points_and_string_ids(spark):
     """Distances far below 1e-9 rank as they are; ids of any ordered type."""
     at = [0.0, 0.1e-5, 0.9e-5, 2e-5, 3e-5]

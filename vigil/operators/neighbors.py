@@ -7,8 +7,15 @@ Only candidates are replicated (once per block), nothing is merged afterwards, a
 is one block and one slab of distances whatever the class or the dimension is.
 
 Distances are summed component by component in order and ranked unrounded, so any engine
-that folds the same way ranks the same; ties go to the smaller id.  Work per class is
-quadratic by nature: the reference's oversampling needs exact neighbours.
+that folds the same way ranks the same; ties go to the smaller id.
+
+Inside a block the queries lie in cells around pivots.  By the triangle inequality a candidate
+can only be among the ``k`` best of a query if it is no farther from the query's pivot than
+the query itself and the query's ``k``-th best distance so far together (at first: its
+``k``-th best inside its own cell).  A candidate is thus compared with the pivots, and with the
+queries of those cells only that it may still belong to.  What is left out cannot be a
+neighbour, so the result is exact; where all rows are about equally far apart, nothing is left
+out and work stays quadratic in the class.
 """
 
 from __future__ import annotations
@@ -23,27 +30,48 @@ from pyspark.sql import types as T
 
 BLOCK_BYTES = 4 << 20   # vectors of one query block
 SLAB_BYTES = 16 << 20   # distances held at once
+CELL_ROWS, CELL_MOST = 32, 512   # queries around a pivot: least expected, most held together
+#: rounding of a distance is far below this share of it, or (squares underflow) this length
+SLACK, TINY = 1 + 1e-9, 1e-150
+
+
+def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows of ``a`` to all rows of ``b``, component by component."""
+    d2 = np.zeros((len(a), len(b)))
+    for j in range(a.shape[1]):
+        diff = a[:, j, None] - b[None, :, j]
+        d2 += diff * diff
+    return d2
+
+
+def _kth(d2: np.ndarray, k: int) -> np.ndarray:
+    """Per row the ``k``-th smallest number; infinite where there are fewer or it is no number."""
+    if d2.shape[1] < k:
+        return np.full(len(d2), np.inf)
+    kth = np.partition(d2, k - 1, axis=1)[:, k - 1]
+    return np.where(np.isnan(kth), np.inf, kth)
 
 
 class _Best:
-    """The ``k`` best candidates so far of one block's queries."""
+    """The ``k`` best candidates so far of one cell's queries."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, pivot: np.ndarray):
         self.ids, self.vectors, self.k = ids, vectors, k
+        self.radius = np.sqrt(squared(vectors, pivot[None, :])[:, 0])
+        own = squared(vectors, vectors)
+        np.fill_diagonal(own, np.inf)
+        self.kth = _kth(own, k)       # an upper bound: the cell's rows are candidates too
+        self._bound()
         self.d2 = np.empty((len(ids), 0))
         self.nbr = np.empty((len(ids), 0), ids.dtype)
         self.nbr_vec = np.empty((len(ids), 0, vectors.shape[1]))
 
+    def _bound(self) -> None:
+        #: no candidate farther from the pivot is a neighbour; no number bounds nothing
+        self.reach = float(np.max((self.radius + np.sqrt(self.kth)) * SLACK + TINY))
+
     def offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        step = max(self.k, SLAB_BYTES // (8 * len(self.ids)))
-        for at in range(0, len(ids), step):
-            self._offer(ids[at:at + step], vectors[at:at + step])
-
-    def _offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        d2 = np.zeros((len(self.ids), len(ids)))
-        for j in range(vectors.shape[1]):
-            diff = self.vectors[:, j, None] - vectors[None, :, j]
-            d2 += diff * diff
+        d2 = squared(self.vectors, vectors)
         own = self.ids[:, None] == ids[None, :]
         d2[own] = np.inf                                # a row is not its own neighbour
         if self.d2.shape[1] == self.k:                  # only what beats or ties the worst
@@ -64,6 +92,8 @@ class _Best:
         if seen:
             vec[old] = self.nbr_vec[np.broadcast_to(rows, order.shape)[old], order[old]]
         self.d2, self.nbr, self.nbr_vec = all_d2[rows, order], all_ids[rows, order], vec
+        self.kth = np.minimum(self.kth, _kth(self.d2, self.k))
+        self._bound()
 
     def batches(self, cls, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         n, width = self.d2.shape
@@ -80,6 +110,40 @@ class _Best:
             pa.array(list(vec), pa.list_(pa.float64()))], schema=schema)
 
 
+class _Block:
+    """The queries of one block, in cells around pivots: rows at even steps of the block.  A
+    cell that many rows share is held in pieces."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, cell_rows: int = CELL_ROWS):
+        n = len(ids)
+        self.pivots = vectors[::max(cell_rows, int(n ** 0.5))]
+        self.step = max(k, SLAB_BYTES // (8 * max(CELL_MOST, len(self.pivots))))
+        near = np.concatenate([np.argmin(squared(vectors[at:at + self.step], self.pivots), axis=1)
+                               for at in range(0, n, self.step)])
+        ends = np.cumsum(np.bincount(near, minlength=len(self.pivots)))[:-1]
+        cells = np.split(np.argsort(near, kind="stable"), ends)
+        self.cells = [(c, _Best(ids[rows[at:at + CELL_MOST]], vectors[rows[at:at + CELL_MOST]], k,
+                                self.pivots[c]))
+                      for c, rows in enumerate(cells) for at in range(0, len(rows), CELL_MOST)]
+        self.pairs = self.compared = 0    # candidates with queries; with queries or pivots
+
+    def offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        for at in range(0, len(ids), self.step):
+            own, vec = ids[at:at + self.step], vectors[at:at + self.step]
+            apart = np.sqrt(squared(self.pivots, vec))
+            self.compared += apart.size
+            for c, best in self.cells:
+                self.pairs += len(own) * len(best.ids)
+                live = np.flatnonzero(~(apart[c] > best.reach))
+                if len(live):
+                    self.compared += len(live) * len(best.ids)
+                    best.offer(own[live], vec[live])
+
+    def batches(self, cls, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for _, best in self.cells:
+            yield from best.batches(cls, schema)
+
+
 def _stream(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, best = None, None
@@ -109,7 +173,7 @@ def _stream(k: int):
                     vectors.append(vec[a:b])
                 elif ids or best is not None:
                     if best is None:
-                        best = _Best(np.concatenate(ids), np.concatenate(vectors), k)
+                        best = _Block(np.concatenate(ids), np.concatenate(vectors), k)
                         ids, vectors = [], []
                     best.offer(own[a:b], vec[a:b])
         if best is not None:
