@@ -340,3 +340,18 @@ def test_smote_keeps_unlabelled_rows(spark):
     out = smote(df, "id", "cls", "v", k=5, seed=1)
     counts = {r.cls: r[1] for r in out.groupBy("cls").count().collect()}
     assert counts == {0: 12, 1: 12, None: 1}
+
+
+def test_binary_models_score_in_an_observed_session(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.sql import Observation
+    from vigil.plans import all_queries
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3    # from here on the session cannot be sent to tasks
+    rows = ML.vector_column(spark.createDataFrame([([float(i)], float(i >= 20)) for i in range(40)],
+                                                  "x array<double>, label double"), "x")
+    for fitted in (ML.binary_classifier("lr").fit(rows), Pipeline(stages=[ML.binary_classifier("forest", num_trees=3)]).fit(rows)):
+        scored = ML.without_summary(fitted).transform(rows)
+        assert scored.where("prediction IN (0, 1)").count() == 40
+    assert all(r.sums_ok and r.loss_ok for r in all_queries()["two_targets"](spark, SF001).collect())

@@ -98,7 +98,7 @@ def two_stage(train: DataFrame, test: DataFrame, key: str, *, features: Sequence
     weights = M.class_weights(fit, "bin", overrides=overrides)
     weighted = SK.kept(M.with_class_weight(fit, "bin", weights, out="w1"), "weighted")
     est1 = LogisticRegression(featuresCol="features", labelCol="y1", weightCol="w1", maxIter=max_iter)
-    stage1 = est1.fit(weighted)
+    stage1 = ML.without_summary(est1.fit(weighted))
 
     def stage1_pred(scored: DataFrame) -> DataFrame:
         p1 = vector_to_array(F.col("probability"))[1]
@@ -140,8 +140,9 @@ def two_stage(train: DataFrame, test: DataFrame, key: str, *, features: Sequence
         return VectorAssembler(inputCols=["unit", "stage1_in"], outputCol="features2").transform(df)
 
     w2 = M.class_weights(grown, "cat", multipliers=multipliers)
-    stage2 = LogisticRegression(featuresCol="features2", labelCol="y2", weightCol="w2", family="multinomial",
-                                maxIter=max_iter).fit(second(M.with_class_weight(grown, "cat", w2, out="w2"), "error"))
+    est2 = LogisticRegression(featuresCol="features2", labelCol="y2", weightCol="w2", family="multinomial",
+                              maxIter=max_iter)
+    stage2 = ML.without_summary(est2.fit(second(M.with_class_weight(grown, "cat", w2, out="w2"), "error")))
     names = cats.label_list()
 
     def decoded(df: DataFrame) -> DataFrame:
