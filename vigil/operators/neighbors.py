@@ -53,10 +53,11 @@ def _kth(d2: np.ndarray, k: int) -> np.ndarray:
 
 
 class _Best:
-    """The ``k`` best candidates so far of one cell's queries."""
+    """The ``k`` best candidates so far of one cell's queries, with their vectors if these are
+    ``wanted``."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, pivot: np.ndarray):
-        self.ids, self.vectors, self.k = ids, vectors, k
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, pivot: np.ndarray, wanted: bool = True):
+        self.ids, self.vectors, self.k, self.wanted = ids, vectors, k, wanted
         self.radius = np.sqrt(squared(vectors, pivot[None, :])[:, 0])
         own = squared(vectors, vectors)
         np.fill_diagonal(own, np.inf)
@@ -86,12 +87,14 @@ class _Best:
             rank = np.unique(all_ids, return_inverse=True)[1].reshape(all_ids.shape)
         order = np.lexsort((rank, all_d2), axis=-1)[:, :self.k]
         rows = np.arange(len(self.ids))[:, None]
-        seen = self.d2.shape[1]
-        old = order < seen
-        vec = vectors[np.where(old, 0, order - seen)]
-        if seen:
-            vec[old] = self.nbr_vec[np.broadcast_to(rows, order.shape)[old], order[old]]
-        self.d2, self.nbr, self.nbr_vec = all_d2[rows, order], all_ids[rows, order], vec
+        if self.wanted:
+            seen = self.d2.shape[1]
+            old = order < seen
+            vec = vectors[np.where(old, 0, order - seen)]
+            if seen:
+                vec[old] = self.nbr_vec[np.broadcast_to(rows, order.shape)[old], order[old]]
+            self.nbr_vec = vec
+        self.d2, self.nbr = all_d2[rows, order], all_ids[rows, order]
         self.kth = np.minimum(self.kth, _kth(self.d2, self.k))
         self._bound()
 
@@ -101,20 +104,24 @@ class _Best:
         if not ok.any():
             return
         rank = np.broadcast_to(np.arange(1, width + 1), (n, width)).ravel()[ok]
-        vec = self.nbr_vec.reshape(n * width, -1)[ok]
-        yield pa.RecordBatch.from_arrays([
+        columns = [
             pa.array(np.repeat(self.ids, width)[ok], schema.field(0).type),
             pa.array([cls] * len(rank), schema.field(1).type),
             pa.array(rank, pa.int32()), pa.array(self.nbr.ravel()[ok], schema.field(3).type),
-            pa.array(self.d2.ravel()[ok]),
-            pa.array(list(vec), pa.list_(pa.float64()))], schema=schema)
+            pa.array(self.d2.ravel()[ok])]
+        if self.wanted:
+            vec = self.nbr_vec.reshape(n * width, -1)[ok]
+            ends = np.arange(len(vec) + 1, dtype=np.int32) * vec.shape[1]
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(vec.ravel())))
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 class _Block:
     """The queries of one block, in cells around pivots: rows at even steps of the block.  A
     cell that many rows share is held in pieces."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, cell_rows: int = CELL_ROWS):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, cell_rows: int = CELL_ROWS,
+                 wanted: bool = True):
         n = len(ids)
         self.pivots = vectors[::max(cell_rows, int(n ** 0.5))]
         self.step = max(k, SLAB_BYTES // (8 * max(CELL_MOST, len(self.pivots))))
@@ -123,7 +130,7 @@ class _Block:
         ends = np.cumsum(np.bincount(near, minlength=len(self.pivots)))[:-1]
         cells = np.split(np.argsort(near, kind="stable"), ends)
         self.cells = [(c, _Best(ids[rows[at:at + CELL_MOST]], vectors[rows[at:at + CELL_MOST]], k,
-                                self.pivots[c]))
+                                self.pivots[c], wanted))
                       for c, rows in enumerate(cells) for at in range(0, len(rows), CELL_MOST)]
         self.pairs = self.compared = 0    # candidates with queries; with queries or pivots
 
@@ -144,7 +151,7 @@ class _Block:
             yield from best.batches(cls, schema)
 
 
-def _stream(k: int):
+def _stream(k: int, wanted: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, best = None, None
         ids: list[np.ndarray] = []
@@ -157,7 +164,7 @@ def _stream(k: int):
                 id_type, cls_type = batch.schema.field("id").type, batch.schema.field("cls").type
                 schema = pa.schema([("id", id_type), ("cls", cls_type), ("rank", pa.int32()),
                                     ("nbr_id", id_type), ("d2", pa.float64()),
-                                    ("nbr_vec", pa.list_(pa.float64()))])
+                                    *([("nbr_vec", pa.list_(pa.float64()))] if wanted else [])])
             cls, qb, side = (batch.column(c).to_pylist() for c in ("cls", "qb", "side"))
             own = batch.column("id").to_numpy(zero_copy_only=False)
             vec = batch.column("vec").flatten().to_numpy().reshape(len(own), -1)
@@ -173,7 +180,7 @@ def _stream(k: int):
                     vectors.append(vec[a:b])
                 elif ids or best is not None:
                     if best is None:
-                        best = _Block(np.concatenate(ids), np.concatenate(vectors), k)
+                        best = _Block(np.concatenate(ids), np.concatenate(vectors), k, wanted=wanted)
                         ids, vectors = [], []
                     best.offer(own[a:b], vec[a:b])
         if best is not None:
@@ -203,9 +210,10 @@ def knn_within_class(df: DataFrame, id_col: str, class_col: str, vec_col: str, k
     kinds = base.schema
     schema = T.StructType([T.StructField("id", kinds["id"].dataType), T.StructField("cls", kinds["cls"].dataType),
                            T.StructField("rank", T.IntegerType()), T.StructField("nbr_id", kinds["id"].dataType),
-                           T.StructField("d2", T.DoubleType()),
-                           T.StructField("nbr_vec", T.ArrayType(T.DoubleType()))])
+                           T.StructField("d2", T.DoubleType())])
+    if vectors:
+        schema = schema.add("nbr_vec", T.ArrayType(T.DoubleType()))
     top = (queries.unionByName(cands).repartition("cls", "qb")
-                  .sortWithinPartitions("cls", "qb", "side", "id").mapInArrow(_stream(k), schema))
+                  .sortWithinPartitions("cls", "qb", "side", "id").mapInArrow(_stream(k, bool(vectors)), schema))
     out = [F.col("id").alias(id_col), F.col("cls").alias(class_col), "rank", "nbr_id", "d2"]
     return top.select(*out, *([F.col("nbr_vec").alias(vectors)] if vectors else []))
