@@ -229,3 +229,18 @@ def test_run_clock_counts_what_its_actions_read(spark):
     assert all(r.elapsed.total_seconds() >= 0 and r.ended >= r.began for r in rows)
     assert dict(clock.table().dtypes)["elapsed"] == "interval day to second"
     assert clock.metrics().where("metric = 'rows'").agg(F.sum("value")).first()[0] == 50
+
+
+def test_positions_do_not_shuffle_rows_by_file(spark, scratch):
+    from vigil.operators.attach import with_positions
+    spark.range(1000).repartition(3).write.parquet(scratch + "/rows")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")     # as for a table of files whose size is not known to be small
+    try:
+        placed = with_positions(spark.read.parquet(scratch + "/rows"))
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert sorted(r.position for r in placed.collect()) == list(range(1000))
+    finally:
+        spark.conf.set(key, before)

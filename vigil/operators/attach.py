@@ -28,13 +28,14 @@ def attach_predictions(df: DataFrame, preds: DataFrame, left_keys: list[str], ri
 def with_positions(df: DataFrame, out: str = "position", total_out: str | None = None) -> DataFrame:
     """``df``, read from files and not yet filtered, with each row's 0-based place: the rows of the
     files before (by name), and the row's index in its file.  One pass counts rows by file; the
-    window runs over a row for each file."""
+    window runs over a row for each file, and these rows are broadcast: a join by file would put
+    all rows of a file into one task."""
     rows = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
     files = rows.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select(F.col("__file").alias("__f"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"),
                           F.sum("__n").over(Window.partitionBy()).alias("__total"))
-    placed = rows.join(starts, F.col("__file") == F.col("__f")).withColumn(
+    placed = rows.join(F.broadcast(starts), F.col("__file") == F.col("__f")).withColumn(
         out, (F.col("__start") + F.col("__index")).cast("bigint"))
     if total_out:
         placed = placed.withColumn(total_out, F.col("__total").cast("bigint"))
