@@ -381,10 +381,14 @@ def smote(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- S1/S4, S5/S8: sinks read back ------------------------------------------------
 
+#: files that are read back at once: compressed, each of as many rows as a task may read
+SCRATCH_CSV = {"compression": "lz4", "rows_per_file": 250_000}
+
+
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
     path = SK.scratch_path(spark, "orders-csv")
-    SK.write_csv(orders, path)
+    SK.write_csv(orders, path, **SCRATCH_CSV)
     return CSV.read_csv_typed(spark, path, orders.schema)
 
 
@@ -393,7 +397,7 @@ def csv_headerless(spark: SparkSession, sf: str) -> DataFrame:
     (FAILFAST), as the connection records are read."""
     li = table(spark, sf, "lineitem")
     path = SK.scratch_path(spark, "lineitem-csv")
-    SK.write_csv(li, path, header=False)
+    SK.write_csv(li, path, header=False, **SCRATCH_CSV)
     return CSV.read_csv_typed(spark, path, li.schema, header=False)
 
 
@@ -526,7 +530,8 @@ def connections_42(spark: SparkSession, sf: str) -> DataFrame:
     and types."""
     li = table(spark, sf, "lineitem")
     path = SK.scratch_path(spark, "connections")
-    SK.write_csv(li.select(*[F.expr(e).alias(c) for c, e in connection_fields().items()]), path, header=False)
+    SK.write_csv(li.select(*[F.expr(e).alias(c) for c, e in connection_fields().items()]), path, header=False,
+                 **SCRATCH_CSV)
     return CSV.read_connections(spark, path, with_difficulty=False)
 
 

@@ -24,10 +24,15 @@ def kept(df: DataFrame, what: str = "kept") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
-    """CSV with a header line (optional) and no index column, one file per partition."""
-    (df.write.mode(mode).option("header", header)
-       .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").csv(path))
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True,
+              compression: str | None = None, rows_per_file: int = 0) -> None:
+    """CSV with a header line (optional) and no index column, one file per partition.  A
+    compressed file is read by one task: ``rows_per_file`` bounds it (0: no bound)."""
+    out = (df.write.mode(mode).option("header", header).option("maxRecordsPerFile", rows_per_file)
+           .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"))
+    if compression:
+        out = out.option("compression", compression)
+    out.csv(path)
 
 
 def run_id(*parts) -> str:
