@@ -355,3 +355,26 @@ def test_binary_models_score_in_an_observed_session(spark):
         scored = ML.without_summary(fitted).transform(rows)
         assert scored.where("prediction IN (0, 1)").count() == 40
     assert all(r.sums_ok and r.loss_ok for r in all_queries()["two_targets"](spark, SF001).collect())
+
+
+def test_knn_carries_neighbour_vectors_only_if_wanted(spark):
+    df, rows = _points(spark)
+    bare = knn_within_class(df, "id", "cls", "v", k=3, block_rows=8)
+    told = knn_within_class(df, "id", "cls", "v", k=3, block_rows=8, vectors="nv")
+    assert "nbr_vec" not in bare._jdf.queryExecution().analyzed().toString()
+    by_id = {i: v for i, _, v in rows}
+    assert all(r.nv == by_id[r.nbr_id] for r in told.collect())
+    assert sorted(bare.collect()) == sorted(told.drop("nv").collect())
+
+
+def test_connection_records_are_written_compressed_in_bounded_files(spark, scratch):
+    from vigil.plans import queries as Q
+    rows = spark.range(0, 5000, 1, 1).selectExpr("id", "'tcp' AS a", "0.25 AS b", "id % 7 AS c")
+    SK.write_csv(rows, scratch + "/plain", header=False)
+    SK.write_csv(rows, scratch + "/small", header=False, compression=Q.SCRATCH_CSV["compression"], rows_per_file=1000)
+    size = lambda d: [os.path.getsize(f"{scratch}/{d}/{f}") for f in os.listdir(f"{scratch}/{d}") if f.startswith("part-")]
+    assert len(size("plain")) == 1 and len(size("small")) == 5 and 3 * sum(size("small")) < sum(size("plain"))
+    back = C.read_csv_typed(spark, scratch + "/small", rows.schema, header=False)
+    assert sorted(back.collect()) == sorted(rows.collect())
+    written = Q.connections_42(spark, SF001).inputFiles()
+    assert written and all(f.endswith(".csv.lz4") for f in written)
