@@ -87,6 +87,25 @@ def test_pack_every_id_once(spark, odd_docs):
     assert packing.pack(odd_docs.limit(0), TOKENIZER).count() == 0
 
 
+def test_pack_gives_pieces_out_by_bytes(monkeypatch):
+    """Whole windows are given out before thousands of them are held."""
+    import pyarrow as pa
+
+    class Context:
+        get = classmethod(lambda cls: cls)
+        partitionId = classmethod(lambda cls: 0)
+    monkeypatch.setattr(packing, "TaskContext", Context)
+    monkeypatch.setattr(packing, "FLUSH_BYTES", 1 << 14)
+    texts = [prose(i, 300) for i in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t])], names=["doc_id", "text"])
+               for i, t in enumerate(texts)]
+    out = list(packing._pack_partition(TOKENIZER, 256, 2, 16)(iter(batches)))
+    sizes = [sum(map(len, b.column("ids").to_pylist())) for b in out]
+    longest = max(sizes[:-1])
+    assert len(out) > 5 and longest < (1 << 14) + 16 * 4 * 256 + 4 * 4 * 2000
+    assert {d for b in out for d in b.column("doc_id").to_pylist()} == set(range(60))
+
+
 def test_pack_digest(spark, odd_docs):
     p = packing.pack(odd_docs, TOKENIZER)
     crc = {(r.doc_id, r.start, r.length, r.ids_crc32) for r in packing.piece_digests(p).collect()}

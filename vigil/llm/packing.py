@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame, functions as F
 PIECE_SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, "
                 "offset long, ids binary")
 
-#: words kept in a worker's cache before it is emptied
-CACHE_WORDS = 1_000_000
+#: words kept in a worker's cache (some 220 bytes each) before it is emptied
+CACHE_WORDS = 250_000
+#: closed pieces held before they are given out: rows, bytes of their ids
+FLUSH_ROWS, FLUSH_BYTES = 4096, 4 << 20
 
 #: chunks whose normalised form and word split are the same in Python and in the tokenizer
 _PLAIN = re.compile("[!-~¡-įı-ɏ]+")
@@ -226,20 +228,24 @@ def _pack_partition(path: str, size: int, end_id: int, max_open: int):
         cache = word_cache(path)
         sequence = TaskContext.get().partitionId() << 32
         rows: list[tuple] = []
+        held = 0
 
         def close(window: list, fill: int) -> None:
-            nonlocal sequence
+            nonlocal sequence, held
             offset = 0
             for doc, start, total, raw in window:
                 n = len(raw) // 4
                 rows.append((doc, start, n, total, sequence, offset, raw))
                 offset += n
+            held += 4 * fill
             sequence += 1
 
         def flush() -> pa.RecordBatch:
+            nonlocal held
             out = pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
             rows.clear()
+            held = 0
             return out
 
         windows = Windows(size, close, max_open)
@@ -252,7 +258,7 @@ def _pack_partition(path: str, size: int, end_id: int, max_open: int):
                 for at in range(0, total, size):
                     piece = ids[4 * at:4 * (at + size)]
                     windows.add((doc, at, total, piece), len(piece) // 4)
-                if len(rows) >= 4096:
+                if len(rows) >= FLUSH_ROWS or held >= FLUSH_BYTES:
                     yield flush()
         windows.finish()
         if rows:
