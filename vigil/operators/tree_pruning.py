@@ -26,8 +26,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators.models import MAX_TREE_DEPTH, training_frame, tree
+from vigil.operators.models import MAX_TREE_DEPTH, training_frame
 from vigil.operators.select import best_candidate
+from vigil.operators.tree_growth import Nodes, cut, grow, walk
 from vigil.sources.sinks import kept, scratch_path
 
 DEPTHS = (None, 10, 20, 25, 30, 40, 50)
@@ -35,16 +36,6 @@ LEAVES = (1, 2, 3, 4, 5)
 MIN_SPLITS = (2, 3, 4, 5, 10)
 
 
-class Nodes(NamedTuple):
-    """A tree as arrays by node; ``left`` is -1 for a leaf."""
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    prediction: np.ndarray
-    rows: np.ndarray
-
-
 class Point(NamedTuple):
     """A grid point; its place in the grid."""
     grid_pos: int
@@ -78,36 +69,6 @@ def nodes_of(spark: SparkSession, model: DecisionTreeClassificationModel) -> Nod
                  np.array(t["rightChild"]), np.array(t["prediction"], float), np.array(t["rawCount"]))
 
 
-def cut(nodes: Nodes, max_depth: int | None = None, min_split: int = 2) -> Nodes:
-    """The tree that ends at ``max_depth`` and splits no node of fewer than ``min_split`` rows."""
-    depth = np.zeros(len(nodes.left), np.int64)
-    for i in range(len(depth)):  # children come after their parent
-        if nodes.left[i] >= 0:
-            depth[[nodes.left[i], nodes.right[i]]] = depth[i] + 1
-    end = nodes.rows < min_split
-    if max_depth is not None:
-        end |= depth >= max_depth
-    return nodes._replace(left=np.where(end, -1, nodes.left), right=np.where(end, -1, nodes.right))
-
-
-def walk(nodes: Nodes, x: np.ndarray, depths: Sequence[int] = (MAX_TREE_DEPTH,),
-         min_splits: Sequence[int] = (2,)) -> np.ndarray:
-    """Predictions (rows x cuts) of the tree cut at each of the (depth, split size) pairs."""
-    depths, min_splits = np.array(depths), np.array(min_splits)
-    out = np.empty((len(x), len(depths)))
-    open_ = np.ones(out.shape, bool)
-    at, row, level = np.zeros(len(x), np.int64), np.arange(len(x)), 0
-    while open_.any():
-        leaf = nodes.left[at] < 0
-        stop = leaf[:, None] | (level >= depths)[None, :] | (nodes.rows[at][:, None] < min_splits[None, :])
-        now = open_ & stop
-        out[now] = np.broadcast_to(nodes.prediction[at][:, None], out.shape)[now]
-        open_ &= ~stop
-        below = np.where(x[row, nodes.feature[at]] <= nodes.threshold[at], nodes.left[at], nodes.right[at])
-        at, level = np.where(leaf, at, below), level + 1
-    return out
-
-
 class PrunedTree(NamedTuple):
     """The searched model: a node table and how many features it reads."""
     nodes: Nodes
@@ -189,7 +150,7 @@ def grid_search(train: DataFrame, label: str = "label", features: str = "feature
 
     def fit(leaf: int, f: int | None, depth: int = deepest) -> Nodes:
         part = rows if f is None else rows.where(F.col("fold").isNull() | (F.col("fold") != f))
-        return nodes_of(spark, tree(max_depth=depth, min_leaf=leaf, seed=seed).fit(part))
+        return grow(part, "label", "features", depth, leaf, seed=seed)
 
     wanted = list(product(sorted({p.min_leaf for p in points}), range(k)))
     try:
