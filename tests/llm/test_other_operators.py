@@ -316,6 +316,43 @@ def test_forest_candidates_share_the_longest_prefixes():
             assert longer <= rows
 
 
+class Picked(np.ndarray):
+    """Counts the rows taken out of a table by number."""
+    rows = 0
+
+    def __getitem__(self, key):
+        if isinstance(key, np.ndarray) and self.ndim == 2:
+            Picked.rows += len(key)
+        return super().__getitem__(key)
+
+
+def test_forest_scores_a_candidate_once():
+    """Where vectors are spread evenly, queries pick fewer rows than they score."""
+    x = vectors("even", n=4000, dim=64)
+    forest = prefix_forest.Forest(np.arange(4000), x, 1.0)
+    forest.vectors = forest.vectors.view(Picked)
+    Picked.rows = 0
+    for i in range(0, 256, 64):
+        forest.nearest(np.arange(i, i + 64), x[i:i + 64], 20)
+    assert forest.scored > 0.5 * 256 * 4000
+    assert Picked.rows < 0.5 * forest.scored
+
+
+@pytest.mark.parametrize("kind", ["even", "clustered"])
+def test_forest_finds_the_same_by_either_product(monkeypatch, kind):
+    """A matrix product and bitmaps for wide searches, or single rows: the same rows and scores."""
+    x = vectors(kind, n=3001)
+    x[2000:2300] = x[100]  # ties
+    found = []
+    for wide in (0, 10 ** 9):
+        monkeypatch.setattr(prefix_forest, "WIDE", wide)
+        forest = prefix_forest.Forest(np.arange(3001), x, float(np.linalg.norm(x, axis=1).max()))
+        got = [r for i in range(0, 256, 64) for r in forest.nearest(np.arange(i, i + 64), x[i:i + 64], 20)]
+        found.append(([ids.tolist() for ids, _ in got], [score.tolist() for _, score in got]))
+        assert ("maps" in vars(forest)) == bool(wide)
+    assert found[0] == found[1]
+
+
 # --- chat formatting -----------------------------------------------------------------
 
 

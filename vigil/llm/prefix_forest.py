@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,10 @@ BLOCK_ROWS = 8192
 #: candidates that a query scores in a block at least, as a multiple of k; by how much they
 #: grow until the next look at the best
 LEAST, GROWTH = 8, 1.5
+#: a query that scores more than one in so many rows of a block does so by a matrix product
+WIDE = 16
+#: such a query marks the rows of a prefix of at most so many bits by bitmaps
+SHORT = 8
 #: lengths within a band differ by this factor at most (the last band holds all shorter ones)
 BAND, BANDS = 1.2, 40
 #: rows of the bands, from the longest on, that every query looks at
@@ -46,7 +51,7 @@ class Forest:
                  trees: int = TREES, least: int = LEAST, growth: float = GROWTH):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.least, self.growth, self.scored = least, growth, 0
+        self.least, self.growth, self.asked, self.scored = least, growth, 0, 0
         rng = np.random.default_rng(SEED)
         self.planes = rng.standard_normal((trees * BITS, vectors.shape[1] + 1))
         scaled = self.vectors / longest
@@ -74,53 +79,85 @@ class Forest:
             hi[:, t] = np.searchsorted(array, low[:, t] + free)
         return lo, hi
 
-    def candidates(self, query: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: int) -> np.ndarray:
+    @cached_property
+    def maps(self) -> list[np.ndarray]:
+        """The rows of every prefix of ``SHORT`` bits, then of one bit less and so on, by tree and
+        prefix, a bit a row: short prefixes hold so many rows that this is faster than a range."""
+        maps = []
+        for order, codes in zip(self.order, self.sorted):
+            has = np.zeros((1 << SHORT, len(order)), bool)
+            has[codes >> (BITS - SHORT), order] = True
+            maps.append(np.packbits(has, axis=1))
+        levels = [np.stack(maps)]
+        while levels[-1].shape[1] > 1:
+            levels.append(levels[-1][:, ::2] | levels[-1][:, 1::2])
+        return levels
+
+    def _ascend(self, query: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: int,
+                products: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows that share a prefix with the query in some tree, longest prefixes first, a whole
-        level at a time, until the last part of them had none of the ``k`` best."""
+        level at a time, until the last part of them had none of the ``k`` best; and their inner
+        products, each found once (or taken from ``products``, those of all rows)."""
         n = len(self.ids)
         enough = min(n, self.least * k)
         reach = (hi - lo).sum(axis=0)  # with repeats: an upper bound of the union
         marked, seen = np.zeros(n, bool), np.zeros(n, bool)
+        rough = np.empty(n) if products is None else products
         best = np.empty(0)
         for level in range(int(np.argmax(reach >= enough)), BITS + 1):
             if reach[level] < enough:  # cannot be enough: the next level has these too
                 continue
-            marked[np.concatenate([rows[a:b] for rows, a, b in zip(
-                self.order, lo[:, level].tolist(), hi[:, level].tolist())])] = True
-            if np.count_nonzero(marked) < enough:
+            if products is not None and level >= BITS - SHORT:
+                some = np.flatnonzero(lo[:, level] < hi[:, level])
+                maps = self.maps[level - BITS + SHORT][some, self.sorted[some, lo[some, level]] >> level]
+                marked = np.unpackbits(np.bitwise_or.reduce(maps, axis=0), count=n).view(bool)
+            else:
+                marked[np.concatenate([rows[a:b] for rows, a, b in zip(
+                    self.order, lo[:, level].tolist(), hi[:, level].tolist())])] = True
+            done = int(np.count_nonzero(marked))
+            if done < enough:
                 continue
-            new = self.vectors[marked & ~seen] @ query
+            new = np.flatnonzero(marked != seen)
+            if products is None:
+                rough[new] = self.vectors[new] @ query
             before = best[0] if len(best) == k else -np.inf
-            best = np.concatenate((best, new))
-            best = np.sort(np.partition(best, -k)[-k:] if len(best) > k else best)
-            seen |= marked
-            done = int(np.count_nonzero(seen))
-            if done == n or before > -np.inf and not (new > before).any():
+            better = rough[new]
+            better = better[better > before]
+            best = np.sort(np.concatenate((best, better)))[-k:]
+            np.copyto(seen, marked)
+            if done == n or before > -np.inf and not len(better):
                 break
             enough = min(n, int(self.growth * done) + 1)
-        self.scored += int(np.count_nonzero(seen))
-        return np.flatnonzero(seen)
+        rows = np.flatnonzero(seen)
+        self.asked += 1
+        self.scored += len(rows)
+        return rows, rough[rows]
+
+    def candidates(self, query: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: int) -> np.ndarray:
+        """The rows that ``_ascend`` scores."""
+        return self._ascend(query, lo, hi, k)[0]
 
-    def best(self, own: int, query: np.ndarray, rows: np.ndarray, k: int
+    def best(self, own: int, query: np.ndarray, rows: np.ndarray, rough: np.ndarray, k: int
              ) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and inner products of the ``k`` largest among these rows other than ``own``;
-        ties to the smaller id.  Products are summed in component order, so equal vectors
-        have equal ones."""
-        rows = rows[self.ids[rows] != own]
-        rough = self.vectors[rows] @ query
+        """Ids and inner products of the ``k`` largest among these rows (``rough``: their
+        products) other than ``own``; ties to the smaller id.  Products are summed in component
+        order, so equal vectors have equal ones."""
+        other = self.ids[rows] != own
+        rows, rough = rows[other], rough[other]
         if len(rows) > k:
             cut = np.partition(rough, -k)[-k]
             rows = rows[rough >= cut - 1e-9 * max(1.0, abs(cut))]
-        exact = np.zeros(len(rows))
-        for d in range(len(query)):
-            exact += self.vectors[rows, d] * query[d]
+        exact = np.add.accumulate(self.vectors[rows] * query, axis=1)[:, -1] + 0.0
         first = np.lexsort((self.ids[rows], -exact))[:k]
         return self.ids[rows][first], exact[first]
 
     def nearest(self, own: np.ndarray, queries: np.ndarray, k: int):
-        """``best`` of each query's candidates."""
+        """``best`` of each query's candidates.  Where queries so far scored a good part of the
+        block, one matrix product costs less than picking every query's rows."""
         lo, hi = self.ranges(queries)
-        return [self.best(own[i], queries[i], self.candidates(queries[i], lo[i], hi[i], k + 1), k)
+        wide = self.scored * WIDE > self.asked * len(self.ids)
+        products = queries @ self.vectors.T if wide else [None] * len(own)
+        return [self.best(own[i], queries[i], *self._ascend(queries[i], lo[i], hi[i], k + 1, products[i]), k)
                 for i in range(len(own))]
 
 
