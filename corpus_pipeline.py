@@ -34,6 +34,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near copies: that with the smallest id (null last), then
     the smallest hash of its text.  Rows without words are no copies of anything and stay."""
+    names = docs.columns
     docs = docs.withColumn("__text", F.xxhash64("text"))
     groups = jaccard_join.join(docs, tag=F.col("__text"))
     first = (groups.where("root IS NOT NULL").groupBy("root")
@@ -41,10 +42,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
              .select(F.col("r.doc_id").alias("__id"), F.col("r.tag").alias("__tag"), F.lit(True).alias("__one")))
     bare = (groups.where("root IS NULL").select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"))
             .distinct().withColumn("__one", F.lit(False)))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__tag"))
-    kept = docs.join(first.unionByName(bare), same)
-    once = kept.where("__one").dropDuplicates(["doc_id", "__text"])
-    return once.unionByName(kept.where("NOT __one")).select(*[c for c in docs.columns if c != "__text"])
+    # plain columns without nulls as keys: the join's shuffle of texts then serves for the repeats too
+    keys = ["__key", "__none", "__tag"]
+    keyed = lambda df, c: df.withColumns(
+        {"__key": F.coalesce(c, F.lit(0).cast("long")), "__none": F.col(c).isNull()}).drop("__id")
+    kept = keyed(docs.withColumnRenamed("__text", "__tag"), "doc_id").join(keyed(first.unionByName(bare), "__id"), keys)
+    once = kept.where("__one").dropDuplicates(keys)
+    return once.unionByName(kept.where("NOT __one")).select(*names)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

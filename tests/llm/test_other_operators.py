@@ -628,3 +628,41 @@ def test_oracles(spark):
     for name, sql in LLM_ORACLES.items():
         res = oracle_harness.compare(LLM_QUERIES[name](spark, SF001), con, sql)
         assert res["cols_match"] and res.get("exact"), (name, res)
+
+
+def shuffle_files(spark) -> int:
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = disk.getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_a_kept_table_leaves_no_shuffle_files(spark):
+    from vigil.llm.store import Scratch
+    from vigil.session import DROP_SHUFFLES_CONF
+    before = spark.conf.get(DROP_SHUFFLES_CONF, None)
+    scratch = Scratch()
+    spark.sparkContext._jvm.System.gc()
+    there = shuffle_files(spark)
+    one = scratch.keep(spark.range(1000).repartition(3, "id"), "one")
+    two = scratch.keep(one.groupBy((one.id % 7).alias("k")).count(), "two")
+    assert shuffle_files(spark) <= there and spark.conf.get(DROP_SHUFFLES_CONF, None) == before
+    assert one.count() == 1000 and two.agg({"count": "sum"}).first()[0] == 1000
+    scratch.drop(one)
+    assert not any("-one-" in p for _, p in scratch._paths) and two.count() == 7
+    scratch.release()
+
+
+def test_rows_are_shuffled_once_for_join_and_window(spark):
+    from vigil.llm import curriculum
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(i, "a b c", None if i % 5 == 0 else "s", 5) for i in range(20)],
+                                     "doc_id long, text string, source string, n_chars long")
+        plan = curriculum.curriculum(docs, ordered=False)
+        told = plan._jdf.queryExecution().executedPlan().toString()
+        above, below = told.split("SortMergeJoin", 1)
+        assert "__order" in above.split("Window [", 1)[1] and "Exchange" not in above and "Exchange" in below
+        assert plan.count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

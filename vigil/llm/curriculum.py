@@ -141,14 +141,16 @@ def curriculum(df: DataFrame, *, schedules=SCHEDULES, budget: float = 1.5,
         totals.groupBy(F.col("__source").alias("source")).agg(F.sum("__sum").alias("source_size")),
         [integral(k) for k in schedules], budget, max_epochs).select(
         F.col("source").alias("__s"), "source_size", "target", F.col("turn").alias("__turn"))
-    buckets = (buckets.join(targets, F.col("__source").eqNullSafe(F.col("__s")))
-               .select(F.col("__source").alias("__bs"), F.col("__bucket").alias("__bb"),
-                       "__ahead", "source_size", "target", "__turn"))
-
-    inside = Window.partitionBy("__source", "__bucket").orderBy("__order", "__key", "size").rowsBetween(
+    # plain columns without nulls as keys: one shuffle of rows serves the join and the window
+    keys = ["__named", "__null", "__bucket"]
+    keyed = lambda df: df.withColumns({
+        "__named": F.coalesce(F.col("__source").cast("string"), F.lit("")), "__null": F.col("__source").isNull()})
+    buckets = (keyed(buckets.join(targets, F.col("__source").eqNullSafe(F.col("__s"))))
+               .select(*keys, "__ahead", "source_size", "target", "__turn"))
+
+    inside = Window.partitionBy(*keys).orderBy("__order", "__key", "size").rowsBetween(
         Window.unboundedPreceding, -1)
-    out = (rows.join(buckets, F.col("__source").eqNullSafe(F.col("__bs"))
-                     & (F.col("__bucket") == F.col("__bb")))
+    out = (keyed(rows).join(buckets, keys)
            .withColumn("__at", F.col("__ahead") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
            .withColumn("__goal", F.round("target").cast("long"))
            .withColumn("__passes", F.when(F.col("source_size") > 0, F.floor(
